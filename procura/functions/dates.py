@@ -26,7 +26,8 @@ def date_corrections(c) -> Column:
         pat, rep, is_regex = rule
         if is_regex:
             return F.regexp_replace(acc, U + pat, rep)
-        return F.when(acc == F.lit(pat), F.lit(rep)).otherwise(acc)
+        # whole-cell replacement as an anchored literal (keeps one reference to acc)
+        return F.regexp_replace(acc, r"\A\Q" + pat + r"\E\z", rep)
     return py_strip(reduce(step, rules.DATE_CORRECTIONS, _c(c)))
 
 

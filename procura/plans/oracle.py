@@ -87,18 +87,18 @@ def dirty_date_lower(k="k", d="d") -> str:
      ELSE '31.4.' || strftime({d}, '%Y') END"""
 
 
-def popis_json(predmet: str, mnozstvo: str = "NULL") -> str:
+def popis_json(predmet: str, mnozstvo: str = "NULL", vat: str = "'nie'") -> str:
     return f"""json_merge_patch('{{}}', json_object(
     'objednavka_predmet', {predmet},
     'kategoria', lower(p_type),
     'objednavka_cislo', 'obj-' || k::VARCHAR,
-    'zdroj_financovania', CASE WHEN k % 5 = 0 THEN 'vlastne zdroje' END,
+    'zdroj_financovania', CASE WHEN k % 5 <> 0 THEN 'vlastne zdroje' END,
     'balenie', NULL, 'sukl_kod', NULL,
     'mnozstvo', {mnozstvo},
     'poznamka', CASE WHEN k % 3 <> 0 THEN lower(o_orderpriority) END,
     'odkaz_na_zmluvu', NULL,
     'pocet_oslovenych', ((k % 3) + 1)::VARCHAR,
-    'cena_s_dph', 'nie'))::VARCHAR"""
+    'cena_s_dph', {vat}))::VARCHAR"""
 
 
 DODAVATEL_JSON = """json_merge_patch('{}', json_object(
@@ -111,19 +111,48 @@ LINK_CTE = f"""links AS (
   FROM customer GROUP BY 1
 )"""
 
-# final rows of the mail sources (E1 result over the order-shaped input)
-MAIL_FINAL = f"""mail_final AS (
-  SELECT b.src AS objednavatel,
-         CASE WHEN b.src = 'fnspza' THEN {PRICE.replace('src', 'b.src')} ELSE {PRICE.replace('src', 'b.src')} END AS cena,
-         CASE WHEN b.src = 'fnspza' THEN {DATE_FNSPZA} ELSE {DATE} END AS datum,
+VAT_FILES = "(3, 9, 13)"   # files whose price header is a VAT-inclusive alias
+
+
+def mail_final_cte(name: str = "mail_final", vat: str = "'nie'") -> str:
+    """Final rows of the mail sources (E1 result over the order-shaped input)."""
+    return f"""{name} AS (
+  SELECT src AS objednavatel,
+         {PRICE} AS cena,
+         CASE WHEN src = 'fnspza' THEN {DATE_FNSPZA} ELSE {DATE} END AS datum,
          {DODAVATEL_JSON} AS dodavatel,
-         CASE WHEN b.src = 'fnspza' THEN {popis_json('p_name', f"CASE WHEN k % 4 = 0 THEN {QTY} END")}
-              ELSE {popis_json(SUBJECT_WITH_QTY)} END AS popis,
+         CASE WHEN src = 'fnspza' THEN {popis_json('p_name', f"CASE WHEN k % 4 = 0 THEN {QTY} END", vat)}
+              ELSE {popis_json(SUBJECT_WITH_QTY, vat=vat)} END AS popis,
          TIMESTAMP '2024-06-01 12:00:00' AS insert_date,
          'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.xlsx' AS file,
          l.link
-  FROM base b LEFT JOIN links l ON l.src = b.src
-  WHERE b.src IN {_in(MAIL)}
+  FROM (SELECT * FROM base WHERE src IN {_in(MAIL)}) b LEFT JOIN links l USING (src)
+)"""
+
+
+MAIL_FINAL = mail_final_cte()
+
+P1_SQL = ("replace(strip_accents(replace(replace(regexp_replace(lower({x}), '^\\s+|\\s+$', '', 'g'), chr(10), ''), "
+          "'  ', ' ')), '€', 'EUR')")
+
+
+def header_values() -> str:
+    """Raw header rows of the 16 files as a VALUES list (f, col_idx, raw, titled)."""
+    from procura.sources import fixtures as FX
+    rows = []
+    for f in range(FX.N_FILES):
+        for i, h in enumerate(FX.sheet_headers(f)):
+            rows.append(f"({f}, {i}, '{h}', false)")
+        if f % 4 == 3:
+            for i, h in enumerate(FX.title_headers(f)):
+                rows.append(f"({f}, {i}, '{h}', true)")
+    return "hdr(f, col_idx, raw, title) AS (VALUES " + ", ".join(rows).replace("\n", "\n") + ")"
+
+
+SHEETS = f"""sheets AS (
+  SELECT src AS source, k % 16 AS f, 'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.xlsx' AS file,
+         count(*) AS n, count(*) FILTER (WHERE k % 97 = 0) AS n_sparse
+  FROM base WHERE src IN {_in(MAIL)} GROUP BY ALL
 )"""
 
 

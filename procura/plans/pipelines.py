@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import dates, rules, text
 from procura.operators import registry
-from procura.session import checkpoint_dir
+from procura.session import materialize  # noqa: F401  (re-export)
 
 
 def clean_values(df: DataFrame, cols=None) -> DataFrame:
@@ -74,11 +74,3 @@ def drop_all_null_keys(df: DataFrame) -> DataFrame:
     does): a filter on a cleaned column would be pushed back through every
     cleaning stage."""
     return df.dropna(how="all", subset=["objednavka_predmet", "cena", "datum"])
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
-    (``spark.checkpoint.dir``; set only when unset).  Survives executor loss,
-    and later filters run against stored columns."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

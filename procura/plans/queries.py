@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procura.functions import dates, rules, text
+from procura.operators import cells as C
 from procura.operators import registry, search
 from procura.plans import oracle as O
 from procura.plans import pipelines as P
@@ -215,3 +216,133 @@ FROM base b LEFT JOIN links l ON l.src = b.src""")
 def q_registry_lookup(spark, sf_dir):
     raw = FX.raw_orders(spark, sf_dir).select("k", "objednavatel")
     return registry.lookup_link(raw, registry_dim(spark, sf_dir)).select("k", "objednavatel", "link", "link_error")
+
+
+# ---------------------------------------------------------------- sheets in long cells
+
+def _cells(spark, sf_dir):
+    # the derived attachment cells stand in for files read from storage
+    return P.materialize(FX.raw_cells(spark, sf_dir))
+
+
+SHEET_COLS_SQL = "s.source, s.file"
+
+
+@register("normalise_headers", O.with_(O.BASE, O.SHEETS, O.header_values()) + f"""
+SELECT s.source, s.file, h.col_idx::INTEGER AS col_idx, {O.P1_SQL.format(x='h.raw')} AS header
+FROM sheets s JOIN hdr h ON h.f = s.f AND h.title = (s.f % 4 = 3)""")
+def q_normalise_headers(spark, sf_dir):
+    cells = _cells(spark, sf_dir).where(F.col("row_idx") == 0)
+    return cells.select("source", "file", "col_idx", text.normalise_header("value").alias("header"))
+
+
+@register("noise_rows_prefix", O.with_(O.BASE) + f"""
+SELECT src AS source, 'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.xlsx' AS file,
+       (k // 16) * 4 + 5 AS row_idx
+FROM base WHERE src IN {O._in(MAIL)} AND k % 16 % 4 = 1 AND k % 7 = 1""")
+def q_noise_rows_prefix(spark, sf_dir):
+    rows, _ = C.to_rows(_cells(spark, sf_dir))
+    kept = C.drop_noise_rows(rows)
+    return rows.join(kept, C.SHEET_KEY + ["row_idx"], "left_anti").select("source", "file", "row_idx")
+
+
+@register("drop_sparse_columns", O.with_(O.BASE, O.SHEETS) + """
+SELECT source, file, 11 AS col_idx FROM sheets
+WHERE f % 4 = 0 OR (f % 4 = 2 AND n_sparse < ceil(0.1 * n))""")
+def q_drop_sparse_columns(spark, sf_dir):
+    rows, heads = C.to_rows(_cells(spark, sf_dir))
+    rows = C.drop_noise_rows(rows)
+    _, kept_heads = C.drop_sparse_columns(rows, heads)
+    return C.dropped_columns(heads, kept_heads).select("source", "file", "col_idx")
+
+
+@register("drop_empty_columns", O.with_(O.BASE, O.SHEETS) + """
+SELECT source, file, 11 AS col_idx FROM sheets
+WHERE f % 4 = 0 OR (f % 4 = 2 AND n_sparse = 0)""")
+def q_drop_empty_columns(spark, sf_dir):
+    rows, heads = C.to_rows(_cells(spark, sf_dir))
+    _, kept_heads = C.drop_empty_columns(rows, heads)
+    return C.dropped_columns(heads, kept_heads).select("source", "file", "col_idx")
+
+
+@register("drop_sparse_rows", O.with_(O.BASE) + f"""
+SELECT src AS source, 'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.xlsx' AS file,
+       (k // 16) * 4 + 6 AS row_idx
+FROM base WHERE src IN {O._in(MAIL)} AND k % 16 % 4 = 0 AND k % 11 = 5""")
+def q_drop_sparse_rows(spark, sf_dir):
+    rows, heads = C.to_rows(_cells(spark, sf_dir))
+    rows = C.drop_noise_rows(rows)
+    rows, heads = C.drop_sparse_columns(rows, heads)
+    kept = C.drop_sparse_rows(rows, 2)
+    return rows.join(kept, C.SHEET_KEY + ["row_idx"], "left_anti").select("source", "file", "row_idx")
+
+
+@register("promote_header", O.with_(O.BASE, O.SHEETS) + """
+SELECT source, file, 3::BIGINT AS header_row_idx, CASE WHEN f = 15 THEN 11 ELSE 11 END AS n_cols
+FROM sheets WHERE f % 4 = 3""")
+def q_promote_header(spark, sf_dir):
+    _, heads = C.clean_sheets(_cells(spark, sf_dir))
+    return heads.where(F.col("header_row_idx") > 0).select("source", "file", "header_row_idx",
+                                                           F.size("h").alias("n_cols"))
+
+
+@register("header_census", O.with_(O.BASE, O.SHEETS, O.header_values()) + f"""
+SELECT s.source, s.file, 'harok1' AS sheet,
+       string_agg(DISTINCT {O.P1_SQL.format(x='h.raw')}, '|' ORDER BY {O.P1_SQL.format(x='h.raw')}) AS headers
+FROM sheets s JOIN hdr h ON h.f = s.f AND NOT h.title
+WHERE NOT (h.col_idx = 11 AND (s.f % 4 = 0 OR (s.f % 4 = 2 AND s.n_sparse < ceil(0.1 * s.n))))
+GROUP BY ALL""")
+def q_header_census(spark, sf_dir):
+    _, heads = C.clean_sheets(_cells(spark, sf_dir))
+    return C.header_census(heads)
+
+
+STD_VALUES = f"""
+  'obj-' || k::VARCHAR AS objednavka_cislo,
+  {O.dirty_date_lower()} AS datum,
+  {O.SUBJECT_WITH_QTY} AS objednavka_predmet,
+  lower(p_type) AS kategoria,
+  {O.dirty_price()} AS cena,
+  lower(s_name) AS dodavatel_nazov,
+  s_suppkey::VARCHAR || CASE WHEN s_suppkey % 2 = 1 THEN '.0' ELSE '' END AS dodavatel_ico,
+  CASE WHEN k % 5 <> 0 THEN 'vlastne zdroje' END AS zdroj_financovania,
+  CASE WHEN k % 3 <> 0 THEN lower(o_orderpriority) END AS poznamka,
+  ((k % 3) + 1)::VARCHAR AS pocet_oslovenych,
+  NULL::VARCHAR AS objednavatel, NULL::VARCHAR AS balenie, NULL::VARCHAR AS sukl_kod,
+  NULL::VARCHAR AS mnozstvo, NULL::VARCHAR AS odkaz_na_zmluvu,
+  CASE WHEN k % 16 IN {O.VAT_FILES} THEN 'ano' ELSE 'nie' END AS cena_s_dph"""
+
+
+@register("standardise_columns", O.with_(O.BASE) + f"""
+SELECT src AS source, 'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.xlsx' AS file, {STD_VALUES}
+FROM base WHERE src IN {O._in(MAIL)}""")
+def q_standardise_columns(spark, sf_dir):
+    rows, heads = C.clean_sheets(_cells(spark, sf_dir))
+    return C.standardise(rows, heads).drop("sheet", "row_idx")
+
+
+@register("vat_flag", O.with_(O.BASE, O.SHEETS) + f"""
+SELECT source, file, CASE WHEN f IN {O.VAT_FILES} THEN 'ano' ELSE 'nie' END AS cena_s_dph FROM sheets""")
+def q_vat_flag(spark, sf_dir):
+    rows, heads = C.clean_sheets(_cells(spark, sf_dir))
+    return C.standardise(rows, heads).select("source", "file", "cena_s_dph").distinct()
+
+
+def mail_pipeline(spark, sf_dir) -> DataFrame:
+    """E1 over mail attachments: clean sheets -> standardise -> distinct ->
+    F7 -> price/date cleaning -> packed final rows."""
+    rows, heads = C.clean_sheets(_cells(spark, sf_dir))
+    std = (C.standardise(rows, heads)
+             .withColumn("objednavatel", F.col("source"))
+             .withColumn("insert_date", FX.insert_ts())
+             .drop("sheet", "row_idx", "source")
+             .distinct())
+    cleaned = P.clean_orders(P.drop_all_null_keys(std))
+    return P.final_rows(cleaned, registry_dim(spark, sf_dir))
+
+
+@register("pipeline_mail", O.with_(O.BASE, O.LINK_CTE, O.mail_final_cte(
+    "mail_final", f"CASE WHEN k % 16 IN {O.VAT_FILES} THEN 'ano' ELSE 'nie' END")) + """
+SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM mail_final""")
+def q_pipeline_mail(spark, sf_dir):
+    return mail_pipeline(spark, sf_dir).drop("_errors")

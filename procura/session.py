@@ -41,3 +41,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (``spark.checkpoint.dir``; a scratch folder only when unset).  Survives
+    executor loss; later filters and joins read stored columns."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -110,7 +110,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         dirty_price(k, cents, src).alias("cena"),
         dirty_date(k, d).alias("datum"),
         F.concat(F.lit("OBJ-"), k.cast("string")).alias("objednavka_cislo"),
-        F.when(k % 5 == 0, F.lit("Vlastné zdroje")).otherwise(null).alias("zdroj_financovania"),
+        F.when(k % 5 != 0, F.lit("Vlastné zdroje")).otherwise(null).alias("zdroj_financovania"),
         null.alias("balenie"),
         null.alias("sukl_kod"),
         null.alias("mnozstvo"),
@@ -124,3 +124,94 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         insert_ts().alias("insert_date"),
         F.lit("nie").alias("cena_s_dph"),
     )
+
+
+# ---------------------------------------------------------------- raw_cells (long sheet layout)
+
+SHEET = "harok1"
+SHEET_COLUMNS = ["objednavka_cislo", "datum", "objednavka_predmet", "kategoria", "cena", "dodavatel_nazov",
+                 "dodavatel_ico", "zdroj_financovania", "poznamka", "pocet_oslovenych"]
+ROWNUM_HEADER = "Poradové číslo"    # not an alias: dropped by standardisation
+SPARSE_HEADER = "SUKL kód lieku"    # ~1 % filled: dropped by the sparse-column rule
+EMPTY_HEADER = "Poznámka 2"         # never filled
+TITLE = "Zoznam objednávok"
+INFO_ROW = ["Informácie o vystavení objednávok", "za obdobie", "01.01.2019", "strana", "1"]
+NOISE_ROW = ["Vypracovala: Nováková", "tel.: 041/123"]
+LONE_CELL = "Medzisúčet"
+
+
+def decorate(alias: str, f: int) -> str:
+    """Raw spelling of an alias in file ``f`` (undone by header normalisation)."""
+    m = f % 4
+    if m == 0:
+        return alias
+    if m == 1:
+        return alias.upper()
+    if m == 2:
+        return "  " + alias.replace(" ", " \n", 1) + " "
+    return alias.replace("a", "á")
+
+
+def sheet_headers(f: int) -> list[str]:
+    """Raw header row of file ``f`` (index = col_idx)."""
+    h = [ROWNUM_HEADER] + [decorate(rules.ALIASES[c][f % len(rules.ALIASES[c])], f) for c in SHEET_COLUMNS]
+    if f % 4 == 2:
+        h.append(SPARSE_HEADER)
+    if f % 4 == 0:
+        h.append(EMPTY_HEADER)
+    return h
+
+
+def title_headers(f: int) -> list[str]:
+    return [TITLE] + [f"Unnamed: {i}" for i in range(1, len(sheet_headers(f)))]
+
+
+def data_row_idx(k: Column) -> Column:
+    return (k / N_FILES).cast("bigint") * 4 + 4
+
+
+def raw_cells(spark: SparkSession, sf_dir: str, sources=None) -> DataFrame:
+    """Mail attachments as long cells ``(source, file, sheet, row_idx, col_idx,
+    value)``; row 0 is the header row, null cells are present.  Files by
+    ``k % 16``: f%4==1 carry noise rows, f%4==2 an almost empty column,
+    f%4==0 an empty column and lone-cell rows, f%4==3 a title row with
+    'Unnamed' headers (the real header is row 3; file 15 adds an info row)."""
+    from procura.functions import rules as R
+    ro = raw_orders(spark, sf_dir).where(F.col("objednavatel").isin(list(sources or R.MAIL_DOMAIN)))
+    k = F.col("k")
+    f = (k % N_FILES).cast("int")
+    null = F.lit(None).cast("string")
+    data_vals = [(k / N_FILES).cast("bigint").__add__(1).cast("string")] + [F.col(c) for c in SHEET_COLUMNS]
+    extra = (F.when(f % 4 == 2, F.array(F.when(k % 97 == 0, F.concat(F.lit("S"), k.cast("string"))).otherwise(null)))
+             .when(f % 4 == 0, F.array(null)).otherwise(F.array().cast("array<string>")))
+    data = F.concat(F.array(*data_vals), extra)
+    base_idx = data_row_idx(k)
+    n_cols = len(SHEET_COLUMNS) + 2
+    noise = F.array(*[F.lit(v) for v in NOISE_ROW], *[null] * (n_cols - len(NOISE_ROW) - 1))
+    lone = F.array(null, F.lit(LONE_CELL), *[null] * (n_cols - 3))
+    rows = F.array(
+        F.struct(base_idx.alias("row_idx"), data.alias("vals")),
+        F.when((f % 4 == 1) & (k % 7 == 1), F.struct((base_idx + 1).alias("row_idx"), noise.alias("vals"))),
+        F.when((f % 4 == 0) & (k % 11 == 5), F.struct((base_idx + 2).alias("row_idx"), lone.alias("vals"))),
+    )
+    body = (ro.select(F.col("objednavatel").alias("source"), F.col("file"), f.alias("f"),
+                      F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+              .select("source", "file", "f", "r.row_idx", F.posexplode("r.vals").alias("col_idx", "value")))
+    # header rows: one per (source, file); the literal header lists are indexed by f
+    sheets = ro.select(F.col("objednavatel").alias("source"), "file", f.alias("f")).distinct()
+    lit_rows = lambda rows_by_f: F.element_at(
+        F.array(*[F.array(*[F.lit(v) for v in rows_by_f(i)]) for i in range(N_FILES)]), F.col("f") + 1)
+    head = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("row_idx"),
+                 F.when(F.col("f") % 4 == 3, lit_rows(title_headers)).otherwise(lit_rows(sheet_headers)).alias("vals")),
+        F.when(F.col("f") == 15, F.struct(F.lit(2).cast("bigint").alias("row_idx"),
+                                          F.array(*[F.lit(v) for v in INFO_ROW],
+                                                  *[null] * (n_cols - 1 - len(INFO_ROW))).alias("vals"))),
+        F.when(F.col("f") % 4 == 3, F.struct(F.lit(3).cast("bigint").alias("row_idx"),
+                                             lit_rows(sheet_headers).alias("vals"))),
+    )
+    heads = (sheets.select("source", "file", "f", F.explode(F.filter(head, lambda r: r.isNotNull())).alias("r"))
+                   .select("source", "file", "f", "r.row_idx", F.posexplode("r.vals").alias("col_idx", "value")))
+    return (body.unionByName(heads)
+                .select("source", "file", F.lit(SHEET).alias("sheet"), "row_idx",
+                        F.col("col_idx").cast("int"), "value"))
