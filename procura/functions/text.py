@@ -49,6 +49,15 @@ def normalise_header(c) -> Column:
     return fold_accents(x)
 
 
+def normalise_name(name: str) -> str:
+    """P1 for a column *name* known on the driver (metadata, not data)."""
+    x = str(name).lower().strip().replace("\n", "").replace("  ", " ")
+    x = x.translate(str.maketrans(rules.ACCENTED, rules.UNACCENTED))
+    for src, dst in rules.MULTI_FOLD:
+        x = x.replace(src, dst)
+    return x
+
+
 def collapse_spaces(c) -> Column:
     """Whitespace-collapsed form used to compare headers with aliases."""
     return F.regexp_replace(_c(c), U + r"\s+", " ")

@@ -158,3 +158,62 @@ SHEETS = f"""sheets AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+MSG = f"""msg AS (
+  SELECT event_id AS message_id, ts AS received_at, user_id,
+         {SRC_LIST}[(user_id % {N_SRC}) + 1] AS source,
+         'objednavky_' || event_id::VARCHAR || '.' ||
+           CASE event_type WHEN 'view' THEN 'xlsx' WHEN 'click' THEN 'png' WHEN 'signup' THEN 'pdf'
+                           WHEN 'error' THEN 'jpg' WHEN 'purchase' THEN 'ods' END AS attachment
+  FROM events
+),
+marks AS (
+  SELECT unnest({SRC_LIST}) AS source, TIMESTAMP '2024-01-01' + to_days(CAST(generate_subscripts({SRC_LIST}, 1) - 1 AS INTEGER)) AS last_update
+)"""
+
+
+def mail_final_k(name: str = "mf") -> str:
+    """Mail final rows with their order key."""
+    return mail_final_cte(name).replace("  SELECT src AS objednavatel,", "  SELECT k, src AS objednavatel,", 1)
+
+
+WEB_MARKS = {"fntn": "2025-01-01", "donsp": "2024-07-01"}
+# page assignment of the web fixture and the date the pager parses (raw text:
+# the capitalised weekday form and invalid days give no date).  An empty web
+# cell is missing (not ''), so an empty donsp price stays null.
+WEB = f"""web0 AS (
+  SELECT b.*, max(d) OVER (PARTITION BY src) AS mx FROM base b WHERE src IN ('fntn', 'donsp')
+), web1 AS (
+  SELECT *, date_diff('day', d, mx) // 7 AS w FROM web0
+), web AS (
+  SELECT *, w * 1000000000 + k % CAST(ceil(count(*) OVER (PARTITION BY src, w) / 25) AS BIGINT) AS page,
+         CASE WHEN k % 10 IN (7, 8, 9) THEN NULL ELSE d END AS scan_d,
+         CASE src WHEN 'fntn' THEN TIMESTAMP '{WEB_MARKS["fntn"]}' ELSE TIMESTAMP '{WEB_MARKS["donsp"]}' END AS hwm
+  FROM web1
+), pstop AS (
+  SELECT src, min(page) FILTER (WHERE NOT coalesce(pmax >= hwm, false)) AS stop
+  FROM (SELECT src, page, max(scan_d) AS pmax, any_value(hwm) AS hwm FROM web GROUP BY src, page) GROUP BY src
+), scanned AS (
+  SELECT web.* FROM web JOIN pstop USING (src)
+  WHERE (pstop.stop IS NULL OR web.page <= pstop.stop) AND (scan_d IS NULL OR scan_d >= hwm)
+)"""
+
+FNTN_POPIS = """json_merge_patch('{}', json_object(
+    'objednavka_predmet', p_name || CASE WHEN k % 4 = 0 THEN ' ' || (((k // 4) % 12) + 1)::VARCHAR || 'x' ELSE '' END,
+    'objednavka_cislo', 'obj-' || k::VARCHAR, 'cislo zmluvy', 'z-' || k::VARCHAR, 'schvalil', 'ing. novak',
+    'cena_s_dph', 'ano'))::VARCHAR"""
+DONSP_POPIS = """json_merge_patch('{}', json_object(
+    'objednavka_predmet', p_name || CASE WHEN k % 4 = 0 THEN ' ' || (((k // 4) % 12) + 1)::VARCHAR || 'x' ELSE '' END,
+    'objednavka_cislo', 'obj-' || k::VARCHAR, 'cena_s_dph', 'nie'))::VARCHAR"""
+FNTN_DODAVATEL = """json_merge_patch('{}', json_object('dodavatel_nazov', lower(s_name), 'dodavatel_ico', s_suppkey::VARCHAR))::VARCHAR"""
+
+WEB_FINAL = f"""web_final AS (
+  SELECT k, src AS objednavatel,
+         CASE WHEN src = 'fntn' THEN cents / 100 WHEN k % 6 = 5 THEN NULL ELSE {PRICE} END AS cena,
+         CASE WHEN src = 'fntn' THEN scan_d ELSE {DATE_DONSP} END AS datum,
+         CASE WHEN src = 'fntn' THEN {FNTN_DODAVATEL} ELSE {DODAVATEL_JSON} END AS dodavatel,
+         CASE WHEN src = 'fntn' THEN {FNTN_POPIS} ELSE {DONSP_POPIS} END AS popis,
+         TIMESTAMP '2024-06-01 12:00:00' AS insert_date, 'web' AS file, l.link
+  FROM web LEFT JOIN links l USING (src)
+)"""

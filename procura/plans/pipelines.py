@@ -57,14 +57,14 @@ def pack_attributes(df: DataFrame, popis_list=None, dodavatel_list=None) -> Data
 
 
 def final_rows(df: DataFrame, dim: DataFrame, popis_list=None, dodavatel_list=None,
-               keep_errors: bool = True) -> DataFrame:
+               keep_errors: bool = True, extra=()) -> DataFrame:
     """P8 + J1 + P9: packed attributes, registry link, the 8 final columns."""
     packed = pack_attributes(df, popis_list, dodavatel_list)
     linked = registry.lookup_link(packed, dim)
     if "_errors" not in linked.columns:
         linked = linked.withColumn("_errors", F.array().cast("array<string>"))
     linked = linked.withColumn("_errors", F.concat("_errors", text.collect_errors("link_error")))
-    cols = rules.FINAL_COLUMNS + (["_errors"] if keep_errors else [])
+    cols = list(extra) + rules.FINAL_COLUMNS + (["_errors"] if keep_errors else [])
     return linked.select(*cols)
 
 

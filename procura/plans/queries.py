@@ -346,3 +346,264 @@ def mail_pipeline(spark, sf_dir) -> DataFrame:
 SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM mail_final""")
 def q_pipeline_mail(spark, sf_dir):
     return mail_pipeline(spark, sf_dir).drop("_errors")
+
+
+# ---------------------------------------------------------------- de-duplication and keyed merges
+
+from procura.operators import dedupe as D  # noqa: E402
+from procura.operators import incremental as INC  # noqa: E402
+
+
+def mail_final_k(spark, sf_dir) -> DataFrame:
+    return P.final_rows(mail_clean(spark, sf_dir), registry_dim(spark, sf_dir), keep_errors=False, extra=["k"])
+
+
+def _dedupe_sides(spark, sf_dir):
+    fr = P.materialize(mail_final_k(spark, sf_dir))
+    stored = fr.where(F.col("k") % 2 == 0)
+    nulls = fr.where(F.col("k") % 1000 == 3).select(
+        "k", F.lit("unknown").alias("objednavatel"),
+        *[F.lit(None).cast(fr.schema[c].dataType).alias(c) for c in D.DEDUPE_KEYS])
+    new = (fr.where(F.col("k") % 3 == 0)
+             .unionByName(fr.where(F.col("k") % 9 == 0))          # a key repeated in the batch
+             .unionByName(nulls, allowMissingColumns=True))        # rows whose keys are all null
+    return new, stored
+
+
+@register("symmetric_unique", O.with_(O.BASE, O.LINK_CTE, O.mail_final_k()) + """
+SELECT k, objednavatel, cena, datum FROM mf
+WHERE (k % 3 = 0 AND k % 2 <> 0 AND k % 9 <> 0) OR (k % 2 = 0 AND k % 3 <> 0)""")
+def q_symmetric_unique(spark, sf_dir):
+    new, stored = _dedupe_sides(spark, sf_dir)
+    return D.symmetric_unique(new, stored).select("k", "objednavatel", "cena", "datum")
+
+
+@register("new_rows_anti", O.with_(O.BASE, O.LINK_CTE, O.mail_final_k()) + """
+SELECT objednavatel, popis, cena, datum, dodavatel FROM mf WHERE k % 3 = 0 AND k % 2 <> 0
+UNION ALL SELECT 'unknown', NULL, NULL, NULL, NULL""")
+def q_new_rows_anti(spark, sf_dir):
+    new, stored = _dedupe_sides(spark, sf_dir)
+    return D.new_rows_anti(new, stored).select("objednavatel", "popis", "cena", "datum", "dodavatel")
+
+
+@register("distinct_rows", O.with_(O.BASE) + """
+SELECT k, src AS objednavatel, 'OBJ-' || k::VARCHAR AS objednavka_cislo FROM base""")
+def q_distinct_rows(spark, sf_dir):
+    raw = FX.raw_orders(spark, sf_dir)
+    doubled = raw.unionByName(raw.where(F.col("k") % 7 == 0))
+    return D.distinct_rows(doubled).select("k", "objednavatel", "objednavka_cislo")
+
+
+@register("upsert_latest", O.with_(O.BASE, O.LINK_CTE, O.mail_final_k()) + """
+SELECT k, CASE WHEN k % 5 = 0 THEN cena + 1 ELSE cena END AS cena FROM mf""")
+def q_upsert_latest(spark, sf_dir):
+    fr = mail_final_k(spark, sf_dir).select("k", "cena")
+    base = fr.withColumn("version", F.lit(0))
+    changes = fr.where(F.col("k") % 5 == 0).select("k", (F.col("cena") + 1).alias("cena"), F.lit(1).alias("version"))
+    return D.upsert_latest(base, changes, ["k"]).select("k", "cena")
+
+
+@register("union_missing", O.with_(O.BASE, O.LINK_CTE, O.mail_final_k()) + """
+SELECT k, objednavatel, cena, NULL::VARCHAR AS poznamka_web FROM mf
+UNION ALL
+SELECT k, src AS objednavatel, NULL::DOUBLE AS cena, 'web ' || k::VARCHAR AS poznamka_web FROM base WHERE k % 50 = 0""")
+def q_union_missing(spark, sf_dir):
+    a = mail_final_k(spark, sf_dir).select("k", "objednavatel", "cena")
+    b = FX.raw_orders(spark, sf_dir).where(F.col("k") % 50 == 0).select(
+        "k", "objednavatel", F.concat(F.lit("web "), F.col("k").cast("string")).alias("poznamka_web"))
+    return D.union_missing(a, b)
+
+
+@register("dedupe_columns", O.with_(O.BASE) + f"""
+SELECT k, {O.DATE} AS datum, {O.DATE_ERR} AS datum_error, k % 7 AS k7 FROM base""")
+def q_dedupe_columns(spark, sf_dir):
+    raw = P.clean_values(FX.raw_orders(spark, sf_dir), ["datum"])
+    parsed = dates.parse_dates_df(raw, "datum", "datum", "datum_error").select(
+        "k", "datum", F.col("datum").alias("datum_copy"), "datum_error", (F.col("k") % 7).alias("k7"))
+    return D.dedupe_columns(P.materialize(parsed))
+
+
+# ---------------------------------------------------------------- incremental loading and status
+
+@register("high_water_marks", O.with_(O.BASE, O.LINK_CTE, O.MAIL_FINAL) + """
+SELECT objednavatel, date_trunc('minute', max(insert_date)) AS last_update, max(datum) AS last_datum
+FROM mail_final GROUP BY objednavatel""")
+def q_high_water_marks(spark, sf_dir):
+    return INC.high_water_marks(mail_final(spark, sf_dir))
+
+
+@register("history_lookup", O.with_(O.BASE, O.LINK_CTE, O.MAIL_FINAL) + """
+SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM mail_final
+WHERE objednavatel = 'unb' AND file LIKE '%1%'""")
+def q_history_lookup(spark, sf_dir):
+    hist = P.materialize(mail_final(spark, sf_dir).drop("_errors"))
+    return INC.history_lookup(hist, "unb", year=1)
+
+
+@register("attachment_select", O.with_(O.MSG) + f"""
+SELECT m.source, m.message_id, strftime(m.received_at, '%d_%m_%Y_%I_%M_%S') || '_' || m.attachment AS saved_name
+FROM msg m JOIN marks USING (source)
+WHERE m.source IN {O._in(MAIL)} AND m.user_id % 5 <> 0 AND m.received_at > marks.last_update
+  AND NOT regexp_matches(m.attachment, '^.*\\.(png|jpg)')""")
+def q_attachment_select(spark, sf_dir):
+    return INC.select_attachments(FX.messages(spark, sf_dir), FX.source_marks(spark))
+
+
+@register("incremental_batch", O.with_(O.MSG) + """
+SELECT m.source, count(*) AS rows FROM msg m JOIN marks USING (source)
+WHERE m.received_at > marks.last_update GROUP BY m.source""")
+def q_incremental_batch(spark, sf_dir):
+    msgs = FX.table(spark, sf_dir, "events").select(FX.source_of(F.col("user_id")).alias("source"),
+                                                    F.col("ts").alias("received_at"))
+    newer = INC.incremental_batch(msgs, FX.source_marks(spark), "received_at")
+    return newer.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("batch_status", O.with_(O.MSG) + f"""
+, sel AS (
+  SELECT m.source FROM msg m JOIN marks USING (source)
+  WHERE m.source IN {O._in(MAIL)} AND m.user_id % 5 <> 0 AND m.received_at > marks.last_update
+    AND NOT regexp_matches(m.attachment, '^.*\\.(png|jpg)')
+)
+SELECT s.source AS objednavatel, count(sel.source) AS rows,
+       CASE WHEN count(sel.source) > 0 THEN 'ok' ELSE 'no_new_data' END AS status
+FROM (SELECT unnest({O.SRC_LIST}) AS source) s LEFT JOIN sel USING (source) GROUP BY s.source""")
+def q_batch_status(spark, sf_dir):
+    sel = INC.select_attachments(FX.messages(spark, sf_dir), FX.source_marks(spark))
+    sources = spark.createDataFrame([(s,) for s in rules.SOURCES], "objednavatel string")
+    return INC.batch_status(sel.withColumnRenamed("source", "objednavatel"), sources)
+
+
+@register("lookup_by_field", O.with_(O.BASE) + f"""
+SELECT 'nazov_dodavatela' AS search_by, k FROM base WHERE src IN {O._in(MAIL)} AND contains(lower(s_name), 'supplier#00000001')
+UNION ALL SELECT 'cislo_objednavky', k FROM base WHERE src IN {O._in(MAIL)} AND k = 42
+UNION ALL SELECT 'ICO', k FROM base WHERE src IN {O._in(MAIL)} AND s_suppkey = 17""")
+def q_lookup_by_field(spark, sf_dir):
+    rows = P.clean_values(mail_raw(spark, sf_dir))
+    parts = [search.lookup_by_field(rows, "nazov_dodavatela", "supplier#00000001").select(F.lit("nazov_dodavatela").alias("search_by"), "k"),
+             search.lookup_by_field(rows, "cislo_objednavky", "obj-42").select(F.lit("cislo_objednavky").alias("search_by"), "k"),
+             search.lookup_by_field(rows, "ICO", "17.0").select(F.lit("ICO").alias("search_by"), "k")]
+    return D.union_missing(*parts)
+
+
+# ---------------------------------------------------------------- registry overrides
+
+OVERRIDES = [
+    (rules.REGISTRY_KEY["fnnitra"], "objednavky_faktury_link", "https://example.org/fnnitra/new/", False),
+    (rules.REGISTRY_KEY["donsp"] + "_2020", registry.LINK_ATTR, "https://example.org/donsp/2020/", True),
+    (rules.REGISTRY_KEY["nsptrstena"], registry.LINK_ATTR, "https://example.org/nsptrstena/2023.pdf", True),
+]
+
+
+def _ov_sql() -> str:
+    return ", ".join(f"('{k}', '{a}', '{v}', {str(r).lower()})" for k, a, v, r in OVERRIDES)
+
+
+@register("registry_overrides", O.with_(O.LINK_CTE) + f"""
+, keys AS (SELECT * FROM (VALUES {", ".join(f"('{s}', '{k}')" for s, k in rules.REGISTRY_KEY.items())}) t(src, key)),
+ov(key, attr, value, replace_all) AS (VALUES {_ov_sql()}),
+base_attrs AS (
+  SELECT keys.key, 'zverejnovanie_objednavok_faktur_rozne' AS attr, links.link AS value FROM links JOIN keys USING (src)
+  UNION ALL SELECT keys.key, 'skratka', links.src FROM links JOIN keys USING (src)
+)
+SELECT key, attr, value FROM base_attrs
+WHERE key NOT IN (SELECT key FROM ov WHERE replace_all) AND (key, attr) NOT IN (SELECT key, attr FROM ov)
+UNION ALL SELECT key, attr, value FROM ov""")
+def q_registry_overrides(spark, sf_dir):
+    ov = spark.createDataFrame(OVERRIDES, "key string, attr string, value string, replace_all boolean")
+    dim = registry.apply_overrides(registry_dim(spark, sf_dir), ov)
+    return dim.select("key", F.explode("attributes").alias("attr", "value"))
+
+
+# ---------------------------------------------------------------- web sources
+
+from procura.plans import web as WEB  # noqa: E402
+from procura.sources import html as HTML  # noqa: E402
+
+
+def web_marks(spark) -> DataFrame:
+    return spark.createDataFrame(list(O.WEB_MARKS.items()), "source string, hwm string").select(
+        "source", F.col("hwm").cast("timestamp_ntz").alias("hwm"))
+
+
+def _pages(spark, sf_dir):
+    return P.materialize(FX.html_pages(spark, sf_dir))
+
+
+@register("html_table_cells", O.with_(O.BASE, O.LINK_CTE, O.WEB) + """
+SELECT src AS source, page, CASE WHEN src = 'fntn' THEN count(*) + 1 ELSE count(*) + 2 END AS n_rows,
+       CASE WHEN src = 'fntn' THEN (count(*) + 1) * 11 ELSE (count(*) + 2) * 7 END AS n_cells
+FROM web GROUP BY src, page""")
+def q_html_table_cells(spark, sf_dir):
+    drv = FX.table(spark, sf_dir, "pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("page"), "html")
+    pages = _pages(spark, sf_dir).select("source", "page", "html").unionByName(drv)
+    cells = HTML.table_cells(pages)
+    return cells.groupBy("source", "page").agg(F.countDistinct("row_idx").alias("n_rows"),
+                                               F.count(F.lit(1)).alias("n_cells"))
+
+
+@register("paged_hwm_scan", O.with_(O.BASE, O.WEB) + """
+SELECT src AS source, 'obj-' || k::VARCHAR AS objednavka_cislo, page, scan_d AS datum FROM scanned
+UNION ALL  -- donsp footer rows ('Strana n') of every page read: no date, so kept by the scan
+SELECT DISTINCT 'donsp', 'strana ' || page::VARCHAR, page, NULL::TIMESTAMP FROM web JOIN pstop USING (src)
+WHERE src = 'donsp' AND (pstop.stop IS NULL OR page <= pstop.stop)""")
+def q_paged_hwm_scan(spark, sf_dir):
+    pages = _pages(spark, sf_dir)
+    out = [WEB.scanned_rows(pages, s, web_marks(spark)).select(
+        "source", text.clean_string(F.col(f"`{FX.FNTN_HEADERS[0]}`")).alias("objednavka_cislo"), "page", "datum")
+        for s in FX.WEB_SOURCES]
+    return out[0].unionByName(out[1])
+
+
+@register("clean_fntn", O.with_(O.BASE, O.LINK_CTE, O.WEB, O.WEB_FINAL) + """
+SELECT cena, datum, dodavatel, popis, file, link FROM web_final WHERE objednavatel = 'fntn'""")
+def q_clean_fntn(spark, sf_dir):
+    rows = WEB.with_scan_date(WEB.named_rows(_pages(spark, sf_dir).where("source = 'fntn'"), FX.FNTN_HEADERS),
+                              WEB.DATE_COLUMN["fntn"])
+    return WEB.web_final(WEB.clean_fntn(rows), "fntn", registry_dim(spark, sf_dir)).select(
+        "cena", "datum", "dodavatel", "popis", "file", "link")
+
+
+@register("clean_donsp", O.with_(O.BASE, O.LINK_CTE, O.WEB, O.WEB_FINAL) + """
+SELECT cena, datum, dodavatel, popis, file, link FROM web_final WHERE objednavatel = 'donsp'""")
+def q_clean_donsp(spark, sf_dir):
+    rows = WEB.named_rows(_pages(spark, sf_dir).where("source = 'donsp'"), FX.DONSP_HEADERS)
+    return WEB.web_final(WEB.clean_donsp(rows), "donsp", registry_dim(spark, sf_dir)).select(
+        "cena", "datum", "dodavatel", "popis", "file", "link")
+
+
+@register("noise_rows_search", O.with_(O.BASE, O.WEB) + """
+SELECT DISTINCT page FROM web WHERE src = 'donsp'""")
+def q_noise_rows_search(spark, sf_dir):
+    rows = WEB.named_rows(_pages(spark, sf_dir).where("source = 'donsp'"), FX.DONSP_HEADERS)
+    raw_vals = F.array(*[F.col(f"`{h}`") for h in FX.DONSP_HEADERS])
+    return rows.where(F.exists(raw_vals, lambda v: v.rlike(rules.NOISE_DONSP))).select("page")
+
+
+def web_history(spark, sf_dir, pages, dim) -> DataFrame:
+    """Stored web rows: every even order of both sources (all pages)."""
+    out = []
+    for s in FX.WEB_SOURCES:
+        hdr = FX.FNTN_HEADERS if s == "fntn" else FX.DONSP_HEADERS
+        rows = WEB.named_rows(pages.where(F.col("source") == s), hdr)
+        even = F.try_element_at(F.split(F.col(f"`{hdr[0]}`"), "-"), F.lit(2)).try_cast("bigint") % 2 == 0
+        rows = rows.where(even)
+        cleaned = (WEB.clean_fntn(WEB.with_scan_date(rows, WEB.DATE_COLUMN[s])) if s == "fntn"
+                   else WEB.clean_donsp(rows))
+        out.append(WEB.web_final(cleaned, s, dim).drop("_errors"))
+    return out[0].unionByName(out[1])
+
+
+@register("pipeline_web", O.with_(O.BASE, O.LINK_CTE, O.WEB, O.WEB_FINAL) + """
+, new_rows AS (SELECT wf.* FROM web_final wf JOIN scanned USING (k)),
+stored AS (SELECT wf.* FROM web_final wf JOIN web USING (k)
+           WHERE k % 2 = 0 AND CAST(wf.datum AS DATE) = CAST(web.hwm AS DATE)),
+u AS (SELECT * FROM new_rows UNION ALL SELECT * FROM stored)
+SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM u
+QUALIFY count(*) OVER (PARTITION BY popis, cena, datum, dodavatel) = 1""")
+def q_pipeline_web(spark, sf_dir):
+    pages = _pages(spark, sf_dir)
+    dim = registry_dim(spark, sf_dir)
+    hist = P.materialize(web_history(spark, sf_dir, pages, dim))
+    out = [WEB.web_pipeline(pages, s, web_marks(spark), hist, dim) for s in FX.WEB_SOURCES]
+    return out[0].unionByName(out[1])

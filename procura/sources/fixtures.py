@@ -215,3 +215,103 @@ def raw_cells(spark: SparkSession, sf_dir: str, sources=None) -> DataFrame:
     return (body.unionByName(heads)
                 .select("source", "file", F.lit(SHEET).alias("sheet"), "row_idx",
                         F.col("col_idx").cast("int"), "value"))
+
+
+# ---------------------------------------------------------------- mail messages (from events)
+
+ATTACHMENT_EXT = {"view": "xlsx", "click": "png", "signup": "pdf", "error": "jpg", "purchase": "ods"}
+WRONG_DOMAIN = ".cz"
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mail-client listing derived from ``events``: sender by ``user_id % 21``
+    with the source's domain (every fifth user writes from a foreign
+    domain), received at ``ts``, one attachment named by the event type."""
+    from itertools import chain
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    src = source_of(F.col("user_id"))
+    dom = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in rules.MAIL_DOMAIN.items()))
+    ext = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in ATTACHMENT_EXT.items()))
+    domain = F.when(F.col("user_id") % 5 == 0, F.lit(WRONG_DOMAIN)).otherwise(
+        F.coalesce(F.try_element_at(dom, src), F.lit(".sk")))
+    return e.select(
+        F.col("event_id").alias("message_id"),
+        F.concat(F.lit("podatelna@"), src, domain).alias("sender"),
+        F.col("ts").alias("received_at"),
+        (F.col("ts") - F.expr("INTERVAL 1 MINUTE")).alias("sent_on"),
+        F.concat(F.lit("objednavky_"), F.col("event_id").cast("string"), F.lit("."),
+                 F.try_element_at(ext, F.col("event_type"))).alias("attachment"),
+    )
+
+
+def source_marks(spark: SparkSession) -> DataFrame:
+    """Per-source load marks used by the incremental examples: day ``i`` of
+    January 2024 for the i-th source."""
+    rows = [(s, i) for i, s in enumerate(rules.SOURCES)]
+    return (spark.createDataFrame(rows, "source string, i int")
+                 .select("source", (F.lit("2024-01-01").cast("timestamp_ntz")
+                                    + F.make_interval(days=F.col("i"))).alias("last_update")))
+
+
+# ---------------------------------------------------------------- web tables (html pages)
+
+ROWS_PER_PAGE = 25
+FNTN_HEADERS = ["Číslo objednávky", "Názov dodávateľa", "Popis", "IČO dodávateľa", "Cena s DPH (€)",
+                "Dátum vyhotovenia", "Číslo zmluvy", "Schválil", "Mesto dodávateľa", "PSČ dodávateľa",
+                "Adresa dodávateľa"]
+DONSP_HEADERS = ["Číslo objednávky", "Dodávateľ", "IČO", "Suma", "Predmet objednávky", "Dátum zverejnenia",
+                 "Meno schvaľujúceho"]
+WEB_SOURCES = ("fntn", "donsp")
+PAGE_SPAN = 1_000_000_000  # pages of one week: week_index * PAGE_SPAN + sub-page
+
+
+def web_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the two web sources with their page number: newest week is
+    page 0..; a week is split into sub-pages of ~25 rows by ``k % n_sub``."""
+    ro = raw_orders(spark, sf_dir).where(F.col("objednavatel").isin(list(WEB_SOURCES)))
+    b = orders_base(spark, sf_dir).select(F.col("o_orderkey").alias("k"), clean_date(F.col("o_orderdate")).alias("_d"))
+    ro = ro.join(b, "k")
+    mx = ro.groupBy("objednavatel").agg(F.max("_d").alias("_mx"))
+    ro = ro.join(mx, "objednavatel").withColumn("_w", (F.datediff("_mx", "_d") / 7).cast("bigint"))
+    nw = ro.groupBy("objednavatel", "_w").agg(F.count(F.lit(1)).alias("_n"))
+    ro = ro.join(nw, ["objednavatel", "_w"]).withColumn(
+        "page", F.col("_w") * PAGE_SPAN + F.col("k") % F.ceil(F.col("_n") / ROWS_PER_PAGE))
+    return ro.drop("_mx", "_n", "_w")
+
+
+def _td(x: Column, tag: str = "td") -> Column:
+    return F.concat(F.lit(f"<{tag}>"), F.coalesce(x, F.lit("")), F.lit(f"</{tag}>"))
+
+
+def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One html page per (source, page) holding a single ``<table>``: fntn
+    with a ``<th>`` header, donsp with the header as first plain row and a
+    'Strana n' footer row.  Rows in a page are ordered by date, newest first."""
+    r = web_rows(spark, sf_dir)
+    k = F.col("k")
+    fntn_cells = [F.col("objednavka_cislo"), F.col("dodavatel_nazov"), F.col("objednavka_predmet"),
+                  F.col("dodavatel_ico"), F.col("cena"), F.col("datum"),
+                  F.concat(F.lit("Z-"), k.cast("string")), F.lit("Ing. Novák"), F.lit("Trenčín"),
+                  F.lit("911 01"), F.lit("Legionárska 28")]
+    donsp_cells = [F.col("objednavka_cislo"), F.col("dodavatel_nazov"), F.col("dodavatel_ico"), F.col("cena"),
+                   F.col("objednavka_predmet"), F.col("datum"), F.lit("Mgr. Kováč")]
+    row_html = F.when(F.col("objednavatel") == "fntn", F.concat(F.lit("<tr>"), *[_td(c) for c in fntn_cells],
+                                                                F.lit("</tr>"))) \
+                .otherwise(F.concat(F.lit("<tr>"), *[_td(c) for c in donsp_cells], F.lit("</tr>")))
+    pages = (r.groupBy("objednavatel", "page")
+              .agg(F.sort_array(F.collect_list(F.struct(F.col("_d").alias("d"), k.alias("k"), row_html.alias("h"))),
+                                asc=False).alias("rows")))
+    body = F.array_join(F.transform("rows", lambda x: x["h"]), "")
+    head_fntn = F.concat(F.lit("<thead><tr>"), *[F.lit(f"<th>{h}</th>") for h in FNTN_HEADERS], F.lit("</tr></thead>"))
+    head_donsp = F.concat(F.lit("<tr>"), *[F.lit(f"<td>{h}</td>") for h in DONSP_HEADERS], F.lit("</tr>"))
+    footer = F.concat(F.lit("<tr><td>Strana "), F.col("page").cast("string"), F.lit("</td>"),
+                      *[F.lit("<td></td>")] * (len(DONSP_HEADERS) - 1), F.lit("</tr>"))
+    html = F.when(F.col("objednavatel") == "fntn",
+                  F.concat(F.lit("<html><body><table>"), head_fntn, F.lit("<tbody>"), body,
+                           F.lit("</tbody></table></body></html>"))) \
+            .otherwise(F.concat(F.lit("<html><body><table>"), head_donsp, body, footer,
+                                F.lit("</table></body></html>")))
+    return pages.select(F.col("objednavatel").alias("source"), "page",
+                        F.concat(F.lit("https://example.org/"), F.col("objednavatel"), F.lit("/objednavky?page="),
+                                 F.col("page").cast("string")).alias("url"),
+                        html.alias("html"))
