@@ -607,3 +607,64 @@ def q_pipeline_web(spark, sf_dir):
     hist = P.materialize(web_history(spark, sf_dir, pages, dim))
     out = [WEB.web_pipeline(pages, s, web_marks(spark), hist, dim) for s in FX.WEB_SOURCES]
     return out[0].unionByName(out[1])
+
+
+# ---------------------------------------------------------------- PDF source
+
+from procura.plans import merged as MG  # noqa: E402
+
+TRSTENA_SQL = f"""trstena AS (
+  SELECT k, src, s_name,
+         CASE WHEN k % 4 % 2 = 0 THEN '  ' || {O.SUBJECT_WITH_QTY} ELSE {O.SUBJECT_WITH_QTY} END AS objednavka_predmet,
+         CASE WHEN k % 4 % 2 = 1 AND k % 5 = 0 THEN 0.0 ELSE cents / 100 END AS cena,
+         {O.DATE} AS datum
+  FROM base WHERE src = 'nsptrstena'
+), trstena_final AS (
+  SELECT k, 'nsptrstena' AS objednavatel, t.cena, t.datum,
+         json_object('dodavatel', lower(s_name))::VARCHAR AS dodavatel,
+         json_object('objednavka_predmet', objednavka_predmet, 'objednavka_cislo', 'obj-' || k::VARCHAR,
+                     'zmluva', 'z-' || k::VARCHAR, 'cena_s_dph', 'nie')::VARCHAR AS popis,
+         TIMESTAMP '2024-06-01 12:00:00' AS insert_date, '{FX.PDF_FILE}' AS file, l.link
+  FROM trstena t LEFT JOIN links l USING (src)
+)"""
+
+
+def _trstena_rows(spark, sf_dir):
+    return MG.clean_merged(MG.page_rows(P.materialize(FX.pdf_cells(spark, sf_dir))))
+
+
+@register("split_merged_text", O.with_(O.BASE, O.LINK_CTE, TRSTENA_SQL) + """
+SELECT 'obj-' || k::VARCHAR AS objednavka_cislo, objednavka_predmet, cena FROM trstena""")
+def q_split_merged_text(spark, sf_dir):
+    return _trstena_rows(spark, sf_dir).select("objednavka_cislo", "objednavka_predmet", "cena")
+
+
+@register("pipeline_merged_text", O.with_(O.BASE, O.LINK_CTE, TRSTENA_SQL) + """
+SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM trstena_final WHERE k % 2 = 1""")
+def q_pipeline_merged_text(spark, sf_dir):
+    dim = registry_dim(spark, sf_dir)
+    new = MG.merged_final(_trstena_rows(spark, sf_dir), dim).drop("_errors")
+    # stored history of the source: earlier loads of the even orders of this year's file
+    hist = P.materialize(MG.merged_final(
+        _trstena_rows(spark, sf_dir).where(
+            F.try_element_at(F.split("objednavka_cislo", "-"), F.lit(2)).try_cast("bigint") % 2 == 0), dim)
+        .drop("_errors"))
+    stored = INC.history_lookup(hist, "nsptrstena", year=2024)
+    return D.symmetric_unique(new, stored)
+
+
+@register("rename_sources", O.with_(O.BASE, O.WEB) + """
+SELECT src AS source, 'obj-' || k::VARCHAR AS objednavka_cislo, lower(s_name) AS dodavatel_nazov,
+       NULL::VARCHAR AS dodavatel FROM web
+UNION ALL
+SELECT src, 'obj-' || k::VARCHAR, NULL, lower(s_name) FROM base WHERE src = 'nsptrstena'""")
+def q_rename_sources(spark, sf_dir):
+    pages = _pages(spark, sf_dir)
+    fntn = WEB.clean_fntn(WEB.with_scan_date(WEB.named_rows(pages.where("source = 'fntn'"), FX.FNTN_HEADERS),
+                                             WEB.DATE_COLUMN["fntn"]))
+    donsp = WEB.clean_donsp(WEB.named_rows(pages.where("source = 'donsp'"), FX.DONSP_HEADERS))
+    tr = _trstena_rows(spark, sf_dir)
+    parts = [fntn.select(F.col("objednavatel").alias("source"), "objednavka_cislo", "dodavatel_nazov"),
+             donsp.select(F.col("objednavatel").alias("source"), "objednavka_cislo", "dodavatel_nazov"),
+             tr.select(F.col("objednavatel").alias("source"), "objednavka_cislo", "dodavatel")]
+    return D.union_missing(*parts)

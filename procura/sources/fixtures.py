@@ -315,3 +315,56 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat(F.lit("https://example.org/"), F.col("objednavatel"), F.lit("/objednavky?page="),
                                  F.col("page").cast("string")).alias("url"),
                         html.alias("html"))
+
+
+# ---------------------------------------------------------------- PDF tables (nsptrstena)
+
+PDF_FILE = "objednavky_2024.pdf"
+PDF_PAGES = 4
+PDF_LAYOUT_A = ["Dátum\nobjednania", "Predmet objednania", "Predbežná\ncena bez DPH", "Objednávka", "Dodávateľ",
+                "Zmluva", "Schválil"]
+PDF_LAYOUT_B = ["Dátum\nobjednania", "Predbežná\npredmet objednania\ncena bez DPH", "Objednávka", "Dodávateľ",
+                "Zmluva", "Schválil", ""]
+PDF_TITLE = "Vystavené objednávky za obdobie: 2024"
+
+
+def pdf_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables extracted from the PDF of the PDF source, as long cells.  Page
+    ``k % 4``: odd pages keep subject and price apart (layout A), even pages
+    merge them into one column and add an unnamed empty column (layout B).
+    Every page starts with a title row, then the header row; 'Str: n' rows
+    are page breaks.  Empty cells are '' (as a PDF table reader gives)."""
+    ro = raw_orders(spark, sf_dir).where(F.col("objednavatel") == "nsptrstena")
+    b = orders_base(spark, sf_dir).select(F.col("o_orderkey").alias("k"), cents_of(F.col("o_totalprice")).alias("_c"))
+    ro = ro.join(b, "k")
+    k = F.col("k")
+    pg = (k % PDF_PAGES).cast("int")
+    e = (F.col("_c") / 100).cast("bigint").cast("string")
+    cc = F.lpad((F.col("_c") % 100).cast("string"), 2, "0")
+    price = F.concat(e, F.lit("."), cc)
+    subj = F.col("objednavka_predmet")
+    date = F.coalesce(F.col("datum"), F.lit(""))
+    common = [F.concat(F.lit("OBJ-"), k.cast("string")), F.col("dodavatel_nazov"),
+              F.concat(F.lit("Z-"), k.cast("string")), F.lit("Ing. Novák")]
+    layout_a = F.array(date, subj, F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(price, F.lit(" eur"))), *common)
+    layout_b = F.array(date, F.concat(price, F.lit(" eur "), subj), *common, F.lit(""))
+    vals = F.when(pg % 2 == 1, layout_a).otherwise(layout_b)
+    idx = (k / PDF_PAGES).cast("bigint") * 2 + 10
+    n = len(PDF_LAYOUT_A)
+    brk = F.array(F.concat(F.lit("Str: "), pg.cast("string")), *[F.lit("")] * (n - 1))
+    rows = F.array(F.struct(idx.alias("row_idx"), vals.alias("vals")),
+                   F.when(k % 50 == 7, F.struct((idx + 1).alias("row_idx"), brk.alias("vals"))))
+    body = (ro.select(pg.alias("pg"), F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+              .select("pg", "r.row_idx", F.posexplode("r.vals").alias("col_idx", "value")))
+    pages = ro.select(pg.alias("pg")).distinct()
+    title = F.array(F.lit(PDF_TITLE), *[F.lit("")] * (n - 1))
+    header = F.when(F.col("pg") % 2 == 1, F.array(*[F.lit(h) for h in PDF_LAYOUT_A])) \
+              .otherwise(F.array(*[F.lit(h) for h in PDF_LAYOUT_B]))
+    heads = (pages.select("pg", F.explode(F.array(F.struct(F.lit(0).cast("bigint").alias("row_idx"), title.alias("vals")),
+                                                    F.struct(F.lit(1).cast("bigint").alias("row_idx"), header.alias("vals"))))
+                                         .alias("r"))
+                  .select("pg", "r.row_idx", F.posexplode("r.vals").alias("col_idx", "value")))
+    return (body.unionByName(heads)
+                .select(F.lit("nsptrstena").alias("source"), F.lit(PDF_FILE).alias("file"),
+                        F.concat(F.lit("p"), F.col("pg").cast("string")).alias("sheet"), "row_idx",
+                        F.col("col_idx").cast("int"), "value"))
