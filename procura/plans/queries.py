@@ -668,3 +668,82 @@ def q_rename_sources(spark, sf_dir):
              donsp.select(F.col("objednavatel").alias("source"), "objednavka_cislo", "dodavatel_nazov"),
              tr.select(F.col("objednavatel").alias("source"), "objednavka_cislo", "dodavatel")]
     return D.union_missing(*parts)
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+from procura.sources import sinks as SK  # noqa: E402
+from procura.streaming import ingest as ING  # noqa: E402
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@register("source_manifest", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{t}.parquet', 'parquet', 'load')" for t in TABLES) + ") t(file, ext, action)")
+def q_source_manifest(spark, sf_dir):
+    return SK.source_manifest(spark, sf_dir).select("file", "ext", "action")
+
+
+FINAL_SELECT = "SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM mail_final"
+FINAL_SQL = O.with_(O.BASE, O.LINK_CTE, O.MAIL_FINAL) + FINAL_SELECT
+
+
+def _read_final(spark, path) -> DataFrame:
+    return spark.read.parquet(path).select(*rules.FINAL_COLUMNS)
+
+
+@register("append_roundtrip", FINAL_SQL)
+def q_append_roundtrip(spark, sf_dir):
+    fr = P.materialize(mail_final_k(spark, sf_dir))
+    path = SK.scratch_path(spark, "append")
+    SK.append_table(fr.where(F.col("k") % 2 == 0).drop("k"), path)   # first load
+    SK.append_table(fr.where(F.col("k") % 2 == 1).drop("k"), path)   # second load appends
+    return _read_final(spark, path)
+
+
+@register("snapshot_roundtrip", FINAL_SQL)
+def q_snapshot_roundtrip(spark, sf_dir):
+    fr = P.materialize(mail_final_k(spark, sf_dir))
+    first = SK.scratch_path(spark, "snapshot")
+    SK.write_snapshot(fr.where(F.col("k") % 3 != 0).drop("k"), first)
+    nxt = SK.scratch_path(spark, "snapshot")
+    # the next snapshot = previous snapshot + new rows, written to a new path
+    SK.write_snapshot(spark.read.parquet(first).unionByName(fr.where(F.col("k") % 3 == 0).drop("k")), nxt)
+    return _read_final(spark, nxt)
+
+
+@register("csv_roundtrip", ORACLE["search_orders"])
+def q_csv_roundtrip(spark, sf_dir):
+    res = q_search_orders(spark, sf_dir)
+    path = SK.scratch_path(spark, "export")
+    SK.export_csv(res, path)
+    return spark.read.schema(res.schema).option("header", True).csv(path)
+
+
+@register("chunk_counts", O.with_(O.BASE, O.LINK_CTE, O.MAIL_FINAL) + """
+SELECT count(*) AS n_rows, true AS chunks_bounded FROM mail_final""")
+def q_chunk_counts(spark, sf_dir):
+    fr = mail_final(spark, sf_dir).drop("_errors")
+    path = SK.scratch_path(spark, "chunks")
+    SK.write_chunks(fr, path)
+    per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).count()
+    return per_file.agg(F.sum("count").alias("n_rows"),
+                        F.bool_and(F.col("count") <= rules.CHUNK_ROWS).alias("chunks_bounded"))
+
+
+@register("incremental_ingest", FINAL_SQL)
+def q_incremental_ingest(spark, sf_dir):
+    inbox = SK.scratch_path(spark, "inbox")
+    raw = FX.raw_orders(spark, sf_dir).where(F.col("objednavatel").isin(MAIL)).drop("k")
+    raw.repartition(4).write.parquet(inbox)
+    dim = P.materialize(registry_dim(spark, sf_dir))
+
+    def transform(df):
+        cleaned = P.clean_orders(P.clean_values(P.drop_all_null_keys(df)))
+        return P.final_rows(cleaned, dim, keep_errors=False)
+
+    table_path, ckpt = SK.scratch_path(spark, "table"), SK.scratch_path(spark, "stream-ckpt")
+    for _ in range(2):  # the second run finds no unseen file and appends nothing
+        ING.ingest(spark, inbox, raw.schema, table_path, ckpt, transform)
+    return _read_final(spark, table_path)
