@@ -32,9 +32,9 @@ def date_corrections(c) -> Column:
 
 
 def _int(x) -> Column:
-    """Python int() on text: optional sign, digits, surrounding whitespace."""
-    t = py_strip(x)
-    return F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("int"))
+    """Python int() on text: optional sign, digits, surrounding whitespace
+    (a decimal point or inner space gives null, as int() raises)."""
+    return py_strip(x).try_cast("int")
 
 
 def _part(arr, i) -> Column:

@@ -29,9 +29,14 @@ def fold_accents(c) -> Column:
     return out
 
 
+# every character Python's str.strip() removes (str.isspace)
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(c), U + r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (a character-set trim, no regex)."""
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def clean_string(c) -> Column:

@@ -747,3 +747,38 @@ def q_incremental_ingest(spark, sf_dir):
     for _ in range(2):  # the second run finds no unseen file and appends nothing
         ING.ingest(spark, inbox, raw.schema, table_path, ckpt, transform)
     return _read_final(spark, table_path)
+
+
+# ---------------------------------------------------------------- F7, E4, F8 variants
+
+@register("drop_all_null_keys", O.with_(O.BASE) + f"""
+SELECT k, src AS objednavatel FROM base WHERE src IN {O._in(MAIL)}""")
+def q_drop_all_null_keys(spark, sf_dir):
+    raw = mail_raw(spark, sf_dir)
+    # rows whose subject, price and date are all missing (e.g. a totals line)
+    empty = raw.where(F.col("k") % 100 == 1).withColumns({
+        "k": -F.col("k"), "objednavka_predmet": F.lit(None).cast("string"),
+        "cena": F.lit(None).cast("string"), "datum": F.lit(None).cast("string")})
+    return P.drop_all_null_keys(raw.unionByName(empty)).select("k", "objednavatel")
+
+
+def clean_fnspza(df: DataFrame) -> DataFrame:
+    """P2 -> C4 -> R0 -> C2 -> C3 -> C5 -> C6 -> C7 -> C8 -> A6 (the
+    fnspza branch of ``clean_orders``), then distinct rows."""
+    return D.distinct_rows(P.clean_orders(P.clean_values(df)))
+
+
+@register("clean_fnspza", O.with_(O.BASE) + f"""
+SELECT 'obj-' || k::VARCHAR AS objednavka_cislo, p_name AS objednavka_predmet,
+       CASE WHEN k % 4 = 0 THEN {O.QTY} END AS mnozstvo, {O.PRICE} AS cena, {O.DATE_FNSPZA} AS datum
+FROM base WHERE src = 'fnspza'""")
+def q_clean_fnspza(spark, sf_dir):
+    raw = FX.raw_orders(spark, sf_dir).where(F.col("objednavatel") == "fnspza").drop("k")
+    return clean_fnspza(raw).select("objednavka_cislo", "objednavka_predmet", "mnozstvo", "cena", "datum")
+
+
+@register("search_insensitive", ORACLE["search_orders"].replace(
+    f"popis LIKE '%{SEARCH_ARGS['keyword']}%'", f"lower(strip_accents(popis)) LIKE '%{SEARCH_ARGS['keyword']}%'"))
+def q_search_insensitive(spark, sf_dir):
+    args = dict(SEARCH_ARGS, keyword="RÍNG")
+    return search.search_orders(serving_table(spark, sf_dir), mode="insensitive", **args)
