@@ -22,11 +22,13 @@ def _c(x) -> Column:
 
 
 def fold_accents(c) -> Column:
-    """Transliterate accented letters to ASCII (one-to-one plus ß and €)."""
-    out = F.translate(_c(c), rules.ACCENTED, rules.UNACCENTED)
+    """Transliterate accented letters to ASCII (one-to-one plus ß and €).
+    Pure-ASCII values (byte length = character length) skip the work."""
+    x = _c(c)
+    out = F.translate(x, rules.ACCENTED, rules.UNACCENTED)
     for src, dst in rules.MULTI_FOLD:
         out = F.replace(out, F.lit(src), F.lit(dst))
-    return out
+    return F.when(F.octet_length(x) == F.char_length(x), x).otherwise(out)
 
 
 # every character Python's str.strip() removes (str.isspace)

@@ -4,7 +4,7 @@ paged scan to a mark (S4), incremental predicate (F10), batch status
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from procura.functions import rules
@@ -18,25 +18,24 @@ def high_water_marks(history: DataFrame, by: str = "objednavatel", ts: str = "in
                                    F.max(date).alias("last_datum"))
 
 
-def sender_suffix(source: Column) -> Column:
-    """Mail domain suffix a source's sender address ends with."""
-    from itertools import chain
-    m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in rules.MAIL_DOMAIN.items()))
-    return F.concat(source, F.coalesce(F.try_element_at(m, source), F.lit(".sk")))
-
-
 def select_attachments(messages: DataFrame, marks: DataFrame, sources=None) -> DataFrame:
     """For every mail source, messages whose sender ends with
     ``source + domain`` received after the source's mark (no mark: all),
     minus image attachments (case-sensitive prefix match); the saved name is
     ``dd_MM_yyyy_hh_mm_ss_<name>`` (12-hour clock, as the source system).
 
-    The source list is small and fixed, so it is broadcast and matched with a
-    suffix predicate."""
+    The suffix test is an equi-join: each message offers its sender's
+    suffixes of the few lengths the configured suffixes have, which are
+    matched against the (small, fixed) source list by hash join -- no nested
+    loop over messages x sources."""
     spark = messages.sparkSession
-    srcs = spark.createDataFrame([(s,) for s in (sources or rules.MAIL_DOMAIN)], "source string")
-    srcs = srcs.withColumn("suffix", sender_suffix(F.col("source"))).join(marks, "source", "left")
-    m = messages.join(F.broadcast(srcs), messages["sender"].endswith(srcs["suffix"]), "inner")
+    names = list(sources or rules.MAIL_DOMAIN)
+    suffixes = [(s, s + rules.MAIL_DOMAIN.get(s, ".sk")) for s in names]
+    lengths = sorted({len(x) for _, x in suffixes})
+    srcs = spark.createDataFrame(suffixes, "source string, suffix string").join(marks, "source", "left")
+    cand = messages.withColumn("suffix", F.explode(F.array_distinct(F.array(
+        *[F.substring(F.col("sender"), -n, n) for n in lengths]))))
+    m = cand.join(F.broadcast(srcs), "suffix", "inner")
     m = m.where(F.col("last_update").isNull() | (F.col("received_at") > F.col("last_update")))
     m = m.where(~F.col("attachment").rlike(r"^.*\.(png|jpg)"))
     return m.select("source", "message_id", F.concat(F.date_format("received_at", "dd_MM_yyyy_hh_mm_ss"),
