@@ -744,8 +744,9 @@ def q_incremental_ingest(spark, sf_dir):
         return P.final_rows(cleaned, dim, keep_errors=False)
 
     table_path, ckpt = SK.scratch_path(spark, "table"), SK.scratch_path(spark, "stream-ckpt")
+    archive = SK.scratch_path(spark, "archive")   # processed files move here (after a later batch)
     for _ in range(2):  # the second run finds no unseen file and appends nothing
-        ING.ingest(spark, inbox, raw.schema, table_path, ckpt, transform)
+        ING.ingest(spark, inbox, raw.schema, table_path, ckpt, transform, archive=archive)
     return _read_final(spark, table_path)
 
 

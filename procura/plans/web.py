@@ -81,11 +81,17 @@ def scanned_rows(pages: DataFrame, source: str, marks: DataFrame) -> DataFrame:
     return incremental.paged_hwm_scan(rows, marks.select("source", "hwm"))
 
 
-def web_pipeline(pages: DataFrame, source: str, marks: DataFrame, history: DataFrame, dim: DataFrame) -> DataFrame:
-    """S3 -> S4 -> E5/E6 -> P8 -> P7 -> S5 -> J3 -> P9.  ``history`` is
-    the stored table; rows of the source on the mark's date are compared."""
+CLEANERS = {"fntn": clean_fntn, "donsp": lambda rows, **kw: clean_donsp(rows.drop("datum"), **kw)}
+
+
+def web_pipeline(pages: DataFrame, source: str, marks: DataFrame, history: DataFrame, dim: DataFrame,
+                 cleaner=None, **cleaner_args) -> DataFrame:
+    """S3 -> S4 -> cleaner (X1: any ``DataFrame -> DataFrame`` function,
+    applied with ``DataFrame.transform`` and its keyword arguments; default
+    E5 / E6) -> P8 -> P7 -> S5 -> J3 -> P9.  ``history`` is the stored
+    table; rows of the source on the mark's date are compared."""
     scan = scanned_rows(pages, source, marks)
-    cleaned = clean_fntn(scan) if source == "fntn" else clean_donsp(scan.drop("datum"))
+    cleaned = scan.transform(cleaner or CLEANERS[source], **cleaner_args)
     new = web_final(cleaned, source, dim).drop("_errors")
     hwm = marks.where(F.col("source") == source).select(F.to_date("hwm").alias("_d"))
     stored = (history.where(F.col("objednavatel") == source)
