@@ -33,13 +33,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (local tests) a scratch folder is created and registered."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    Uses ``spark.checkpoint.dir`` when the cluster names one (registering it
+    with the context if needed); only when it is unset (local tests) is a
+    scratch folder created and registered."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="procura-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 

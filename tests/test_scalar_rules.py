@@ -90,7 +90,7 @@ def test_price_rules_r5(spark):
 
 
 def test_price_rules_other_sets(spark):
-    assert _prices(spark, "nusch", ["12:30:00", "=A1", "x 12:30:00"]) == [
+    assert _prices(spark, "nusch", ["12:30:00", "=A1", "5 12:30:00"]) == [
         (None, "cena:not_a_number"), (None, "cena:not_a_number"), (0.0, None)]
     assert _prices(spark, "fnsppresov", [""]) == [(None, "cena:not_a_number")]
     assert _prices(spark, "fnspza", ["mc 1.234,5", "12:30", "1234,- eur"]) == [
