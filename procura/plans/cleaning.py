@@ -1,4 +1,4 @@
-"""Composite cleaning pipelines (E1, E4, final projection).
+"""Composite cleaning steps (E1, E4, final projection).
 
 Each stage is one projection of native expressions; stages are separate
 ``select``s so that an expensive intermediate (a regex fold) is computed once

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import dates, rules, text
 from procura.operators import cells as C
-from procura.plans import pipelines as P
+from procura.plans import cleaning as P
 from procura.sources.fixtures import insert_ts
 
 MERGED = "predbeznapredmet objednaniacena bez dph"

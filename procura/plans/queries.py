@@ -15,7 +15,7 @@ from procura.functions import dates, rules, text
 from procura.operators import cells as C
 from procura.operators import registry, search
 from procura.plans import oracle as O
-from procura.plans import pipelines as P
+from procura.plans import cleaning as P
 from procura.sources import fixtures as FX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -328,7 +328,7 @@ def q_vat_flag(spark, sf_dir):
     return C.standardise(rows, heads).select("source", "file", "cena_s_dph").distinct()
 
 
-def mail_pipeline(spark, sf_dir) -> DataFrame:
+def mail_batch(spark, sf_dir) -> DataFrame:
     """E1 over mail attachments: clean sheets -> standardise -> distinct ->
     F7 -> price/date cleaning -> packed final rows."""
     rows, heads = C.clean_sheets(_cells(spark, sf_dir))
@@ -341,11 +341,11 @@ def mail_pipeline(spark, sf_dir) -> DataFrame:
     return P.final_rows(cleaned, registry_dim(spark, sf_dir))
 
 
-@register("pipeline_mail", O.with_(O.BASE, O.LINK_CTE, O.mail_final_cte(
+@register("mail_source_batch", O.with_(O.BASE, O.LINK_CTE, O.mail_final_cte(
     "mail_final", f"CASE WHEN k % 16 IN {O.VAT_FILES} THEN 'ano' ELSE 'nie' END")) + """
 SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM mail_final""")
-def q_pipeline_mail(spark, sf_dir):
-    return mail_pipeline(spark, sf_dir).drop("_errors")
+def q_mail_source_batch(spark, sf_dir):
+    return mail_batch(spark, sf_dir).drop("_errors")
 
 
 # ---------------------------------------------------------------- de-duplication and keyed merges
@@ -594,18 +594,18 @@ def web_history(spark, sf_dir, pages, dim) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
-@register("pipeline_web", O.with_(O.BASE, O.LINK_CTE, O.WEB, O.WEB_FINAL) + """
+@register("web_source_batch", O.with_(O.BASE, O.LINK_CTE, O.WEB, O.WEB_FINAL) + """
 , new_rows AS (SELECT wf.* FROM web_final wf JOIN scanned USING (k)),
 stored AS (SELECT wf.* FROM web_final wf JOIN web USING (k)
            WHERE k % 2 = 0 AND CAST(wf.datum AS DATE) = CAST(web.hwm AS DATE)),
 u AS (SELECT * FROM new_rows UNION ALL SELECT * FROM stored)
 SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM u
 QUALIFY count(*) OVER (PARTITION BY popis, cena, datum, dodavatel) = 1""")
-def q_pipeline_web(spark, sf_dir):
+def q_web_source_batch(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     dim = registry_dim(spark, sf_dir)
     hist = P.materialize(web_history(spark, sf_dir, pages, dim))
-    out = [WEB.web_pipeline(pages, s, web_marks(spark), hist, dim) for s in FX.WEB_SOURCES]
+    out = [WEB.web_batch(pages, s, web_marks(spark), hist, dim) for s in FX.WEB_SOURCES]
     return out[0].unionByName(out[1])
 
 
@@ -639,9 +639,9 @@ def q_split_merged_text(spark, sf_dir):
     return _trstena_rows(spark, sf_dir).select("objednavka_cislo", "objednavka_predmet", "cena")
 
 
-@register("pipeline_merged_text", O.with_(O.BASE, O.LINK_CTE, TRSTENA_SQL) + """
+@register("pdf_source_batch", O.with_(O.BASE, O.LINK_CTE, TRSTENA_SQL) + """
 SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM trstena_final WHERE k % 2 = 1""")
-def q_pipeline_merged_text(spark, sf_dir):
+def q_pdf_source_batch(spark, sf_dir):
     dim = registry_dim(spark, sf_dir)
     new = MG.merged_final(_trstena_rows(spark, sf_dir), dim).drop("_errors")
     # stored history of the source: earlier loads of the even orders of this year's file

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import dates, rules, text
 from procura.operators import dedupe, incremental
-from procura.plans import pipelines as P
+from procura.plans import cleaning as P
 from procura.sources.fixtures import DONSP_HEADERS, FNTN_HEADERS, insert_ts
 from procura.sources.html import table_cells
 
@@ -84,7 +84,7 @@ def scanned_rows(pages: DataFrame, source: str, marks: DataFrame) -> DataFrame:
 CLEANERS = {"fntn": clean_fntn, "donsp": lambda rows, **kw: clean_donsp(rows.drop("datum"), **kw)}
 
 
-def web_pipeline(pages: DataFrame, source: str, marks: DataFrame, history: DataFrame, dim: DataFrame,
+def web_batch(pages: DataFrame, source: str, marks: DataFrame, history: DataFrame, dim: DataFrame,
                  cleaner=None, **cleaner_args) -> DataFrame:
     """S3 -> S4 -> cleaner (X1: any ``DataFrame -> DataFrame`` function,
     applied with ``DataFrame.transform`` and its keyword arguments; default

@@ -1,7 +1,7 @@
 """Incremental file ingest with Structured Streaming.
 
 New attachment files in an inbox folder are picked up once (the file
-source's checkpoint remembers them), cleaned by the batch pipeline inside
+source's checkpoint remembers them), cleaned by the batch cleaning inside
 ``foreachBatch``, and only rows whose keys are not stored yet are appended
 (idempotent: re-running over the same files adds nothing)."""
 

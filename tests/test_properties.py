@@ -30,7 +30,7 @@ def test_header_normalisation_idempotent_on_single_spaced(spark):
 
 
 def test_rows_accounted_for(spark):
-    """output rows = input rows - dropped (the mail pipeline drops none of the orders)."""
+    """output rows = input rows - dropped (the mail batch drops none of the orders)."""
     std = Q.q_standardise_columns(spark, SF001)
     raw = Q.mail_raw(spark, SF001)
     assert std.count() == raw.count()
