@@ -28,3 +28,8 @@ def test_scan_prunes_columns(spark):
     from procura.plans.queries import q_clean_strings
     plan = q_clean_strings(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_attachment_suffix_match_is_equi_join(spark):
+    plan = _plan(E.queries()["attachment_select"](spark, SF001))
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
