@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,14 +34,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and written tables.
-
-    Uses ``spark.checkpoint.dir`` when the cluster names one (registering it
-    with the context if needed); only when it is unset (local tests) is a
-    scratch folder created and registered."""
+    """Shared folder for lineage cuts and written tables: ``spark.checkpoint.dir``
+    (registered with the context if needed).  Only a local session without the
+    setting gets a scratch folder; a cluster without it is an error."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if re.match(r"local(\[|$)", sc.master) is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="procura-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -50,7 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder
-    (``spark.checkpoint.dir``; a scratch folder only when unset).  Survives
+    (``spark.checkpoint.dir``).  Survives
     executor loss; later filters and joins read stored columns."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
