@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import kdtree, linefreq, mixing
-from procura.llm.common import table
+from procura.llm import kdtree, linefreq, mixing, packing, warc
+from procura.llm.common import shared_path, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +113,35 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_left_words::BIGINT AS n_left_words,
        NOT base_failed AND n_left_words >= 50 AND n_left_words >= 0.3 * n_words AS kept FROM b
 """
+
+
+@query
+def op1_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    path = shared_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path, min_revisit=0)
+    r = warc.read_warc(spark, path)
+    number = lambda c: F.regexp_extract(c, r"urn:page:(-?\d+)", 1).try_cast("long")
+    revisit = F.col("type") == "revisit"
+    claimed = F.regexp_replace("digest", "^sha1:", "")
+    return r.select(number("id").alias("page_id"),
+                    F.when(revisit, F.col("claimed_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+                    F.when(revisit, claimed).otherwise(F.col("payload_digest")).alias("payload_digest"),
+                    F.col("type").alias("record_type"), F.when(revisit, number("refers")).alias("refers_to"))
+
+
+ORACLE["op1_warc_chain"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, body, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS top FROM p)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, """ + " || ".join(
+    f"translate(lower(to_base(('0x' || substr(h, {1 + 5 * i}, 5))::BIGINT, 32, 4)), '0123456789abcdefghijklmnopqrstuv', "
+    f"'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')" for i in range(8)) + r""" AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to FROM d
+"""
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
