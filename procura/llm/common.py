@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -64,3 +66,61 @@ def running_before(df: DataFrame, group: str, digest: str, value: Column, out: s
     joined = d.join(sums, d[group].eqNullSafe(sums["_g"]) & (d["_bucket"] == sums["_b"]))
     return joined.withColumn(out, F.col("_start") + F.col("_inside")).drop(
         "_bucket", "_value", "_g", "_b", "_start", "_inside")
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
+          "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32())}
+
+
+def per_text(docs: DataFrame, keep: list[str], out: dict[str, str], start, rows: int = 512) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and ``out`` (name: Spark type), which a
+    function makes from slices of ``rows`` texts: ``start()``, called once in a
+    task, returns it; it takes a list of texts (null: None) and returns the
+    columns in order."""
+    types = [_ARROW[t] for t in out.values()]
+
+    def run(batches):
+        f = start()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                made = f(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(k) for k in keep), *(pa.array(c, t) for c, t in zip(made, types))],
+                    names=[*keep, *out])
+
+    kept = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep]
+    schema = ", ".join([*kept, *(f"`{n}` {t}" for n, t in out.items())])
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
+
+
+def held_out() -> Column:
+    """Whether a row's label is never learned from: crc32 of doc_id as text,
+    mod 5, is 0 (null doc_id: false)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def join_small(left: DataFrame, right: DataFrame, on: str, max_rows: int = 500_000) -> DataFrame:
+    """Inner join that broadcasts ``right`` (a few numbers a row) only after
+    counting at most ``max_rows`` rows; otherwise both sides are shuffled."""
+    if right.limit(max_rows + 1).count() <= max_rows:
+        right = F.broadcast(right)
+    return left.join(right, on)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, weight: np.ndarray | None = None,
+                 rounds: int = 30) -> np.ndarray:
+    """Coefficients and intercept (last) of a logistic regression with an L2
+    penalty on the coefficients; Newton's method."""
+    a = np.c_[x, np.ones(len(x))].astype(np.float64)
+    w = np.zeros(a.shape[1])
+    ridge = np.diag([penalty] * x.shape[1] + [1e-6])
+    weight = np.ones(len(a)) if weight is None else weight
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        grad = a.T @ (weight * (p - y)) + ridge @ w
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + ridge, grad)
+        w -= step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import kdtree, linefreq, mixing, packing, warc
-from procura.llm.common import shared_path, table
+from procura.llm import kdtree, kneser_ney, linefreq, mixing, packing, warc
+from procura.llm.common import held_out, shared_path, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -145,3 +145,12 @@ SELECT page_id, strlen(body)::BIGINT AS payload_bytes, """ + " || ".join(
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
+@query
+def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = kneser_ney.fit(docs, table(spark, sf_dir, "labels"))
+    d = kneser_ney.score(docs, model, ["doc_id"])
+    return d.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
