@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import kdtree, kneser_ney, linefreq, mixing, packing, warc
+from procura.llm import jaccard, kdtree, kneser_ney, linefreq, mixing, packing, warc
 from procura.llm.common import held_out, shared_path, table
 
 QUERIES: dict = {}
@@ -154,3 +154,9 @@ def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = kneser_ney.fit(docs, table(spark, sf_dir, "labels"))
     d = kneser_ney.score(docs, model, ["doc_id"])
     return d.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op8_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are at least 85 % similar."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
