@@ -16,7 +16,6 @@ across the components found so far are verified.
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -25,53 +24,60 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from procura.llm.common import SPACE, per_text, stored
+from procura.llm.common import per_text, stored
 from procura.llm.components import connected_components
 
-SPACES = re.compile(SPACE)
-UPPER = {i: i + 32 for i in range(65, 91)}
 WORDS_HELD = 400_000
 #: shingles in more sets than this go to the end of the order
 FREQUENT = 64
 #: so many of them at most (the most frequent); the order of the rest is by
 #: hash, and any common order gives the same result
 MAX_FREQUENT = 500_000
+#: candidates share so many shingles at the front of their orders
+LEAST = 3
 #: key tables of at most so many rows (16 bytes each) are broadcast
 MAX_KEYS = 500_000
 
 
-def words(text: str | None) -> list[str]:
-    return [w for w in SPACES.split((text or "").translate(UPPER)) if w]
+def words(text: bytes | None) -> list[bytes]:
+    """Words of a UTF-8 text, A-Z lower-cased: both methods of bytes know ASCII
+    letters and ASCII white space only."""
+    return (text or b"").lower().split()
 
 
-def shingle_set(text: str | None, width: int) -> set[tuple[str, ...]]:
+def shingle_set(text: bytes | None, width: int) -> set[tuple[bytes, ...]]:
     w = words(text)
     return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 def hasher(width: int):
     """A function of a text: its distinct shingles' 64-bit hashes, ascending."""
-    known: dict[str, int] = {}
+    known = _Hashes()
     factor = np.uint64(0x9E3779B97F4A7C15)
 
-    def hashes(text: str | None) -> np.ndarray:
+    def hashes(text: bytes | None) -> np.ndarray:
         w = words(text)
         if not w:
             return np.empty(0, np.int64)
         if len(known) > WORDS_HELD:
             known.clear()
-        for x in set(w):
-            if x not in known:
-                known[x] = xxhash.xxh3_64_intdigest(x)
         h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
         k = min(width, len(w))
-        out = np.full(len(w) - k + 1, k, np.uint64)
-        for i in range(k):
-            out = out * factor + h[i:len(w) - k + 1 + i]
+        out = h[:len(w) - k + 1] + np.uint64(k)
+        for i in range(1, k):
+            out *= factor
+            out += h[i:len(w) - k + 1 + i]
         out ^= out >> np.uint64(29)
         out *= np.uint64(0xBF58476D1CE4E5B9)
         out ^= out >> np.uint64(32)
-        return np.unique(out.view(np.int64))
+        out = np.sort(out.view(np.int64))
+        return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
     return hashes
 
@@ -87,106 +93,115 @@ def _digest(*parts: bytes) -> bytes:
     return h.digest()
 
 
-def _prefix(hashes: np.ndarray, percent: int, frequent: np.ndarray) -> tuple[np.ndarray, bytes]:
-    n = len(hashes)
-    if not n:
-        return hashes, b""
-    if len(frequent):
-        last = np.isin(hashes, frequent, assume_unique=True)
-        ordered = np.concatenate([hashes[~last], hashes[last]])
-    else:
-        ordered = hashes
-    p = np.ascontiguousarray(ordered[:prefix_length(n, percent)])
-    return p, _digest(p.tobytes(), str(n).encode())
+def stored_length(n: int, percent: int) -> int:
+    """So much of the order by hash is stored: half as much again as the
+    prefix, so that most prefixes without frequent shingles come from it."""
+    return min(n, prefix_length(n, percent) * 3 // 2)
 
 
-def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: doc_id, hash of the text, size and digest of its set, prefix in
-    the order by hash and the group it gives."""
-    none = np.empty(0, np.int64)
+def _prefix(hashes: np.ndarray, n: int, percent: int, frequent: np.ndarray) -> np.ndarray | None:
+    """Prefix of a set of n shingles of which the first ``hashes`` are given;
+    None where they do not tell."""
+    last = np.isin(hashes, frequent, assume_unique=True)
+    p = prefix_length(n, percent)
+    first = hashes[~last]
+    if len(first) >= p:
+        return first[:p]
+    return np.concatenate([first, hashes[last]])[:p] if len(hashes) == n else None
+
+
+def _group(prefix: np.ndarray, n: int) -> bytes:
+    return _digest(np.ascontiguousarray(prefix).tobytes(), str(n).encode())
+
 
+def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per row: doc_id, hash of the text, size and digest of its set, and the
+    first of its shingles in the order by hash."""
     def start():
         hashes = hasher(width)
 
         def run(texts):
             sets = [hashes(t) for t in texts]
-            prefixes = [_prefix(s, percent, none) for s in sets]
-            return ([len(s) for s in sets], [_digest(s.tobytes()) for s in sets], [p for p, _ in prefixes],
-                    [g for _, g in prefixes])
+            return ([len(s) for s in sets], [_digest(s.tobytes()) for s in sets],
+                    [s[:stored_length(len(s), percent)] if len(s) else s for s in sets])
         return run
 
-    d = docs.select("doc_id", "text", F.xxhash64("text").alias("_th"))
-    return per_text(d, ["doc_id", "_th"], {"_n": "int", "_set": "binary", "_prefix": "array<long>", "_group": "binary"}, start)
+    d = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("_th"))
+    return per_text(d, ["doc_id", "_th"], {"_n": "int", "_set": "binary", "_first": "array<long>"}, start)
 
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """_id and text of the rows of ``docs`` that ``keys`` (_id, doc_id, _th)
-    names, once each.  The keys are broadcast after counting at most MAX_KEYS."""
-    k = keys.select("_id", F.col("doc_id").alias("_doc"), F.col("_th").alias("_key"))
+    """_id, _n and text (UTF-8) of the rows of ``docs`` that ``keys`` (_id, _n,
+    doc_id, _th) names.  The keys are broadcast after counting at most MAX_KEYS."""
+    k = keys.select("_id", "_n", F.col("doc_id").alias("_doc"), F.col("_th").alias("_key"))
     if k.limit(MAX_KEYS + 1).count() <= MAX_KEYS:
         k = F.broadcast(k)
     d = docs.select("doc_id", "text")
     d = d.join(k, (F.xxhash64("text") == F.col("_key")) & d["doc_id"].eqNullSafe(k["_doc"]))
-    return d.select("_id", "text")
-
+    return d.select("_id", "_n", F.col("text").cast("binary").alias("text"))
 
-def _frequent(docs: DataFrame, entries: DataFrame, nodes: DataFrame, width: int) -> np.ndarray:
-    """Hashes of the frequent shingles: those of the prefixes, and all others of
-    the documents that hold one there."""
-    hot = stored(entries.groupBy("_token").agg(F.count("*").alias("_df")).filter(F.col("_df") > FREQUENT)
-                 .select("_token"), "hot")
-    if hot.isEmpty():
-        return np.empty(0, np.int64)
-    holders = stored(entries.join(hot, "_token", "left_semi").select("_id").distinct(), "holders")
-    texts = _texts(docs, nodes.join(holders, "_id", "left_semi"))
 
-    def count(batches):
-        hashes = hasher(width)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = [hashes(t) for t in batch.column("text").slice(at, 2048).to_pylist()]
-                if part:
-                    token, n = np.unique(np.concatenate(part), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], names=["token", "n"])
+def _frequent(nodes: DataFrame) -> np.ndarray:
+    """Hashes of the frequent ones among all stored shingles."""
+    found = nodes.select(F.explode("_first").alias("_token")).groupBy("_token").agg(F.count("*").alias("_df"))
+    rows = stored(found.filter(F.col("_df") > FREQUENT), "frequent").orderBy(F.desc("_df"), "_token").limit(MAX_FREQUENT)
+    return np.sort(rows.select("_token").toArrow().column(0).to_numpy())
 
-    found = texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = found.filter(F.col("n") > FREQUENT).orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).select("token").toArrow()
-    return np.sort(rows.column("token").to_numpy())
 
+def _with_prefixes(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
+    """The nodes with their prefixes, frequent shingles last, and groups.  Where
+    what is stored does not hold the prefix, the text is read again."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
-def _entries(nodes: DataFrame) -> DataFrame:
-    return nodes.select("_id", "_n", F.posexplode("_prefix").alias("_pos", "_token"))
+    def made(lists, sizes):
+        prefixes = [_prefix(f, n, percent, shared.value) for f, n in zip(lists, sizes)]
+        return prefixes, [None if p is None else _group(p, n) for p, n in zip(prefixes, sizes)]
 
-
-def _reordered(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    """The nodes with their prefixes in the order that has frequent ones last.
-    Only prefixes that hold a frequent shingle change."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(frequent)
-    hot = stored(spark.createDataFrame(pa.table({"_token": frequent})), "frequent")
-    changed = stored(_entries(nodes).join(hot, "_token", "left_semi").select("_id").distinct(), "changed")
+    out = {"_prefix": "array<long>", "_group": "binary"}
+    known = stored(_from_stored(nodes, made), "prefixes")
 
     def start():
         hashes = hasher(width)
 
         def run(texts):
-            made = [_prefix(hashes(t), percent, shared.value) for t in texts]
-            return [p for p, _ in made], [g for _, g in made]
+            sets = [hashes(t) for t in texts]
+            return made(sets, [len(s) for s in sets])
         return run
 
-    texts = _texts(docs, nodes.join(changed, "_id", "left_semi"))
-    new = per_text(texts, ["_id"], {"_prefix": "array<long>", "_group": "binary"}, start)
-    new = stored(new, "prefixes").dropDuplicates(["_id"])
-    rest = nodes.join(changed, "_id", "left_anti")
-    same = nodes.drop("_prefix", "_group").join(new, "_id")
-    return stored(rest.unionByName(same.select(*rest.columns)), "nodes")
+    rest = known.filter("_group IS NULL").drop("_prefix", "_group")
+    if rest.isEmpty():
+        return known
+    again = stored(per_text(_texts(docs, rest), ["_id"], out, start), "prefixes").dropDuplicates(["_id"])
+    again = rest.join(again, "_id").select(*known.columns)
+    return stored(known.filter("_group IS NOT NULL").unionByName(again), "nodes")
+
+
+def _from_stored(nodes: DataFrame, made) -> DataFrame:
+    keep = ["_id", "_n", "doc_id", "_th"]
+
+    def run(batches):
+        for batch in batches:
+            first, sizes = batch.column("_first"), batch.column("_n").to_pylist()
+            values, at = first.flatten().to_numpy(), np.concatenate([[0], np.cumsum(first.value_lengths().to_numpy())])
+            prefixes, groups = made([values[a:b] for a, b in zip(at, at[1:])], sizes)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keep), pa.array(prefixes, pa.list_(pa.int64())), pa.array(groups, pa.binary())],
+                names=[*keep, "_prefix", "_group"])
+
+    kind = nodes.schema["doc_id"].dataType.simpleString()
+    return nodes.select(*keep, "_first").mapInArrow(
+        run, f"_id long, _n int, doc_id {kind}, _th long, _prefix array<long>, _group binary")
+
+
+def _entries(nodes: DataFrame) -> DataFrame:
+    return nodes.select("_id", "_n", F.posexplode("_prefix").alias("_pos", "_token"))
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar, on the words themselves."""
     pairs = stored(pairs.select("a", "b").distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    texts = stored(_texts(docs, nodes.select("_id", "doc_id", "_th").join(ids, "_id", "left_semi")), "texts")
+    texts = stored(_texts(docs, nodes.select("_id", "_n", "doc_id", "_th").join(ids, "_id", "left_semi")), "texts")
     texts = texts.dropDuplicates(["_id"])
     d = pairs.join(texts.select(F.col("_id").alias("a"), F.col("text").alias("_left")), "a")
     d = d.join(texts.select(F.col("_id").alias("b"), F.col("text").alias("_right")), "b")
@@ -211,8 +226,8 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
 
 def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """One pair for each group: with the group that is the most central one of
-    most of its shared shingles.  Central: most of the prefix is shared."""
-    share = entries.groupBy("_id").agg((F.count("*") / F.first("_p")).alias("_share"))
+    most of its shared shingles.  Central: its prefix is shared by many."""
+    share = entries.groupBy("_id").agg((F.sum(F.log("_df")) / F.first("_p")).alias("_share"))
     e = stored(entries.join(share, "_id"), "central")
     top = e.groupBy("_token").agg(F.max(F.struct("_share", "_id", "_n")).alias("_top"))
     d = e.join(top, "_token").filter((F.col("_id") != F.col("_top._id")) & _sizes_fit(F.col("_n"), F.col("_top._n"), percent))
@@ -228,15 +243,16 @@ def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame
     e = stored(e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi")
                .select("_token", "_unit", "_component", "_n", "_p", "_pos"), "open")
     o = e.select("_token", *[F.col(c).alias(c + "2") for c in ("_unit", "_component", "_n", "_p", "_pos")])
+    # a similar pair shares LEAST shingles within these fronts of its two orders
     need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
-    room = F.least(F.col("_n") - F.col("_pos"), F.col("_n2") - F.col("_pos2"))
+    front = lambda n, p: F.least(n - need + LEAST, p)
+    a, b = front(F.col("_n"), F.col("_p")), front(F.col("_n2"), F.col("_p2"))
     d = e.join(o, (e["_token"] == o["_token"]) & (F.col("_unit") < F.col("_unit2")) & (F.col("_component") != F.col("_component2"))
-               & _sizes_fit(F.col("_n"), F.col("_n2"), percent)
-               & (room + F.least("_pos", "_pos2") >= need))
+               & _sizes_fit(F.col("_n"), F.col("_n2"), percent) & (F.col("_pos") < a) & (F.col("_pos2") < b))
     d = d.groupBy("_unit", "_unit2").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"), F.first("_n2").alias("_n2"),
                                          F.first("_p").alias("_p"), F.first("_p2").alias("_p2"))
-    # shingles shared outside both prefixes lie behind the prefix that ends first
-    most = F.col("_c") + F.greatest(F.col("_n") - F.col("_p"), F.col("_n2") - F.col("_p2"))
+    # what they share outside both fronts lies behind the front that ends first
+    most = F.col("_c") + F.greatest(F.col("_n") - a, F.col("_n2") - b)
     return d.filter(most >= need).select("_unit", "_unit2")
 
 
@@ -259,16 +275,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     copies = some.join(first.filter("_copies > 1"), "_set").select("_id", "_node")
     copies = stored(copies.filter("_id <> _node"), "copies")
     nodes = some.join(copies, "_id", "left_anti").drop("_set")
-    frequent = _frequent(docs, _entries(nodes).select("_id", "_token"), nodes, width)
-    if len(frequent):
-        nodes = _reordered(docs, nodes, frequent, width, percent)
+    nodes = _with_prefixes(docs, nodes, _frequent(nodes), width, percent)
     # groups: equal prefix and size
     first = nodes.groupBy("_group").agg(F.min("_id").alias("_rep"), F.count("*").alias("_members"))
     members = nodes.select("_id", "_group").join(first.filter("_members > 1"), "_group")
     members = stored(members.filter("_id <> _rep").select("_id", "_rep"), "members")
     reps = nodes.join(members.select("_id"), "_id", "left_anti")
     by_token = W.partitionBy("_token")
-    entries = _entries(reps).withColumn("_df", F.count("*").over(by_token)).filter("_df > 1").drop("_df")
+    entries = _entries(reps).withColumn("_df", F.count("*").over(by_token)).filter("_df > 1")
     entries = entries.withColumn("_p", (F.col("_n") - F.ceil(F.lit(percent) * F.col("_n") / 100) + 1).cast("int"))
     entries = stored(entries, "entries")
 

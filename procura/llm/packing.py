@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import zlib
 from collections import Counter, defaultdict
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +26,14 @@ END_ID = 0
 ROWS = 512
 
 
-@lru_cache(maxsize=2)
-def _encoder(ranks_path: str):
+def encoder(ranks_path: str):
+    """A function of a text: the ids of its tokens and the end id."""
     import public_tokenizers
     import tiktoken
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    e = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: np.array([*e.encode_ordinary(text or ""), END_ID], dtype="<u4")
 
 
 def default_ranks() -> str:
@@ -41,11 +41,6 @@ def default_ranks() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-def token_ids(text: str | None, ranks_path: str) -> np.ndarray:
-    ids = _encoder(ranks_path).encode_ordinary(text or "")
-    return np.array([*ids, END_ID], dtype="<u4")
-
-
 def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids: all full but the first, which
     holds what is over."""
@@ -62,12 +57,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = N
         fields.append(("ids", pa.list_(pa.int32())))
 
     def cut(batches):
+        token_ids = encoder(ranks_path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 rows, source = [], []
                 for i, text in enumerate(part.column("text").to_pylist()):
-                    ids = token_ids(text, ranks_path)
+                    ids = token_ids(text)
                     for k, (start, n) in enumerate(cut_points(len(ids), capacity)):
                         own = ids[start:start + n]
                         rows.append((k, start, n, zlib.crc32(own.tobytes()), *([own.astype("i4")] if keep_ids else [])))

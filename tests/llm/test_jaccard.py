@@ -5,7 +5,7 @@ from procura.llm.common import table
 
 
 def brute(rows, width, percent):
-    sets = [jaccard.shingle_set(t, width) for _, t in rows]
+    sets = [jaccard.shingle_set(t and t.encode(), width) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(i):

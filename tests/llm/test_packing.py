@@ -25,16 +25,17 @@ def test_ids_equal_those_of_the_tokenizers_file(spark):
     texts = [r["text"] for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()][:400]
     texts += ["", " ", "<|endoftext|>", "a<|endoftext|>b", "\x00\x85  \n\n\t x", "日本語 😀‍", "x" * 5000, "it's I'LL 12345"]
     for text, e in zip(texts, hf.encode_batch(texts, add_special_tokens=False)):
-        assert list(packing.token_ids(text, packing.default_ranks())) == [*e.ids, 0]
+        assert list(_IDS(text)) == [*e.ids, 0]
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=60))
 def test_ids_equal_on_any_text(text):
-    assert list(packing.token_ids(text, packing.default_ranks())) == [*_HF.encode(text, add_special_tokens=False).ids, 0]
+    assert list(_IDS(text)) == [*_HF.encode(text, add_special_tokens=False).ids, 0]
 
 
 _HF = _hf()
+_IDS = packing.encoder(packing.default_ranks())
 
 
 def test_pack_round_trip(spark):
