@@ -93,6 +93,13 @@ def _digest(*parts: bytes) -> bytes:
     return h.digest()
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """256 bits, four longs: bit i is the parity of the hashes that fall on i.
+    Two sets differ in at least as many elements as their parities in bits."""
+    bits = np.bincount(hashes & 255, minlength=256).astype(np.uint8) & 1
+    return np.packbits(bits).view(np.int64)
+
+
 def stored_length(n: int, percent: int) -> int:
     """So much of the order by hash is stored: half as much again as the
     prefix, so that most prefixes without frequent shingles come from it."""
@@ -115,19 +122,20 @@ def _group(prefix: np.ndarray, n: int) -> bytes:
 
 
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: doc_id, hash of the text, size and digest of its set, and the
-    first of its shingles in the order by hash."""
+    """Per row: doc_id, hash of the text, size, digest and parity of its set, and
+    the first of its shingles in the order by hash."""
     def start():
         hashes = hasher(width)
 
         def run(texts):
             sets = [hashes(t) for t in texts]
             return ([len(s) for s in sets], [_digest(s.tobytes()) for s in sets],
-                    [s[:stored_length(len(s), percent)] if len(s) else s for s in sets])
+                    [s[:stored_length(len(s), percent)] if len(s) else s for s in sets], [parity(s) for s in sets])
         return run
 
     d = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("_th"))
-    return per_text(d, ["doc_id", "_th"], {"_n": "int", "_set": "binary", "_first": "array<long>"}, start)
+    return per_text(d, ["doc_id", "_th"], {"_n": "int", "_set": "binary", "_first": "array<long>",
+                                      "_parity": "array<long>"}, start)
 
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -177,7 +185,7 @@ def _with_prefixes(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, widt
 
 
 def _from_stored(nodes: DataFrame, made) -> DataFrame:
-    keep = ["_id", "_n", "doc_id", "_th"]
+    keep = ["_id", "_n", "doc_id", "_th", "_parity"]
 
     def run(batches):
         for batch in batches:
@@ -190,7 +198,7 @@ def _from_stored(nodes: DataFrame, made) -> DataFrame:
 
     kind = nodes.schema["doc_id"].dataType.simpleString()
     return nodes.select(*keep, "_first").mapInArrow(
-        run, f"_id long, _n int, doc_id {kind}, _th long, _prefix array<long>, _group binary")
+        run, f"_id long, _n int, doc_id {kind}, _th long, _parity array<long>, _prefix array<long>, _group binary")
 
 
 def _entries(nodes: DataFrame) -> DataFrame:
@@ -238,17 +246,19 @@ def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
 def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Pairs of units (members of a group in one component) of different
     components whose shared prefix shingles allow the overlap they need."""
-    e = entries.join(units.select(F.col("_rep").alias("_id"), "_unit", "_component"), "_id")
+    e = entries.join(units.select(F.col("_rep").alias("_id"), "_unit", "_component", "_parity"), "_id")
     many = e.groupBy("_token").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi"))
     e = stored(e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi")
-               .select("_token", "_unit", "_component", "_n", "_p", "_pos"), "open")
-    o = e.select("_token", *[F.col(c).alias(c + "2") for c in ("_unit", "_component", "_n", "_p", "_pos")])
+               .select("_token", "_unit", "_component", "_parity", "_n", "_p", "_pos"), "open")
+    o = e.select("_token", *[F.col(c).alias(c + "2") for c in ("_unit", "_component", "_parity", "_n", "_p", "_pos")])
     # a similar pair shares LEAST shingles within these fronts of its two orders
     need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
     front = lambda n, p: F.least(n - need + LEAST, p)
     a, b = front(F.col("_n"), F.col("_p")), front(F.col("_n2"), F.col("_p2"))
+    differ = sum((F.bit_count(F.col("_parity")[i].bitwiseXOR(F.col("_parity2")[i])) for i in range(4)), F.lit(0))
     d = e.join(o, (e["_token"] == o["_token"]) & (F.col("_unit") < F.col("_unit2")) & (F.col("_component") != F.col("_component2"))
-               & _sizes_fit(F.col("_n"), F.col("_n2"), percent) & (F.col("_pos") < a) & (F.col("_pos2") < b))
+               & _sizes_fit(F.col("_n"), F.col("_n2"), percent) & (F.col("_pos") < a) & (F.col("_pos2") < b)
+               & (F.coalesce(F.col("_n") + F.col("_n2") - differ, 2 * need) >= 2 * need))
     d = d.groupBy("_unit", "_unit2").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"), F.first("_n2").alias("_n2"),
                                          F.first("_p").alias("_p"), F.first("_p2").alias("_p2"))
     # what they share outside both fronts lies behind the front that ends first
@@ -290,10 +300,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     links = _verified(docs, nodes, pairs, width, percent)
     found = stored(connected_components(links), "components")
     # every group's members by component; a unit is named by its least member
-    of = nodes.select("_id").join(members, "_id", "left").select("_id", F.coalesce("_rep", "_id").alias("_rep"))
+    of = nodes.select("_id", "_parity").join(members, "_id", "left").withColumn("_rep", F.coalesce("_rep", "_id"))
     of = of.join(found.withColumnRenamed("node", "_id"), "_id", "left")
-    of = stored(of.select("_id", "_rep", F.coalesce("component", "_id").alias("_component")), "units")
-    units = of.groupBy("_rep", "_component").agg(F.min("_id").alias("_unit"))
+    of = stored(of.select("_id", "_rep", "_parity", F.coalesce("component", "_id").alias("_component")), "units")
+    # (the parity of a unit of one member only; without it, a pair is kept)
+    units = of.groupBy("_rep", "_component").agg(
+        F.min("_id").alias("_unit"), F.when(F.count("*") == 1, F.min("_parity")).alias("_parity"))
     of = of.join(units, ["_rep", "_component"]).select("_id", "_rep", "_unit", "_component")
     open_ = _open_pairs(entries, units, percent)
     left = of.select(F.col("_unit"), F.col("_id").alias("a"))
