@@ -69,7 +69,10 @@ def running_before(df: DataFrame, group: str, digest: str, value: Column, out: s
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
-          "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32())}
+          "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()),
+          "array<struct<label:string,word:long>>": pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())])),
+          "array<struct<label:string,word:long,errors:int,text:string>>": pa.list_(pa.struct(
+              [("label", pa.string()), ("word", pa.int64()), ("errors", pa.int32()), ("text", pa.string())]))}
 
 
 def per_text(docs: DataFrame, keep: list[str], out: dict[str, str], start, rows: int = 512) -> DataFrame:

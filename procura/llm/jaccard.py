@@ -266,18 +266,8 @@ def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame
     return d.filter(most >= need).select("_unit", "_unit2")
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles (distinct shingles of ``width``
-    words; fewer words: the whole sequence as one) and component_id, the least
-    doc_id that links reach: pairs with 100 x intersection >= percent x union.
-
-    Null and empty text: no shingles, component_id is the doc_id.  Null doc_id:
-    a row like any other; component_id is null only where the whole component
-    has none.  Repeated rows link to each other.  Other columns are ignored.
-    Empty input gives no rows.
-
-    Text is read again, by key, for verification, so no set is ever stored or
-    shuffled whole."""
+def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per row: doc_id, _th, n_shingles, _id and its component _c."""
     rows = stored(_sets(docs, width, percent).withColumn("_id", F.monotonically_increasing_id()), "sets")
     some = rows.filter("_n > 0")
     # equal sets: one node, the row with the least id
@@ -318,9 +308,46 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     links = links.unionByName(_verified(docs, nodes, pairs, width, percent))
     found = stored(connected_components(links), "components")
 
-    # names: the least doc_id of a component, over all copies of its nodes
-    d = rows.select("doc_id", F.col("_n").cast("long").alias("n_shingles"), "_id").join(copies, "_id", "left")
+    d = rows.select("doc_id", "_th", F.col("_n").cast("long").alias("n_shingles"), "_id").join(copies, "_id", "left")
     d = d.withColumn("node", F.coalesce("_node", "_id")).join(found, "node", "left")
-    d = stored(d.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("_c")), "named")
+    return stored(d.select("doc_id", "_th", "n_shingles", "_id", F.coalesce("component", "node").alias("_c")), "named")
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles (distinct shingles of ``width``
+    words; fewer words: the whole sequence as one) and component_id, the least
+    doc_id that links reach: pairs with 100 x intersection >= percent x union.
+
+    Null and empty text: no shingles, component_id is the doc_id.  Null doc_id:
+    a row like any other; component_id is null only where the whole component
+    has none.  Repeated rows link to each other.  Other columns are ignored.
+    Empty input gives no rows.
+
+    Text is read again, by key, for verification, so no set is ever stored or
+    shuffled whole."""
+    d = _named(docs, width, percent)
     names = d.groupBy(F.col("_c").alias("_of")).agg(F.min("doc_id").alias("component_id"))
     return d.join(names, F.col("_c") == F.col("_of")).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row
+    with the least doc_id stays (null last; of equal rows one).  Texts without
+    words are in no group and stay."""
+    d = _named(docs, width, percent).filter("n_shingles > 0")
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_th"))
+    first = d.groupBy(F.col("_c").alias("_of")).agg(F.min(rank).alias("_first"))
+    d = d.join(first, F.col("_c") == F.col("_of")).withColumn("_stays", F.col("_first").eqNullSafe(rank))
+    gone = stored(d.filter("NOT _stays").select(F.col("doc_id").alias("_doc"), F.col("_th").alias("_key")).distinct(), "gone")
+    if gone.limit(MAX_KEYS + 1).count() <= MAX_KEYS:
+        gone = F.broadcast(gone)
+    out = docs.join(gone, (F.xxhash64("text") == F.col("_key")) & docs["doc_id"].eqNullSafe(F.col("_doc")), "left_anti")
+    again = d.filter("_stays").groupBy("doc_id", "_th").agg(F.count("*").alias("_n")).filter("_n > 1")
+    if again.isEmpty():
+        return out
+    # rows equal in doc_id and text: one stays, where there are words
+    return out.filter(~_has_words()).unionByName(out.filter(_has_words()).dropDuplicates(["doc_id", "text"]))
+
+
+def _has_words() -> Column:
+    return F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))

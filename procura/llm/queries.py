@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import jaccard, kdtree, kneser_ney, linefreq, mixing, packing, warc
-from procura.llm.common import held_out, shared_path, table
+from procura.llm import cotraining, jaccard, kdtree, kneser_ney, linefreq, mixing, notices, packing, simhash, warc
+from procura.llm.common import held_out, shared_path, stored, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -160,3 +160,43 @@ def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets are at least 85 % similar."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text; for documents with
+    a doc_id divisible by 100, how many others lie within the Hamming radius."""
+    d = stored(simhash.fingerprint_edits(table(spark, sf_dir, "documents")), "fingerprints")
+    asked = F.col("doc_id") % 100 == 0
+    near = simhash.near_fingerprints(d.filter(asked), d.select("fingerprint"))
+    near = near.select(F.col("fingerprint").alias("_of"), (F.col("n_near") - 1).alias("n_near"))
+    return d.join(stored(near, "near"), asked & (F.col("fingerprint") == F.col("_of")), "left").drop("_of")
+
+
+@query
+def op4_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    d = cotraining.score(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return d.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).alias("kept"))
+
+
+@query
+def op5_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact and fuzzy license notices of every document."""
+    d = notices.license_notices(table(spark, sf_dir, "documents"))
+    place = F.transform("exact", lambda x: x["word"])
+    label = lambda c: F.array_distinct(F.transform(c, lambda x: x["label"]))
+    sure = F.transform("fuzzy", lambda x: 1.0 - x["errors"] / F.greatest(F.char_length(x["text"]), F.lit(1)))
+    return d.select("doc_id", "n_words", F.size("exact").cast("long").alias("n_base"),
+                    F.array_min(place).alias("first_word"), F.array_max(place).alias("last_word"),
+                    F.array_join(F.array_sort(label("exact")), ",").alias("base_labels"),
+                    F.array_join(F.array_sort(F.array_union(label("exact"), label("fuzzy"))), ",").alias("labels"),
+                    F.greatest(F.coalesce(F.array_max(sure), F.lit(0.0)), F.lit(0.0)).alias("score"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline from documents to packed sequences."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
