@@ -126,8 +126,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     d = join_small(docs.select("doc_id", "text", "lang"), chosen, "doc_id")
     rows = features(d, ["doc_id", "_y"]).toArrow().sort_by("doc_id")
     y = rows.column("_y").to_numpy()
-    content = np.array(rows.column("content").to_pylist(), np.float32).reshape(-1, BUCKETS)
-    page = _with_language(np.array(rows.column("page").to_pylist(), np.float32).reshape(-1, PAGE), rows.column("lang").to_pylist())
+    flat = lambda c, width: rows.column(c).combine_chunks().flatten().to_numpy().reshape(-1, width)
+    content = flat("content", BUCKETS)
+    page = _with_language(flat("page", PAGE), rows.column("lang").to_pylist())
     labelled = np.flatnonzero(y >= 0)
     aside = labelled[np.arange(len(labelled)) % 4 == 0]  # for the calibration
     learn = np.setdiff1d(labelled, aside)

@@ -27,7 +27,7 @@ from pyspark.sql.window import Window as W
 from procura.llm.common import per_text, stored
 from procura.llm.components import connected_components
 
-WORDS_HELD = 400_000
+WORDS_HELD = 50_000
 #: shingles in more sets than this go to the end of the order
 FREQUENT = 64
 #: so many of them at most (the most frequent); the order of the rest is by
@@ -51,8 +51,12 @@ def shingle_set(text: bytes | None, width: int) -> set[tuple[bytes, ...]]:
 
 
 class _Hashes(dict):
+    """Hashes of words; the first WORDS_HELD are held."""
+
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < WORDS_HELD:
+            self[word] = h
         return h
 
 
@@ -65,8 +69,6 @@ def hasher(width: int):
         w = words(text)
         if not w:
             return np.empty(0, np.int64)
-        if len(known) > WORDS_HELD:
-            known.clear()
         h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
         k = min(width, len(w))
         out = h[:len(w) - k + 1] + np.uint64(k)

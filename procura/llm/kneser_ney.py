@@ -32,7 +32,7 @@ MAX_NGRAMS = 1_000_000
 CALIBRATION_ROWS = 20_000
 #: one labelled document in so many is set aside for that
 ASIDE = 4
-WORDS_HELD = 300_000
+WORDS_HELD = 120_000
 START, END = "\x02", "\x03"
 
 
@@ -130,20 +130,20 @@ def log_ratios(counts: dict[str, tuple[int, int]], order: int, discount: float)
 def measures(ratios: dict, histories: dict, order: int, margin: float):
     """A function of texts: per text the mean log-likelihood ratio of its words,
     and the mean of what single words have above the margin (no words: 0)."""
-    known: dict[str, float] = {}
+    class Ratios(dict):
+        def __missing__(self, w: str) -> float:
+            v = sum(ratios[g] if g in ratios else histories.get(g[:-1], 0.0) for g in grams(w, order))
+            if len(self) < WORDS_HELD:
+                self[w] = v
+            return v
 
-    def ratio(w: str) -> float:
-        v = known.get(w)
-        if v is None:
-            if len(known) > WORDS_HELD:
-                known.clear()
-            v = known[w] = sum(ratios[g] if g in ratios else histories.get(g[:-1], 0.0) for g in grams(w, order))
-        return v
+    known = Ratios()
 
     def measure(texts):
         mean, strong = [], []
         for text in texts:
-            v = np.array([ratio(w) for w in words(text)])
+            own = words(text)
+            v = np.fromiter(map(known.__getitem__, own), np.float64, len(own))
             mean.append(float(v.mean()) if len(v) else 0.0)
             strong.append(float(np.maximum(v - margin, 0).mean()) if len(v) else 0.0)
         return mean, strong

@@ -24,12 +24,16 @@ LANES = 4
 BITS = 64 * LANES
 WIDTH = 3
 RADIUS = 7
-WORDS_HELD = 400_000
+WORDS_HELD = 50_000
 
 
 class _Hashes(dict):
+    """Hashes of words; the first WORDS_HELD are held."""
+
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < WORDS_HELD:
+            self[word] = h
         return h
 
 
@@ -45,8 +49,6 @@ def fingerprinter(width: int = WIDTH):
         w = (text or "").encode("utf-8", "replace").lower().split()
         if not w:
             return np.zeros(LANES, np.int64)
-        if len(known) > WORDS_HELD:
-            known.clear()
         h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
         k = min(width, len(w))
         t = h[:len(w) - k + 1] + np.uint64(k)
