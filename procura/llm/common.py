@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +27,42 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables stored inside are deleted at the end, but for those stored with
+    ``outlives``: results must be stored before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stored(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage,
     survives lost executors, and gives later joins a known size."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    scopes = _scopes[:-1] if outlives else _scopes
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python in Arrow batches of at most ``rows`` rows, so
+    that a task's memory does not depend on the session's larger default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -47,17 +75,22 @@ def hash_bucket(hex_digest: Column, buckets: int) -> Column:
 
 
 def running_before(df: DataFrame, group: str, digest: str, value: Column, out: str, rows: int,
-                   per_bucket: int = 50_000) -> DataFrame:
+                   per_bucket: int = 20_000, narrow: DataFrame | None = None) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of the same group with a
     smaller ``digest`` (rows with equal digests in any order among themselves).
 
     Each group is cut into buckets along the digest, so that a group holding
     most rows is summed by many tasks; bucket sums are added up per group.
     ``rows``: number of rows of ``df``; a bucket of a group has about
-    ``per_bucket`` rows at most."""
+    ``per_bucket`` rows at most.  ``narrow``: the same rows without the columns
+    that only pass through."""
     buckets = max(1, -(-rows // per_bucket))
-    d = df.withColumn("_bucket", hash_bucket(F.col(digest), buckets)).withColumn("_value", value)
-    sums = d.groupBy(group, "_bucket").agg(F.sum("_value").alias("_sum"))
+
+    def cut(x):
+        return x.withColumn("_bucket", hash_bucket(F.col(digest), buckets)).withColumn("_value", value)
+
+    d = cut(df)
+    sums = cut(df if narrow is None else narrow).groupBy(group, "_bucket").agg(F.sum("_value").alias("_sum"))
     before = W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"),
                        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
@@ -81,6 +114,7 @@ def per_text(docs: DataFrame, keep: list[str], out: dict[str, str], start, rows:
     task, returns it; it takes a list of texts (null: None) and returns the
     columns in order."""
     types = [_ARROW[t] for t in out.values()]
+    small_batches(docs.sparkSession)
 
     def run(batches):
         f = start()
@@ -91,6 +125,7 @@ def per_text(docs: DataFrame, keep: list[str], out: dict[str, str], start, rows:
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keep), *(pa.array(c, t) for c, t in zip(made, types))],
                     names=[*keep, *out])
+        pa.default_memory_pool().release_unused()
 
     kept = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep]
     schema = ", ".join([*kept, *(f"`{n}` {t}" for n, t in out.items())])

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from procura.llm.common import per_text, stored
+from procura.llm.common import per_text, small_batches, stored, temporary_tables
 from procura.llm.components import connected_components
 
 WORDS_HELD = 50_000
@@ -216,6 +216,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, p
     d = pairs.join(texts.select(F.col("_id").alias("a"), F.col("text").alias("_left")), "a")
     d = d.join(texts.select(F.col("_id").alias("b"), F.col("text").alias("_right")), "b")
 
+    small_batches(docs.sparkSession)
+
     def check(batches):
         for batch in batches:
             keep, last, left = [], None, set()
@@ -270,6 +272,11 @@ def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame
 
 def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row: doc_id, _th, n_shingles, _id and its component _c."""
+    with temporary_tables(docs.sparkSession):
+        return stored(_components(docs, width, percent), "named", outlives=True)
+
+
+def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     rows = stored(_sets(docs, width, percent).withColumn("_id", F.monotonically_increasing_id()), "sets")
     some = rows.filter("_n > 0")
     # equal sets: one node, the row with the least id
@@ -312,7 +319,7 @@ def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     d = rows.select("doc_id", "_th", F.col("_n").cast("long").alias("n_shingles"), "_id").join(copies, "_id", "left")
     d = d.withColumn("node", F.coalesce("_node", "_id")).join(found, "node", "left")
-    return stored(d.select("doc_id", "_th", "n_shingles", "_id", F.coalesce("component", "node").alias("_c")), "named")
+    return d.select("doc_id", "_th", "n_shingles", "_id", F.coalesce("component", "node").alias("_c"))
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

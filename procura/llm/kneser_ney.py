@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procura.llm.common import fit_logistic, held_out, join_small, per_text
+from procura.llm.common import fit_logistic, held_out, join_small, per_text, small_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDER = 5
@@ -75,6 +75,7 @@ def count_ngrams(train: DataFrame, order: int) -> DataFrame:
                     yield flush()
         yield flush()
 
+    small_batches(train.sparkSession)
     made = train.select("text", "label", "aside").mapInArrow(run, "gram string, n0 long, n1 long, n2 long, n3 long")
     return made.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names[1:]])
 

@@ -105,15 +105,19 @@ def curriculum(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: flo
 
 
 def places(d: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE,
-           max_repeat: float = MAX_REPEAT) -> DataFrame:
-    """``curriculum`` for a stored table with source, _size and _digest."""
-    sizes = d.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("_rows"))
+           max_repeat: float = MAX_REPEAT, narrow: DataFrame | None = None) -> DataFrame:
+    """``curriculum`` for a table with source, _size and _digest; ``narrow``: these
+    columns of it, stored."""
+    narrow = d if narrow is None else narrow
+    sizes = narrow.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("_rows"))
     targets = stored(source_targets(sizes, weights, schedules, share, max_repeat), "mix_targets")
     rows = targets.agg(F.sum("_rows")).first()[0] or 0
     t = targets.select(F.col("source").alias("_source"), "rank", "source_size", "target")
     # one row per source: Spark broadcasts it below its size limit, else joins by shuffle
-    d = d.join(t, d["source"].eqNullSafe(t["_source"])).drop("_source")
-    d = running_before(d, "rank", "_digest", F.col("_size"), "_before", rows)
+    def ranked(x):
+        return x.join(t, x["source"].eqNullSafe(t["_source"])).drop("_source")
+
+    d = running_before(ranked(d), "rank", "_digest", F.col("_size"), "_before", rows, narrow=ranked(narrow))
     goal = F.floor(F.col("target"))
     for p in range(math.ceil(max_repeat)):
         begin = F.col("_before") + F.lit(p) * F.col("source_size")
@@ -144,7 +148,8 @@ def training_rows(docs: DataFrame, **params) -> DataFrame:
     names = docs.columns
     d = docs.withColumns({"_size": word_count(F.col("text")),
                           "_digest": F.md5(F.concat_ws("|", F.lit(seed), "doc_id", "text"))})
-    d = places(stored(d, "mix_docs"), **params)
+    narrow = stored(d.select("source", "_size", "_digest"), "mix")
+    d = places(d, narrow=narrow, **params)
     passes = F.array(*[F.struct(F.col(f"take_{p}").alias("take"), F.col(f"position_{p}").alias("position"))
                        for p in range(1, math.ceil(max_repeat) + 1)])
     d = d.withColumn("_pass", F.explode(F.filter(passes, lambda x: x["take"] > 0)))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procura.llm.common import running_before, stored
+from procura.llm.common import running_before, small_batches, stored
 
 CAPACITY = 2048
 END_ID = 0
@@ -73,6 +73,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = N
                     [part.column("doc_id").take(pa.array(source, pa.int64())),
                      *[pa.array(c, t) for c, (_, t) in zip(columns, fields)]], names=["doc_id", *[n for n, _ in fields]])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
     return docs.select("doc_id", "text").mapInArrow(cut, schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from procura.llm.common import per_text, stored
+from procura.llm.common import small_batches, stored
 
 LANES = 4
 BITS = 64 * LANES
@@ -129,6 +129,7 @@ def fingerprint_edits(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
              "near_edited double, near_next double, _part int, _end string, _text string"
+    small_batches(docs.sparkSession)
     d = stored(d.mapInArrow(walk, schema), "simhash")
     # one row per range
     ends = d.filter("_end = 'first'").select("_part")
