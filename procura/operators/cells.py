@@ -27,6 +27,14 @@ def noise_prefix_regex(personal_names=None) -> str:
     return U + "^(?:" + "|".join(f"(?:{b})" for b in branches) + ")"
 
 
+def columns_by_name(pairs):
+    """Map name -> column from a sorted array of (column, name): null names are
+    left out, of equal names the first column counts."""
+    names = F.transform(pairs, lambda e: e["name"])
+    kept = F.filter(pairs, lambda e, i: F.array_position(names, e["name"]) == i + 1)
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["name"], e["col"])))
+
+
 def to_rows(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split cells into data rows ``(sheet, row_idx, m)`` with P2-cleaned
     values and header maps ``(sheet, h)`` with P1-normalised names."""

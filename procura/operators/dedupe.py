@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEDUPE_KEYS = ["popis", "cena", "datum", "dodavatel"]
+#: across sources the source belongs to the key
+ROW_KEYS = ["objednavatel", *DEDUPE_KEYS]
 
 
 def _null_safe_key(keys: list[str]):
@@ -26,9 +28,9 @@ def symmetric_unique(new: DataFrame, stored: DataFrame, keys=DEDUPE_KEYS) -> Dat
     return both.join(singles, "_key", "left_semi").drop("_key")
 
 
-def new_rows_anti(new: DataFrame, stored: DataFrame, keys=DEDUPE_KEYS) -> DataFrame:
-    """J4 (evident intent): rows of ``new`` whose key is not stored (null-safe
-    equality), one row per key."""
+def new_rows_anti(new: DataFrame, stored: DataFrame, keys=ROW_KEYS) -> DataFrame:
+    """J4 (evident intent): rows of ``new`` whose key is not stored for their
+    source (null-safe equality), one row per key."""
     cond = reduce(lambda a, b: a & b, [new[k].eqNullSafe(stored[k]) for k in keys])
     return new.join(stored.select(*keys), cond, "left_anti").dropDuplicates(keys)
 
@@ -39,12 +41,14 @@ def distinct_rows(df: DataFrame, subset=None) -> DataFrame:
 
 
 def upsert_latest(base: DataFrame, changes: DataFrame, keys: list[str], version: str = "version") -> DataFrame:
-    """S7 re-aimed as upsert: union and keep the highest ``version`` per key.
+    """S7 re-aimed as upsert: union and keep the highest ``version`` per key;
+    a null version is the lowest, equal versions go by a hash of the row.
     ``max_by`` aggregates partially per task, so a hot key is combined
     map-side instead of being sorted in one partition."""
     cols = [c for c in base.columns if c not in keys]
     u = base.unionByName(changes, allowMissingColumns=True)
-    latest = u.groupBy(*keys).agg(F.max_by(F.struct(*cols), version).alias("_r"))
+    latest = u.groupBy(*keys).agg(F.max_by(
+        F.struct(*cols), F.struct(F.col(version), F.xxhash64(F.to_json(F.struct(*cols))))).alias("_r"))
     return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 

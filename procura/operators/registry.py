@@ -51,14 +51,15 @@ def apply_overrides(dim: DataFrame, overrides: DataFrame) -> DataFrame:
     """``overrides(key, attr, value, replace_all)``.  ``replace_all``
     rows replace the whole entry of their key (keys may be new); the others
     patch single attributes, last override wins over the base value."""
-    base = dim.select("key", F.explode("attributes").alias("attr", "value"), F.lit(0).alias("prio"))
+    base = dim.select("key", F.explode_outer("attributes").alias("attr", "value"), F.lit(0).alias("prio"))
     replaced = overrides.where("replace_all").select("key").distinct()
     base = base.join(replaced, "key", "left_anti")
     ov = overrides.select("key", "attr", "value", F.lit(1).alias("prio"))
     merged = (base.unionByName(ov).groupBy("key", "attr")
                   .agg(F.max_by("value", "prio").alias("value")))
     return (merged.groupBy("key")
-                  .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("attr", "value"))))
+                  .agg(F.map_from_entries(F.sort_array(F.filter(F.collect_list(F.struct("attr", "value")),
+                                                           lambda e: e["attr"].isNotNull())))
                        .alias("attributes")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ def keyword_filter(df: DataFrame, keyword: str, mode: str = "like", col: str = "
     accent-insensitive substring through the UNICODE_CI_AI collation."""
     c = F.col(col)
     if mode == "like":
-        return df.where(c.like("%" + keyword + "%"))
+        # a backslash escapes only % and _ and itself; elsewhere it is a character
+        pattern = re.sub(r"\\([\\%_])|\\", lambda m: m[0] if m[1] else r"\\", keyword)
+        return df.where(c.like("%" + pattern + "%"))
     if mode == "literal":
         return df.where(c.contains(F.lit(keyword)))
     if mode == "insensitive":

@@ -32,7 +32,8 @@ def page_rows(cells: DataFrame) -> DataFrame:
     heads = heads.select(*C.SHEET_KEY, F.transform_values(
         "h", lambda k, v: text.normalise_header(text.clean_string(v))).alias("h"))
     j = data.join(heads, C.SHEET_KEY, "inner")
-    by_name = F.map_from_entries(F.transform(F.map_entries("h"), lambda e: F.struct(e["value"], e["key"])))
+    by_name = C.columns_by_name(F.sort_array(F.transform(F.map_entries("h"), lambda e: F.struct(
+        e["key"].alias("col"), e["value"].alias("name")))))
     j = j.withColumn("_by", by_name)
     return j.select(*C.SHEET_KEY, "row_idx",
                     *[F.try_element_at(F.col("m"), F.try_element_at(F.col("_by"), F.lit(c))).alias(c) for c in COLUMNS])

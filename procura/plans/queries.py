@@ -335,8 +335,9 @@ def mail_batch(spark, sf_dir) -> DataFrame:
     std = (C.standardise(rows, heads)
              .withColumn("objednavatel", F.col("source"))
              .withColumn("insert_date", FX.insert_ts())
-             .drop("sheet", "row_idx", "source")
-             .distinct())
+             .drop("row_idx", "source")
+             .distinct()  # within a sheet: equal rows of two sheets both stay
+             .drop("sheet"))
     cleaned = P.clean_orders(P.drop_all_null_keys(std))
     return P.final_rows(cleaned, registry_dim(spark, sf_dir))
 
@@ -718,7 +719,7 @@ def q_csv_roundtrip(spark, sf_dir):
     res = q_search_orders(spark, sf_dir)
     path = SK.scratch_path(spark, "export")
     SK.export_csv(res, path)
-    return spark.read.schema(res.schema).option("header", True).csv(path)
+    return spark.read.schema(res.schema).option("header", True).option("escape", "\"").csv(path)
 
 
 @register("chunk_counts", O.with_(O.BASE, O.LINK_CTE, O.MAIL_FINAL) + """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import dates, rules, text
 from procura.operators import dedupe, incremental
+from procura.operators.cells import columns_by_name
 from procura.plans import cleaning as P
 from procura.sources.fixtures import DONSP_HEADERS, FNTN_HEADERS, insert_ts
 from procura.sources.html import table_cells
@@ -23,7 +24,8 @@ def named_rows(pages: DataFrame, headers: list[str]) -> DataFrame:
     data = (cells.where(F.col("row_idx") > 0).groupBy(*PAGE_KEY, "row_idx")
                  .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("m")))
     head = (cells.where(F.col("row_idx") == 0).groupBy(*PAGE_KEY)
-                 .agg(F.map_from_entries(F.collect_list(F.struct("value", "col_idx"))).alias("hm")))
+                 .agg(columns_by_name(F.sort_array(F.collect_list(
+                     F.struct(F.col("col_idx").alias("col"), F.col("value").alias("name"))))).alias("hm")))
     j = data.join(head, PAGE_KEY, "inner")
     return j.select(*PAGE_KEY, "row_idx", "m", *[
         F.try_element_at(F.col("m"), F.try_element_at(F.col("hm"), F.lit(h))).alias(h) for h in headers])

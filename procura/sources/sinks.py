@@ -55,8 +55,9 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header.  Only for bounded results (the
-    search returns at most 1000 rows), hence the single partition."""
-    df.coalesce(1).write.option("header", True).mode("errorifexists").csv(path)
+    search returns at most 1000 rows), hence the single partition.  Quotes
+    inside fields are doubled, as CSV readers expect."""
+    df.coalesce(1).write.option("header", True).option("escape", '"').mode("errorifexists").csv(path)
 
 
 def write_chunks(df: DataFrame, path: str, chunk_rows: int = rules.CHUNK_ROWS) -> None:

@@ -7,8 +7,8 @@ source's checkpoint remembers them), cleaned by the batch cleaning inside
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from procura.operators import dedupe
@@ -18,16 +18,19 @@ from procura.sources import sinks
 def _read_stored(spark: SparkSession, table_path: str, schema) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(table_path)
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # no table yet
+            return None
+        raise
 
 
 def ingest(spark: SparkSession, inbox: str, schema: StructType, table_path: str, checkpoint: str,
-           transform, keys=dedupe.DEDUPE_KEYS, archive: str | None = None) -> None:
+           transform, keys=dedupe.ROW_KEYS, archive: str | None = None, files_per_batch: int = 64) -> None:
     """Run one ``availableNow`` ingest: every unseen file of ``inbox`` is read
     with the explicit ``schema``, turned into final rows by ``transform``,
-    de-duplicated against the stored table (J4) and appended to it."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    de-duplicated against the stored table (J4) and appended to it.  A
+    micro-batch takes at most ``files_per_batch`` files."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     stream = reader.parquet(inbox)
@@ -42,6 +45,3 @@ def ingest(spark: SparkSession, inbox: str, schema: StructType, table_path: str,
                .trigger(availableNow=True).start())
     q.awaitTermination()
 
-
-def stored_rows(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).withColumn("objednavatel", F.col("objednavatel").cast("string"))
