@@ -22,7 +22,8 @@ def select_attachments(messages: DataFrame, marks: DataFrame, sources=None) -> D
     """For every mail source, messages whose sender ends with
     ``source + domain`` received after the source's mark (no mark: all),
     minus image attachments (case-sensitive prefix match); the saved name is
-    ``dd_MM_yyyy_hh_mm_ss_<name>`` (12-hour clock, as the source system).
+    ``dd_MM_yyyy_hh_mm_ss_<name>`` of the time it was sent (12-hour clock, as the
+    source system).
 
     The suffix test is an equi-join: each message offers its sender's
     suffixes of the few lengths the configured suffixes have, which are
@@ -38,7 +39,7 @@ def select_attachments(messages: DataFrame, marks: DataFrame, sources=None) -> D
     m = cand.join(F.broadcast(srcs), "suffix", "inner")
     m = m.where(F.col("last_update").isNull() | (F.col("received_at") > F.col("last_update")))
     m = m.where(~F.col("attachment").rlike(r"^.*\.(png|jpg)"))
-    return m.select("source", "message_id", F.concat(F.date_format("received_at", "dd_MM_yyyy_hh_mm_ss"),
+    return m.select("source", "message_id", F.concat(F.date_format("sent_on", "dd_MM_yyyy_hh_mm_ss"),
                                                       F.lit("_"), F.col("attachment")).alias("saved_name"))
 
 

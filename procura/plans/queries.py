@@ -442,7 +442,7 @@ def q_history_lookup(spark, sf_dir):
 
 
 @register("attachment_select", O.with_(O.MSG) + f"""
-SELECT m.source, m.message_id, strftime(m.received_at, '%d_%m_%Y_%I_%M_%S') || '_' || m.attachment AS saved_name
+SELECT m.source, m.message_id, strftime(m.received_at - INTERVAL 1 MINUTE, '%d_%m_%Y_%I_%M_%S') || '_' || m.attachment AS saved_name
 FROM msg m JOIN marks USING (source)
 WHERE m.source IN {O._in(MAIL)} AND m.user_id % 5 <> 0 AND m.received_at > marks.last_update
   AND NOT regexp_matches(m.attachment, '^.*\\.(png|jpg)')""")

@@ -5,25 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from procura.functions.text import py_strip
+
 _TABLE = r"(?is)<table[^>]*>(.*?)</table>"
 _ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
 _CELL = r"(?is)<t[hd][^>]*>(.*?)</t[hd]>"
 
-# character references decoded in cell text
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# FIXED VALUES: character references decoded in cell text; the ampersand last
+_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+             ("&aacute;", "á"), ("&Aacute;", "Á"), ("&auml;", "ä"), ("&eacute;", "é"), ("&Eacute;", "É"),
+             ("&iacute;", "í"), ("&Iacute;", "Í"), ("&oacute;", "ó"), ("&Oacute;", "Ó"), ("&ocirc;", "ô"),
+             ("&uacute;", "ú"), ("&Uacute;", "Ú"), ("&yacute;", "ý"), ("&Yacute;", "Ý"), ("&ccaron;", "č"),
+             ("&Ccaron;", "Č"), ("&scaron;", "š"), ("&Scaron;", "Š"), ("&zcaron;", "ž"), ("&Zcaron;", "Ž"),
+             ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&")]
 
 
 def _unescape(c):
+    decoded = c
     for ent, ch in _ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
 
 
 def table_cells(pages: DataFrame, key_cols=("source", "page")) -> DataFrame:
     """Flat tables with native regex extraction: row ``i`` of the first table
     is ``row_idx = i`` (a ``<th>`` header row, when present, is row 0), cell
     ``j`` is ``col_idx = j``.  Tags inside cells are removed, entities
-    decoded, surrounding whitespace stripped; an empty cell is null (as a
+    decoded, line breaks and runs of whitespace made one space, the ends stripped; an empty cell is null (as a
     data-frame reader gives NaN).  Pages without a table yield nothing.
     Each page is processed whole inside its own task."""
     keys = [F.col(c) for c in key_cols]
@@ -31,5 +39,6 @@ def table_cells(pages: DataFrame, key_cols=("source", "page")) -> DataFrame:
     rows = t.select(*keys, F.posexplode(F.regexp_extract_all(F.col("_t"), F.lit(_ROW), 1)).alias("row_idx", "_r"))
     cells = rows.select(*keys, F.col("row_idx").cast("bigint"),
                         F.posexplode(F.regexp_extract_all(F.col("_r"), F.lit(_CELL), 1)).alias("col_idx", "_v"))
-    v = F.trim(_unescape(F.regexp_replace(F.col("_v"), r"<[^>]+>", "")))
+    v = _unescape(F.regexp_replace(F.col("_v"), r"<[^>]+>", ""))
+    v = py_strip(F.regexp_replace(v, r"[\r\n]+|\s{2,}", " "))
     return cells.select(*keys, "row_idx", F.col("col_idx").cast("int"), F.nullif(v, F.lit("")).alias("value"))

@@ -41,11 +41,12 @@ def stringify_complex(df: DataFrame) -> DataFrame:
 
 def append_table(df: DataFrame, path: str, partition_by: str | None = "objednavatel") -> None:
     """Append (always; no index column), partitioned by source so a
-    source lookup prunes files."""
-    w = stringify_complex(df).write.mode("append")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    source lookup prunes files.  Rows are rebalanced by source first (large
+    sources are split), so that tasks do not write a file for each source."""
+    out = stringify_complex(df)
+    if not partition_by:
+        return out.write.mode("append").parquet(path)
+    out.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

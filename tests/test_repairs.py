@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from procura.operators import dedupe, registry, search
 from procura.operators.cells import columns_by_name
-from procura.sources import sinks
+from procura.sources import html, sinks
 
 
 def test_new_rows_are_compared_within_their_source(spark):
@@ -48,3 +48,17 @@ def test_entry_without_attributes_survives_overrides(spark):
     over = spark.createDataFrame([("b", "x", "2", False)], "key string, attr string, value string, replace_all boolean")
     rows = {r["key"]: r["attributes"] for r in registry.apply_overrides(dim, over).collect()}
     assert rows == {"a": {}, "b": {"x": "2"}}
+
+
+def test_cell_text_of_html(spark):
+    page = "<table><tr><th>\n   D&aacute;tum \n vystavenia\n</th><th>\n</th></tr><tr><td>a&amp;b</td><td>&nbsp;x&ndash;y </td></tr></table>"
+    d = spark.createDataFrame([("s", 1, page)], "source string, page long, html string")
+    got = {(r["row_idx"], r["col_idx"]): r["value"] for r in html.table_cells(d).collect()}
+    assert got == {(0, 0): "D\u00e1tum vystavenia", (0, 1): None, (1, 0): "a&b", (1, 1): "x\u2013y"}
+
+
+def test_append_writes_few_files(spark, tmp_path):
+    d = spark.range(4000).selectExpr("concat('s', id % 9) AS objednavatel", "id").repartition(8)
+    sinks.append_table(d, str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 18
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4000
