@@ -9,6 +9,8 @@ like Python's ``re``.
 
 from __future__ import annotations
 
+import unicodedata
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must match the source system)
 # ---------------------------------------------------------------------------
@@ -168,6 +170,13 @@ MANUAL_EXTENSIONS = ("pdf", "docx")
 SPREADSHEET_EXTENSIONS = ("ods",)
 CONVERT_EXTENSIONS = ("doc",)
 
+# Column names of the web sources' tables.
+FNTN_HEADERS = ["Číslo objednávky", "Názov dodávateľa", "Popis", "IČO dodávateľa", "Cena s DPH (€)",
+                "Dátum vyhotovenia", "Číslo zmluvy", "Schválil", "Mesto dodávateľa", "PSČ dodávateľa",
+                "Adresa dodávateľa"]
+DONSP_HEADERS = ["Číslo objednávky", "Dodávateľ", "IČO", "Suma", "Predmet objednávky", "Dátum zverejnenia",
+                 "Meno schvaľujúceho"]
+
 # Default number of rows per written chunk.
 CHUNK_ROWS = 10000
 # Search result bound.
@@ -181,9 +190,23 @@ CANONICAL = list(ALIASES)
 # Canonical names that count as an alias hit because they list themselves.
 SELF_LISTED = [c for c, al in ALIASES.items() if c in al]
 
-# Letters folded to ASCII by the accent-stripping step (each maps to one
-# letter; multi-letter foldings are separate replacements below).
-ACCENTED = "áäàâãåčçďéěèêëíìîïĺľňñóôòöõŕřšťúůùûüýÿžÁÄÀÂÃÅČÇĎÉĚÈÊËÍÌÎÏĹĽŇÑÓÔÒÖÕŔŘŠŤÚŮÙÛÜÝŸŽ"
-UNACCENTED = "aaaaaaccdeeeeeiiiillnnooooorrstuuuuuyyzAAAAAACCDEEEEEIIIILLNNOOOOORRSTUUUUUYYZ"
-MULTI_FOLD = [("ß", "ss"), ("€", "EUR")]
-assert len(ACCENTED) == len(UNACCENTED)
+# Letters and signs folded to ASCII: every character of the Latin blocks whose
+# decomposition is one ASCII letter and combining marks, then the ones without
+# a decomposition.  Foldings to several letters are separate replacements.
+_PLAIN = {"–": "-", "—": "-", "‐": "-", "‑": "-", "−": "-", "‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"',
+          "„": '"', "«": '"', "»": '"', "\u00a0": " ", "\u202f": " ", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L",
+          "ø": "o", "Ø": "O", "ħ": "h", "Ħ": "H", "ı": "i"}
+
+
+def _fold_table() -> dict[str, str]:
+    out = {}
+    for ch in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]):
+        base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))
+        if len(base) == 1 and base.isascii():
+            out[ch] = base
+    return out | _PLAIN
+
+
+FOLD = _fold_table()
+ACCENTED, UNACCENTED = "".join(FOLD), "".join(FOLD.values())
+MULTI_FOLD = [("ß", "ss"), ("€", "EUR"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("…", "...")]

@@ -52,16 +52,11 @@ def to_rows(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def drop_noise_rows(rows: DataFrame, regex: str | None = None) -> DataFrame:
-    """drop a row when any cell starts with a noise match."""
+    """F1 (F2 with a search pattern): drop a row when any cell matches."""
     regex = regex or noise_prefix_regex()
     return rows.where(~F.exists(F.map_values("m"), lambda v: v.rlike(regex)))
 
 
-def noise_rows_search(rows: DataFrame, regex: str) -> DataFrame:
-    """drop a row when any cell contains a (search) match."""
-    return rows.where(~F.exists(F.map_values("m"), lambda v: v.rlike(regex)))
-
-
 def kept_columns(rows: DataFrame, heads: DataFrame, fraction: float = 0.1, min_count: int | None = None) -> DataFrame:
     """Per sheet, the columns with at least ``ceil(fraction * rows)`` non-null
     cells (F3) -- or at least ``min_count`` (F5 uses 1).
@@ -107,34 +102,35 @@ def _has_unnamed(h: Column) -> Column:
     return F.exists(F.map_values(h), lambda v: v.contains("unnamed"))
 
 
+def _restricted(keep: str) -> Column:
+    return F.map_filter("m", lambda k, v: F.array_contains(F.coalesce(keep, F.array().cast("array<int>")), k))
+
+
 def clean_sheets(cells: DataFrame, noise_regex: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The per-sheet cleaning chain F1 -> F3 -> F4 -> (F4' -> F3' -> F6) -> P1.
 
     Returns (rows, heads) after cleaning; sheets left empty have no rows.
-    Every rule reads the rows more than once (counts, then a filter), so the
-    row set is checkpointed between rules: lineage stays linear instead of
-    recomputing earlier rules once per reader."""
+    The row set is written once, after F1.  Every later rule is decided per
+    sheet by a small aggregate over the stored rows (``plan``: one row a
+    sheet) and applied in one projection and filter on reading them back."""
     rows, heads = to_rows(cells)
     rows = materialize(drop_noise_rows(rows, noise_regex))
-    heads = materialize(heads)
-    rows, heads = drop_sparse_columns(rows, heads)
-    rows = materialize(drop_sparse_rows(rows, 2))
-    heads = materialize(heads)
-    # sheets whose header row is a title ("unnamed" columns) promote a data row
-    flag = heads.select(*SHEET_KEY, _has_unnamed(F.col("h")).alias("_u"), F.size("h").alias("_nc"))
-    rows = rows.join(flag, SHEET_KEY, "left")
-    plain = rows.where(~F.col("_u")).drop("_u", "_nc")
-    titled = rows.where(F.col("_u"))
-    titled = drop_sparse_rows(titled, (F.col("_nc") / 3).cast("int")).drop("_u", "_nc")
-    t_heads = heads.join(flag.where("_u").select(*SHEET_KEY), SHEET_KEY, "left_semi")
-    titled = materialize(titled)
-    titled, t_heads = drop_sparse_columns(titled, t_heads)
-    promoted_rows, promoted_heads = promote_header(materialize(titled))
-    out_rows = plain.unionByName(promoted_rows)
-    out_heads = (heads.join(flag.where(~F.col("_u")).select(*SHEET_KEY), SHEET_KEY, "left_semi")
-                      .withColumn("header_row_idx", F.lit(0).cast("bigint"))
-                      .unionByName(promoted_heads))
-    return out_rows, out_heads
+    # F3, and whether the header row is a title ("unnamed" columns): such sheets promote a data row
+    plan = (heads.join(kept_columns(rows, heads), SHEET_KEY, "left")
+                 .withColumn("h", F.map_filter("h", lambda k, v: F.array_contains("keep", k)))
+                 .withColumn("_u", _has_unnamed(F.col("h"))))
+    plan = materialize(plan.withColumn("_min", F.when(F.col("_u"), F.greatest(
+        F.lit(2), (F.size("h") / 3).cast("int"))).otherwise(F.lit(2))))
+    rows = (rows.join(plan.select(*SHEET_KEY, "keep", "_u", "_min"), SHEET_KEY, "left")
+                .withColumn("m", _restricted("keep")).where(F.size("m") >= F.coalesce("_min", F.lit(2))))  # F4, F4'
+    titled = rows.where("_u").drop("keep", "_u", "_min")
+    t_heads = plan.where("_u").select(*SHEET_KEY, "h")
+    titled, _ = drop_sparse_columns(titled, t_heads)  # F3'
+    promoted_rows, promoted = promote_header(titled)  # F6
+    plain = rows.where(F.coalesce("_u", F.lit(False)) == F.lit(False)).drop("keep", "_u", "_min")
+    out_heads = (plan.where(~F.col("_u")).select(*SHEET_KEY, "h", F.lit(0).cast("bigint").alias("header_row_idx"))
+                     .unionByName(promoted))
+    return plain.unionByName(promoted_rows), out_heads
 
 
 def promote_header(rows: DataFrame, skip_marker: str = "vystaveni objednavok") -> tuple[DataFrame, DataFrame]:
@@ -150,8 +146,8 @@ def promote_header(rows: DataFrame, skip_marker: str = "vystaveni objednavok") -
                 .select(*SHEET_KEY, F.when(F.col("_skip"), F.col("r2")).otherwise(F.col("r1")).alias("hr"))
                 .where(F.col("hr").isNotNull()))
     # P1 on the promoted names; a null cell becomes the name 'nan'
-    heads = hdr.select(*SHEET_KEY, F.col("hr.row_idx").alias("header_row_idx"),
-                       F.transform_values("hr.m", lambda k, v: normalise_header(v)).alias("h"))
+    heads = materialize(hdr.select(*SHEET_KEY, F.col("hr.row_idx").alias("header_row_idx"),
+                                   F.transform_values("hr.m", lambda k, v: normalise_header(v)).alias("h")))
     data = (rows.join(heads.select(*SHEET_KEY, "header_row_idx"), SHEET_KEY)
                 .where(F.col("row_idx") > F.col("header_row_idx")).drop("header_row_idx"))
     return data, heads
@@ -180,23 +176,26 @@ def dropped_columns(before: DataFrame, after: DataFrame) -> DataFrame:
 def standardise(rows: DataFrame, heads: DataFrame) -> DataFrame:
     """P3 + P4: map headers to canonical names through the alias table
     (broadcast: a fixed list), keep sheets with at least one alias hit, and
-    project every row onto the 15 canonical columns (first non-null value
-    when two headers share a canonical name).  Adds ``cena_s_dph``."""
+    project every row onto the 15 canonical columns (the first non-null value,
+    by column, when several headers share a canonical name).  Adds ``cena_s_dph``."""
     spark = rows.sparkSession
     hc = header_columns(heads).withColumn("alias_key", collapse_spaces("header"))
     vat_keys = [" ".join(v.split()) for v in rules.VAT_HEADERS]
     hits = hc.join(F.broadcast(alias_dim(spark)), "alias_key", "inner")
+    # canonical -> its columns, once per sheet; a row then looks up each name in one map
     per_sheet = (hits.groupBy(*SHEET_KEY)
-                     .agg(F.collect_list(F.struct("canonical", "col_idx")).alias("cm"),
+                     .agg(*[F.sort_array(F.collect_set(F.when(F.col("canonical") == c, F.col("col_idx")))).alias(f"_i_{c}")
+                            for c in rules.CANONICAL],
                           F.max(F.col("is_alias").cast("int")).alias("_hit"),
                           F.max(F.col("alias_key").isin(vat_keys).cast("int")).alias("_vat"))
                      .where(F.col("_hit") == 1).drop("_hit"))
     joined = rows.join(per_sheet, SHEET_KEY, "inner")
 
     def value_of(canonical: str) -> Column:
-        cols = F.transform(F.filter("cm", lambda e: e["canonical"] == canonical), lambda e: e["col_idx"])
-        vals = F.filter(F.transform(cols, lambda i: F.element_at(F.col("m"), i)), lambda v: v.isNotNull())
-        return F.try_element_at(vals, F.lit(1))
+        idx = F.col(f"_i_{canonical}")
+        first = F.try_element_at(F.col("m"), F.try_element_at(idx, F.lit(1)))
+        others = F.filter(F.transform(idx, lambda i: F.try_element_at(F.col("m"), i)), lambda v: v.isNotNull())
+        return F.when(first.isNotNull() | (F.size(idx) < 2), first).otherwise(F.try_element_at(others, F.lit(1)))
 
     return joined.select(*SHEET_KEY, "row_idx", *[value_of(c).alias(c) for c in rules.CANONICAL],
                          F.when(F.col("_vat") == 1, F.lit("ano")).otherwise(F.lit("nie")).alias("cena_s_dph"))

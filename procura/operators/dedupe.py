@@ -12,20 +12,16 @@ DEDUPE_KEYS = ["popis", "cena", "datum", "dodavatel"]
 ROW_KEYS = ["objednavatel", *DEDUPE_KEYS]
 
 
-def _null_safe_key(keys: list[str]):
-    """A single struct column: struct equality/grouping treats nulls as equal."""
-    return F.struct(*[F.col(k) for k in keys])
-
-
 def symmetric_unique(new: DataFrame, stored: DataFrame, keys=DEDUPE_KEYS) -> DataFrame:
     """J3 (reference form): union both sides and keep rows whose key occurs
     exactly once; nulls compare equal.  Unmatched stored rows survive and a
-    key repeated inside ``new`` vanishes.  Implemented as a per-key count
-    (aggregate, partial on each task) joined back -- not a window, so a hot
-    key never lands as one sorted partition."""
-    both = new.unionByName(stored, allowMissingColumns=True).withColumn("_key", _null_safe_key(keys))
-    singles = both.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").drop("_n")
-    return both.join(singles, "_key", "left_semi").drop("_key")
+    key repeated inside ``new`` vanishes.  A key that occurs once needs no
+    join back: one aggregate counts it and carries a row of it, combined on
+    each task first, so a hot key reaches the shuffle as one row per task."""
+    both = new.unionByName(stored, allowMissingColumns=True)
+    rest = [c for c in both.columns if c not in keys]
+    once = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rest)).alias("_r")).where("_n = 1")
+    return once.select(*[c if c in keys else F.col("_r")[c].alias(c) for c in both.columns])
 
 
 def new_rows_anti(new: DataFrame, stored: DataFrame, keys=ROW_KEYS) -> DataFrame:

@@ -5,13 +5,12 @@ subject/price split (C11) -> renames (P6) -> packed rows (P8) -> drops (P7)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procura.functions import dates, rules, text
 from procura.operators import cells as C
 from procura.plans import cleaning as P
-from procura.sources.fixtures import insert_ts
 
 MERGED = "predbeznapredmet objednaniacena bez dph"
 PRICE = "predbeznacena bez dph"
@@ -39,12 +38,14 @@ def page_rows(cells: DataFrame) -> DataFrame:
                     *[F.try_element_at(F.col("m"), F.try_element_at(F.col("_by"), F.lit(c))).alias(c) for c in COLUMNS])
 
 
-def clean_merged(rows: DataFrame, compat: bool = True) -> DataFrame:
+def clean_merged(rows: DataFrame, compat: bool = True, insert_date: Column | None = None) -> DataFrame:
+    """``insert_date`` is the load time (default: now)."""
+    loaded = F.localtimestamp() if insert_date is None else insert_date
     df = P.clean_values(rows, COLUMNS)
     df = dates.parse_dates_df(df, "datumobjednania", "datum", "_datum_err", compat=compat)
     m2, _p3, s1, val, err = text.split_merged_text(F.col(f"`{MERGED}`"), F.col(f"`{PRICE}`"), F.col(f"`{SUBJECT}`"))
     df = df.withColumns({SUBJECT: s1, "cena": val, "_cena_err": err, MERGED: m2})
-    df = df.withColumns({"cena_s_dph": F.lit("nie"), "insert_date": insert_ts(), "objednavatel": F.lit("nsptrstena")})
+    df = df.withColumns({"cena_s_dph": F.lit("nie"), "insert_date": loaded, "objednavatel": F.lit("nsptrstena")})
     df = df.withColumnsRenamed(rules.RENAME_TRSTENA)
     df = df.withColumn("_errors", text.collect_errors("_cena_err", "_datum_err")).drop("_cena_err", "_datum_err")
     return df

@@ -16,7 +16,9 @@ from procura.operators import cells as C
 from procura.operators import registry, search
 from procura.plans import oracle as O
 from procura.plans import cleaning as P
+from procura.session import scratch_path
 from procura.sources import fixtures as FX
+from procura.sources.sinks import append_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,18 +47,29 @@ def mail_clean(spark, sf_dir) -> DataFrame:
 
 
 def registry_dim(spark, sf_dir) -> DataFrame:
-    return registry.registry_dim(registry.registry_raw(spark, sf_dir))
+    return registry.registry_dim(FX.registry_raw(spark, sf_dir))
 
 
 def mail_final(spark, sf_dir) -> DataFrame:
     return P.final_rows(mail_clean(spark, sf_dir), registry_dim(spark, sf_dir))
 
 
+_SERVING: dict[tuple[str, str], str] = {}
+
+
+def load_serving_table(spark, sf_dir) -> DataFrame:
+    """Write the searchable table: final rows appended to Parquet partitioned
+    by source, so searches prune columns, row groups and sources."""
+    path = scratch_path(spark, "serving")
+    append_table(mail_final(spark, sf_dir).drop("_errors"), path)
+    _SERVING[spark.sparkContext.applicationId, sf_dir] = path
+    return spark.read.parquet(path)
+
+
 def serving_table(spark, sf_dir) -> DataFrame:
-    """The searchable table: final rows written once to the shared
-    checkpoint folder (a reliable checkpoint), so searches filter stored
-    columns instead of re-deriving them."""
-    return P.materialize(mail_final(spark, sf_dir))
+    """The searchable table of these inputs; loaded once per application."""
+    path = _SERVING.get((spark.sparkContext.applicationId, sf_dir))
+    return spark.read.parquet(path) if path else load_serving_table(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- E7 search (flagship)
@@ -297,6 +310,13 @@ def q_header_census(spark, sf_dir):
     return C.header_census(heads)
 
 
+@register("distinct_headers", "WITH c AS (" + ORACLE["header_census"] + """)
+SELECT DISTINCT unnest(string_split(headers, '|')) AS header FROM c""")
+def q_distinct_headers(spark, sf_dir):
+    _, heads = C.clean_sheets(_cells(spark, sf_dir))
+    return C.distinct_headers(heads)
+
+
 STD_VALUES = f"""
   'obj-' || k::VARCHAR AS objednavka_cislo,
   {O.dirty_date_lower()} AS datum,
@@ -437,8 +457,7 @@ def q_high_water_marks(spark, sf_dir):
 SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM mail_final
 WHERE objednavatel = 'unb' AND file LIKE '%1%'""")
 def q_history_lookup(spark, sf_dir):
-    hist = P.materialize(mail_final(spark, sf_dir).drop("_errors"))
-    return INC.history_lookup(hist, "unb", year=1)
+    return INC.history_lookup(serving_table(spark, sf_dir).select(*rules.FINAL_COLUMNS), "unb", year=1)
 
 
 @register("attachment_select", O.with_(O.MSG) + f"""
@@ -561,7 +580,7 @@ SELECT cena, datum, dodavatel, popis, file, link FROM web_final WHERE objednavat
 def q_clean_fntn(spark, sf_dir):
     rows = WEB.with_scan_date(WEB.named_rows(_pages(spark, sf_dir).where("source = 'fntn'"), FX.FNTN_HEADERS),
                               WEB.DATE_COLUMN["fntn"])
-    return WEB.web_final(WEB.clean_fntn(rows), "fntn", registry_dim(spark, sf_dir)).select(
+    return WEB.web_final(WEB.clean_fntn(rows, insert_date=FX.insert_ts()), "fntn", registry_dim(spark, sf_dir)).select(
         "cena", "datum", "dodavatel", "popis", "file", "link")
 
 
@@ -569,7 +588,7 @@ def q_clean_fntn(spark, sf_dir):
 SELECT cena, datum, dodavatel, popis, file, link FROM web_final WHERE objednavatel = 'donsp'""")
 def q_clean_donsp(spark, sf_dir):
     rows = WEB.named_rows(_pages(spark, sf_dir).where("source = 'donsp'"), FX.DONSP_HEADERS)
-    return WEB.web_final(WEB.clean_donsp(rows), "donsp", registry_dim(spark, sf_dir)).select(
+    return WEB.web_final(WEB.clean_donsp(rows, insert_date=FX.insert_ts()), "donsp", registry_dim(spark, sf_dir)).select(
         "cena", "datum", "dodavatel", "popis", "file", "link")
 
 
@@ -589,8 +608,8 @@ def web_history(spark, sf_dir, pages, dim) -> DataFrame:
         rows = WEB.named_rows(pages.where(F.col("source") == s), hdr)
         even = F.try_element_at(F.split(F.col(f"`{hdr[0]}`"), "-"), F.lit(2)).try_cast("bigint") % 2 == 0
         rows = rows.where(even)
-        cleaned = (WEB.clean_fntn(WEB.with_scan_date(rows, WEB.DATE_COLUMN[s])) if s == "fntn"
-                   else WEB.clean_donsp(rows))
+        cleaned = (WEB.clean_fntn(WEB.with_scan_date(rows, WEB.DATE_COLUMN[s]), FX.insert_ts()) if s == "fntn"
+                   else WEB.clean_donsp(rows, insert_date=FX.insert_ts()))
         out.append(WEB.web_final(cleaned, s, dim).drop("_errors"))
     return out[0].unionByName(out[1])
 
@@ -606,7 +625,7 @@ def q_web_source_batch(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     dim = registry_dim(spark, sf_dir)
     hist = P.materialize(web_history(spark, sf_dir, pages, dim))
-    out = [WEB.web_batch(pages, s, web_marks(spark), hist, dim) for s in FX.WEB_SOURCES]
+    out = [WEB.web_batch(pages, s, web_marks(spark), hist, dim, insert_date=FX.insert_ts()) for s in FX.WEB_SOURCES]
     return out[0].unionByName(out[1])
 
 
@@ -631,7 +650,7 @@ TRSTENA_SQL = f"""trstena AS (
 
 
 def _trstena_rows(spark, sf_dir):
-    return MG.clean_merged(MG.page_rows(P.materialize(FX.pdf_cells(spark, sf_dir))))
+    return MG.clean_merged(MG.page_rows(P.materialize(FX.pdf_cells(spark, sf_dir))), insert_date=FX.insert_ts())
 
 
 @register("split_merged_text", O.with_(O.BASE, O.LINK_CTE, TRSTENA_SQL) + """
@@ -703,6 +722,27 @@ def q_append_roundtrip(spark, sf_dir):
     return _read_final(spark, path)
 
 
+@register("serving_load", FINAL_SQL)
+def q_serving_load(spark, sf_dir):
+    return load_serving_table(spark, sf_dir).select(*rules.FINAL_COLUMNS)
+
+
+@register("quarantine_rows", O.with_(O.BASE) + f"""
+SELECT objednavatel, reason, count(*) AS n_rows, count(cena) AS n_with_price, count(datum) AS n_with_date FROM (
+  SELECT src AS objednavatel, unnest([{O.PRICE_ERR},
+           CASE WHEN src <> 'fnspza' THEN {O.DATE_ERR} WHEN k % 10 IN (7, 9) THEN 'datum:invalid_date' END]) AS reason,
+         {O.PRICE} AS cena, CASE WHEN src = 'fnspza' THEN {O.DATE_FNSPZA} ELSE {O.DATE} END AS datum
+  FROM base WHERE src IN {O._in(MAIL)}) WHERE reason IS NOT NULL GROUP BY ALL""")
+def q_quarantine_rows(spark, sf_dir):
+    path = SK.scratch_path(spark, "quarantine")
+    SK.write_quarantine(mail_final(spark, sf_dir), path)
+    stored = spark.read.parquet(path)
+    return (stored.select("objednavatel", "cena", "datum", F.explode("_errors").alias("reason"))
+                  .groupBy("objednavatel", "reason")
+                  .agg(F.count(F.lit(1)).alias("n_rows"), F.count("cena").alias("n_with_price"),
+                       F.count("datum").alias("n_with_date")))
+
+
 @register("snapshot_roundtrip", FINAL_SQL)
 def q_snapshot_roundtrip(spark, sf_dir):
     fr = P.materialize(mail_final_k(spark, sf_dir))

@@ -3,15 +3,16 @@ high-water-mark scan -> per-source cleaning -> packed rows -> new rows only."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procura.functions import dates, rules, text
 from procura.operators import dedupe, incremental
 from procura.operators.cells import columns_by_name
 from procura.plans import cleaning as P
-from procura.sources.fixtures import DONSP_HEADERS, FNTN_HEADERS, insert_ts
-from procura.sources.html import table_cells
+from procura.functions.rules import DONSP_HEADERS, FNTN_HEADERS
+from procura.session import materialize
+from procura.sources.html import table_rows
 
 PAGE_KEY = ["source", "page"]
 DATE_COLUMN = {"fntn": "Dátum vyhotovenia", "donsp": DONSP_HEADERS[5]}
@@ -19,16 +20,15 @@ DATE_COLUMN = {"fntn": "Dátum vyhotovenia", "donsp": DONSP_HEADERS[5]}
 
 def named_rows(pages: DataFrame, headers: list[str]) -> DataFrame:
     """S3 + header row: one row per table row with one column per raw
-    header name (row 0 of each page's table names the columns)."""
-    cells = table_cells(pages)
-    data = (cells.where(F.col("row_idx") > 0).groupBy(*PAGE_KEY, "row_idx")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("m")))
-    head = (cells.where(F.col("row_idx") == 0).groupBy(*PAGE_KEY)
-                 .agg(columns_by_name(F.sort_array(F.collect_list(
-                     F.struct(F.col("col_idx").alias("col"), F.col("value").alias("name"))))).alias("hm")))
-    j = data.join(head, PAGE_KEY, "inner")
-    return j.select(*PAGE_KEY, "row_idx", "m", *[
-        F.try_element_at(F.col("m"), F.try_element_at(F.col("hm"), F.lit(h))).alias(h) for h in headers])
+    header name (row 0 of each page's table names the columns).  All of it
+    happens inside the page's row: no shuffle."""
+    rows = pages.select(*PAGE_KEY, table_rows("html").alias("_rows"))
+    head = F.transform(F.try_element_at(F.col("_rows"), F.lit(1)), lambda v, i: F.named_struct(F.lit("col"), i, F.lit("name"), v))
+    body = F.slice("_rows", 2, F.greatest(F.size("_rows"), F.lit(1)))
+    j = (rows.select(*PAGE_KEY, columns_by_name(head).alias("hm"), F.posexplode(body).alias("row_idx", "m"))
+             .withColumn("row_idx", F.col("row_idx") + F.lit(1).cast("bigint")))
+    return j.select(*PAGE_KEY, "row_idx", *[
+        F.try_element_at(F.col("m"), F.try_element_at(F.col("hm"), F.lit(h)) + 1).alias(h) for h in headers])
 
 
 def with_scan_date(rows: DataFrame, date_col: str) -> DataFrame:
@@ -36,25 +36,28 @@ def with_scan_date(rows: DataFrame, date_col: str) -> DataFrame:
     return dates.parse_dates_df(rows, date_col, "datum")
 
 
-def clean_fntn(rows: DataFrame) -> DataFrame:
+def clean_fntn(rows: DataFrame, insert_date: Column | None = None) -> DataFrame:
     """E5: clean strings, normalised names, provenance constants, renames,
-    company id, price cast (no rules), distinct."""
+    company id, price cast (no rules), distinct.  ``insert_date`` is the load
+    time (default: now)."""
+    loaded = F.localtimestamp() if insert_date is None else insert_date
     norm = {h: text.normalise_name(h) for h in FNTN_HEADERS}  # P1 on the column names
     df = rows.select("datum", *[text.clean_string(F.col(f"`{h}`")).alias(norm[h]) for h in FNTN_HEADERS])
     df = df.withColumnsRenamed(rules.RENAME_FNTN)
     price, err = text.to_double(F.col("`cena s dph (EUR)`"))
     df = df.withColumns({
-        "objednavatel": F.lit("fntn"), "file": F.lit("web"), "insert_date": insert_ts(), "cena_s_dph": F.lit("ano"),
+        "objednavatel": F.lit("fntn"), "file": F.lit("web"), "insert_date": loaded, "cena_s_dph": F.lit("ano"),
         "dodavatel_ico": text.clean_ico(F.col("`ico dodavatela`")),
         "cena": price, "_errors": text.collect_errors(err),
     })
     return df.distinct()
 
 
-def clean_donsp(rows: DataFrame, compat: bool = True) -> DataFrame:
+def clean_donsp(rows: DataFrame, compat: bool = True, insert_date: Column | None = None) -> DataFrame:
     """Noise rows (search match on raw text), renames, clean strings,
     R7 price rules + cast, impossible-day fix, date parse, constants.  The
     parsed date is taken from the renamed text column."""
+    loaded = F.localtimestamp() if insert_date is None else insert_date
     raw_vals = F.array(*[F.col(f"`{h}`") for h in DONSP_HEADERS])
     df = rows.where(~F.exists(raw_vals, lambda v: F.coalesce(v.rlike(rules.NOISE_DONSP), F.lit(False))))
     df = df.select(*[F.col(f"`{h}`").alias(rules.RENAME_DONSP.get(h, h)) for h in DONSP_HEADERS])
@@ -62,7 +65,7 @@ def clean_donsp(rows: DataFrame, compat: bool = True) -> DataFrame:
     df = df.withColumns({"objednavatel": F.lit("donsp"), "datum": text.date_typo_fix("datum")})
     df = text.clean_price_df(df, "objednavatel", "cena", "cena", "_cena_err")
     df = dates.parse_dates_df(df, "datum", "datum", "_datum_err", compat=compat)
-    return (df.withColumns({"cena_s_dph": F.lit("nie"), "file": F.lit("web"), "insert_date": insert_ts(),
+    return (df.withColumns({"cena_s_dph": F.lit("nie"), "file": F.lit("web"), "insert_date": loaded,
                             "_errors": text.collect_errors("_cena_err", "_datum_err")})
               .drop("_cena_err", "_datum_err", *rules.DROP_DONSP))
 
@@ -79,7 +82,8 @@ def web_final(cleaned: DataFrame, source: str, dim: DataFrame) -> DataFrame:
 def scanned_rows(pages: DataFrame, source: str, marks: DataFrame) -> DataFrame:
     headers = FNTN_HEADERS if source == "fntn" else DONSP_HEADERS
     rows = named_rows(pages.where(F.col("source") == source), headers)
-    rows = with_scan_date(rows, DATE_COLUMN[source])
+    # the scan reads its rows twice (page maxima, then the rows): parse pages once
+    rows = materialize(with_scan_date(rows, DATE_COLUMN[source]))
     return incremental.paged_hwm_scan(rows, marks.select("source", "hwm"))
 
 

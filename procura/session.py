@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: folders written by ``materialize``, until ``release``
+_STORED: list[str] = []
 
 CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,15 +49,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if re.match(r"local(\[|$)", sc.master) is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="procura-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
-    (``spark.checkpoint.dir``).  Survives
-    executor loss; later filters and joins read stored columns."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one write, inside the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a finished stage once as Parquet to the shared folder and read it
+    back: cuts the lineage, survives executor loss, and later filters and
+    projections reach the scan (pushed filters, narrow read schema)."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    _STORED.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the folders ``materialize`` wrote in this session; to be called
+    when the results built on them are written."""
+    jvm = spark.sparkContext._jvm
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procura.functions import rules
+from procura.operators import registry
+
+LINK_BASE = "https://example.org/"
 
 # Injected constant for the load timestamp (the source system used now()).
 INSERT_DATE = "2024-06-01 12:00:00"
@@ -41,6 +44,22 @@ def cents_of(totalprice: Column) -> Column:
     return F.round(totalprice * 100).cast("bigint")
 
 
+def registry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry workbook rows derived from ``customer``: every customer is an
+    entry of its source's full name in one of three spellings; ``seq`` is the
+    sheet order, so later customers win."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    src = source_of(F.col("c_custkey"))
+    key = registry.registry_key_of(src)
+    v = F.col("c_custkey") % 3
+    full = (F.when(v == 0, F.initcap(key)).when(v == 1, F.concat(F.initcap(key), F.lit(",")))
+            .otherwise(F.concat(F.upper(key), F.lit("."))))
+    attrs = F.create_map(
+        F.lit(registry.LINK_ATTR), F.concat(F.lit(LINK_BASE), src, F.lit("/"), F.col("c_custkey").cast("string")),
+        F.lit("skratka"), src)
+    return c.select(full.alias("Nazov_full"), attrs.alias("attributes"), F.col("c_custkey").alias("seq"))
+
+
 def dirty_price(k: Column, cents: Column, source: Column) -> Column:
     """Price text by k % 6 (fntn always the plain form)."""
     e = (cents / 100).cast("bigint")
@@ -92,8 +111,9 @@ def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
              .drop("_pk", "_sk"))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One dirty, all-string order row per order (schema of FIXTURES §1)."""
+def raw_orders(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+    """One dirty, all-string order row per order (schema of FIXTURES §1);
+    ``clean`` adds the clean date ``_d`` and the price in cents ``_c``."""
     b = orders_base(spark, sf_dir)
     k = F.col("o_orderkey")
     src = source_of(F.col("o_custkey"))
@@ -123,6 +143,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("objednavky_"), F.lpad((k % N_FILES).cast("string"), 2, "0"), F.lit(".xlsx")).alias("file"),
         insert_ts().alias("insert_date"),
         F.lit("nie").alias("cena_s_dph"),
+        *([d.alias("_d"), cents.alias("_c")] if clean else []),
     )
 
 
@@ -256,11 +277,7 @@ def source_marks(spark: SparkSession) -> DataFrame:
 # ---------------------------------------------------------------- web tables (html pages)
 
 ROWS_PER_PAGE = 25
-FNTN_HEADERS = ["Číslo objednávky", "Názov dodávateľa", "Popis", "IČO dodávateľa", "Cena s DPH (€)",
-                "Dátum vyhotovenia", "Číslo zmluvy", "Schválil", "Mesto dodávateľa", "PSČ dodávateľa",
-                "Adresa dodávateľa"]
-DONSP_HEADERS = ["Číslo objednávky", "Dodávateľ", "IČO", "Suma", "Predmet objednávky", "Dátum zverejnenia",
-                 "Meno schvaľujúceho"]
+FNTN_HEADERS, DONSP_HEADERS = rules.FNTN_HEADERS, rules.DONSP_HEADERS
 WEB_SOURCES = ("fntn", "donsp")
 PAGE_SPAN = 1_000_000_000  # pages of one week: week_index * PAGE_SPAN + sub-page
 
@@ -268,9 +285,7 @@ PAGE_SPAN = 1_000_000_000  # pages of one week: week_index * PAGE_SPAN + sub-pag
 def web_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the two web sources with their page number: newest week is
     page 0..; a week is split into sub-pages of ~25 rows by ``k % n_sub``."""
-    ro = raw_orders(spark, sf_dir).where(F.col("objednavatel").isin(list(WEB_SOURCES)))
-    b = orders_base(spark, sf_dir).select(F.col("o_orderkey").alias("k"), clean_date(F.col("o_orderdate")).alias("_d"))
-    ro = ro.join(b, "k")
+    ro = raw_orders(spark, sf_dir, clean=True).where(F.col("objednavatel").isin(list(WEB_SOURCES)))
     mx = ro.groupBy("objednavatel").agg(F.max("_d").alias("_mx"))
     ro = ro.join(mx, "objednavatel").withColumn("_w", (F.datediff("_mx", "_d") / 7).cast("bigint"))
     nw = ro.groupBy("objednavatel", "_w").agg(F.count(F.lit(1)).alias("_n"))
@@ -334,9 +349,7 @@ def pdf_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     merge them into one column and add an unnamed empty column (layout B).
     Every page starts with a title row, then the header row; 'Str: n' rows
     are page breaks.  Empty cells are '' (as a PDF table reader gives)."""
-    ro = raw_orders(spark, sf_dir).where(F.col("objednavatel") == "nsptrstena")
-    b = orders_base(spark, sf_dir).select(F.col("o_orderkey").alias("k"), cents_of(F.col("o_totalprice")).alias("_c"))
-    ro = ro.join(b, "k")
+    ro = raw_orders(spark, sf_dir, clean=True).where(F.col("objednavatel") == "nsptrstena")
     k = F.col("k")
     pg = (k % PDF_PAGES).cast("int")
     e = (F.col("_c") / 100).cast("bigint").cast("string")

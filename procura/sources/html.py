@@ -1,44 +1,86 @@
-"""HTML table extraction (S3): the first ``<table>`` of a page to long cells."""
+"""HTML table extraction (S3): the first ``<table>`` of a page, as rows inside
+the page's own row or as long cells."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from html.entities import name2codepoint
+from itertools import chain
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from procura.functions.text import py_strip
+from procura.functions.text import _c, py_strip
+
+_TABLE_TAG = r"(?i)(?=<table\b|</table\s*>)"
+_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|\z)"
+_CELL = r"(?is)<t[hd]\b[^>]*>.*?(?=</t[hd]\s*>|<t[hd]\b|\z)"
+_COLSPAN = r"(?is)^<t[hd]\b[^>]*?\bcolspan\s*=\s*[\"']?\s*(\d{1,3})"
+_REF = r"&(?=#\d{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;)"
+
+
+def unescape(c: Column) -> Column:
+    """Character references to characters: named (from the standard table),
+    decimal and hexadecimal ones; anything else stays as it stands.  Each
+    reference is decoded once (``&amp;lt;`` becomes ``&lt;``)."""
+    named = F.create_map(*chain.from_iterable((F.lit(n), F.lit(chr(p))) for n, p in
+                                              {**name2codepoint, "apos": 39}.items()))
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^([^;]+);", 1)
+        hexed = F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]+)$", 1)
+        code = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(F.regexp_extract(name, r"^#(\d+)$", 1)).try_cast("int")
+        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(
+            F.try_element_at(named, name))
+        rest = F.substr(part, F.length(name) + F.lit(2))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
+
+    parts = F.split(c, _REF)
+    text = F.concat(F.element_at(parts, 1), F.array_join(F.transform(
+        F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), decoded), ""))
+    return F.when(F.contains(c, F.lit("&")), text).otherwise(c)
+
+
+def _first_table(html: Column) -> Column:
+    """Inner html of the first table.  Segments between table tags are folded
+    with the nesting depth: text of nested tables stays as text of its cell,
+    rows after a nested table belong to the outer one."""
+    def step(acc: Column, seg: Column) -> Column:
+        opens, closes = seg.rlike(r"(?i)^<table\b"), seg.rlike(r"(?i)^</table")
+        depth = F.greatest(acc["depth"] + opens.cast("int") - closes.cast("int"), F.lit(0))
+        body = F.regexp_replace(seg, r"(?i)^</?table\b[^>]*>", "")
+        done = acc["done"] | (closes & (acc["depth"] == 1))
+        add = (F.when(done | (depth == 0), F.lit("")).when(depth == 1, body)
+               .otherwise(F.concat(F.lit(" "), F.regexp_replace(body, r"<[^>]+>", " "))))
+        return F.struct(depth.alias("depth"), done.alias("done"), F.concat(acc["out"], add).alias("out"))
+
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("out"))
+    return F.aggregate(F.split(html, _TABLE_TAG), zero, step, lambda acc: acc["out"])
 
-_TABLE = r"(?is)<table[^>]*>(.*?)</table>"
-_ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
-_CELL = r"(?is)<t[hd][^>]*>(.*?)</t[hd]>"
 
-# FIXED VALUES: character references decoded in cell text; the ampersand last
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-             ("&aacute;", "á"), ("&Aacute;", "Á"), ("&auml;", "ä"), ("&eacute;", "é"), ("&Eacute;", "É"),
-             ("&iacute;", "í"), ("&Iacute;", "Í"), ("&oacute;", "ó"), ("&Oacute;", "Ó"), ("&ocirc;", "ô"),
-             ("&uacute;", "ú"), ("&Uacute;", "Ú"), ("&yacute;", "ý"), ("&Yacute;", "Ý"), ("&ccaron;", "č"),
-             ("&Ccaron;", "Č"), ("&scaron;", "š"), ("&Scaron;", "Š"), ("&zcaron;", "ž"), ("&Zcaron;", "Ž"),
-             ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&")]
+def _cell_values(cell: Column) -> Column:
+    """The cell's text, once for each column it spans; an empty cell is null."""
+    v = unescape(F.regexp_replace(F.regexp_replace(cell, r"^<[^>]+>", ""), r"<[^>]+>", ""))
+    v = F.nullif(py_strip(F.regexp_replace(v, r"[\r\n]+|\s{2,}", " ")), F.lit(""))
+    span = F.coalesce(F.regexp_extract(cell, _COLSPAN, 1).try_cast("int"), F.lit(1))
+    return F.array_repeat(v, F.greatest(span, F.lit(1)))
 
 
-def _unescape(c):
-    decoded = c
-    for ent, ch in _ENTITIES:
-        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+def table_rows(html) -> Column:
+    """``array<array<string>>``: the rows of the page's first table (the first
+    one holds the header) with the text of their cells.  Tags inside cells
+    are removed, references decoded, line breaks and runs of whitespace made
+    one space, the ends stripped; an empty cell is null (as a data-frame
+    reader gives NaN), a cell over several columns is repeated in each.  A
+    page without a table, or null, gives no rows.  Row spans are not expanded."""
+    rows = F.regexp_extract_all(_first_table(_c(html)), F.lit(_ROW), 1)
+    return F.transform(rows, lambda r: F.flatten(F.transform(
+        F.regexp_extract_all(r, F.lit(_CELL), 0), _cell_values)))
 
 
 def table_cells(pages: DataFrame, key_cols=("source", "page")) -> DataFrame:
-    """Flat tables with native regex extraction: row ``i`` of the first table
-    is ``row_idx = i`` (a ``<th>`` header row, when present, is row 0), cell
-    ``j`` is ``col_idx = j``.  Tags inside cells are removed, entities
-    decoded, line breaks and runs of whitespace made one space, the ends stripped; an empty cell is null (as a
-    data-frame reader gives NaN).  Pages without a table yield nothing.
-    Each page is processed whole inside its own task."""
+    """Long cells: row ``i`` of the first table is ``row_idx = i``, its column
+    ``j`` is ``col_idx = j``.  Each page is processed whole in its own task."""
     keys = [F.col(c) for c in key_cols]
-    t = pages.select(*keys, F.regexp_extract(F.col("html"), _TABLE, 1).alias("_t")).where(F.col("_t") != "")
-    rows = t.select(*keys, F.posexplode(F.regexp_extract_all(F.col("_t"), F.lit(_ROW), 1)).alias("row_idx", "_r"))
-    cells = rows.select(*keys, F.col("row_idx").cast("bigint"),
-                        F.posexplode(F.regexp_extract_all(F.col("_r"), F.lit(_CELL), 1)).alias("col_idx", "_v"))
-    v = _unescape(F.regexp_replace(F.col("_v"), r"<[^>]+>", ""))
-    v = py_strip(F.regexp_replace(v, r"[\r\n]+|\s{2,}", " "))
-    return cells.select(*keys, "row_idx", F.col("col_idx").cast("int"), F.nullif(v, F.lit("")).alias("value"))
+    rows = pages.select(*keys, F.posexplode(table_rows("html")).alias("row_idx", "_r"))
+    return rows.select(*keys, F.col("row_idx").cast("bigint"), F.posexplode("_r").alias("col_idx", "value"))

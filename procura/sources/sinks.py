@@ -4,19 +4,12 @@ checkpoint folder named by ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
 from procura.functions import rules
-from procura.session import checkpoint_dir
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one write, inside the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from procura.session import scratch_path  # noqa: F401  (re-export)
 
 
 def source_manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,6 +42,13 @@ def append_table(df: DataFrame, path: str, partition_by: str | None = "objednava
     out.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
 
 
+def write_quarantine(df: DataFrame, path: str) -> None:
+    """Rows with a reason in ``_errors``, whole and apart from the table, for
+    later correction; partitioned by source like the table."""
+    df.where(F.size("_errors") > 0).hint("rebalance", "objednavatel").write.mode("append") \
+      .partitionBy("objednavatel").parquet(path)
+
+
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Write a snapshot to a new path (never over the path being read)."""
     df.write.mode("errorifexists").parquet(path)
