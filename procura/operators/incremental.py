@@ -34,7 +34,8 @@ def select_attachments(messages: DataFrame, marks: DataFrame, sources=None) -> D
     suffixes = [(s, s + rules.MAIL_DOMAIN.get(s, ".sk")) for s in names]
     lengths = sorted({len(x) for _, x in suffixes})
     srcs = spark.createDataFrame(suffixes, "source string, suffix string").join(marks, "source", "left")
-    cand = messages.withColumn("suffix", F.explode(F.array_distinct(F.array(
+    used = messages.select("message_id", "sender", "received_at", "sent_on", "attachment")
+    cand = used.withColumn("suffix", F.explode(F.array_distinct(F.array(
         *[F.substring(F.col("sender"), -n, n) for n in lengths]))))
     m = cand.join(F.broadcast(srcs), "suffix", "inner")
     m = m.where(F.col("last_update").isNull() | (F.col("received_at") > F.col("last_update")))

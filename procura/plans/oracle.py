@@ -112,6 +112,7 @@ LINK_CTE = f"""links AS (
 )"""
 
 VAT_FILES = "(3, 9, 13)"   # files whose price header is a VAT-inclusive alias
+VAT_OF_FILE = f"CASE WHEN k % 16 IN {VAT_FILES} THEN 'ano' ELSE 'nie' END"
 
 
 def mail_final_cte(name: str = "mail_final", vat: str = "'nie'") -> str:

@@ -16,6 +16,7 @@ from procura.operators import cells as C
 from procura.operators import registry, search
 from procura.plans import oracle as O
 from procura.plans import cleaning as P
+from procura.plans import mail as ML
 from procura.session import scratch_path
 from procura.sources import fixtures as FX
 from procura.sources.sinks import append_table
@@ -349,17 +350,8 @@ def q_vat_flag(spark, sf_dir):
 
 
 def mail_batch(spark, sf_dir) -> DataFrame:
-    """E1 over mail attachments: clean sheets -> standardise -> distinct ->
-    F7 -> price/date cleaning -> packed final rows."""
-    rows, heads = C.clean_sheets(_cells(spark, sf_dir))
-    std = (C.standardise(rows, heads)
-             .withColumn("objednavatel", F.col("source"))
-             .withColumn("insert_date", FX.insert_ts())
-             .drop("row_idx", "source")
-             .distinct()  # within a sheet: equal rows of two sheets both stay
-             .drop("sheet"))
-    cleaned = P.clean_orders(P.drop_all_null_keys(std))
-    return P.final_rows(cleaned, registry_dim(spark, sf_dir))
+    """E1 from cells on."""
+    return ML.sheet_rows(_cells(spark, sf_dir), registry_dim(spark, sf_dir), FX.insert_ts())
 
 
 @register("mail_source_batch", O.with_(O.BASE, O.LINK_CTE, O.mail_final_cte(
@@ -730,7 +722,7 @@ def q_serving_load(spark, sf_dir):
 @register("quarantine_rows", O.with_(O.BASE) + f"""
 SELECT objednavatel, reason, count(*) AS n_rows, count(cena) AS n_with_price, count(datum) AS n_with_date FROM (
   SELECT src AS objednavatel, unnest([{O.PRICE_ERR},
-           CASE WHEN src <> 'fnspza' THEN {O.DATE_ERR} WHEN k % 10 IN (7, 9) THEN 'datum:invalid_date' END]) AS reason,
+           {O.DATE_ERR}]) AS reason,
          {O.PRICE} AS cena, CASE WHEN src = 'fnspza' THEN {O.DATE_FNSPZA} ELSE {O.DATE} END AS datum
   FROM base WHERE src IN {O._in(MAIL)}) WHERE reason IS NOT NULL GROUP BY ALL""")
 def q_quarantine_rows(spark, sf_dir):
@@ -791,6 +783,35 @@ def q_incremental_ingest(spark, sf_dir):
     return _read_final(spark, table_path)
 
 
+FIRST_LOAD, SECOND_LOAD = "2024-03-01 12:00:00", "2024-06-01 12:00:00"
+
+
+@register("mail_attachment_job", O.with_(O.BASE, O.LINK_CTE, O.mail_final_k().replace(
+    O.PRICE, f"CASE WHEN k % 6 = 5 THEN NULL ELSE {O.PRICE} END").replace(
+    O.popis_json(O.SUBJECT_WITH_QTY, vat="'nie'"), O.popis_json(O.SUBJECT_WITH_QTY, vat=O.VAT_OF_FILE)).replace(
+    O.popis_json("p_name", f"CASE WHEN k % 4 = 0 THEN {O.QTY} END", "'nie'"),
+    O.popis_json("p_name", f"CASE WHEN k % 4 = 0 THEN {O.QTY} END", O.VAT_OF_FILE))) + f"""
+SELECT objednavatel, cena, datum, dodavatel, popis, link,
+       CASE WHEN k % 16 < 8 THEN TIMESTAMP '{FIRST_LOAD}' ELSE TIMESTAMP '{SECOND_LOAD}' END AS insert_date,
+       lpad((k % 16 + 1)::VARCHAR, 2, '0') || CASE WHEN k % 16 < 8 THEN '_02' ELSE '_04' END || '_2024_09_29_00_'
+         || 'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.csv' AS file
+FROM mf""")
+def q_mail_attachment_job(spark, sf_dir):
+    """E1 end to end: marks of the stored table -> selected attachments ->
+    files -> ... -> append, run three times: the first load, a second one of
+    newer messages, and one that finds nothing new."""
+    cells, messages = _cells(spark, sf_dir), P.materialize(FX.sheet_messages(spark, sf_dir))
+    dim = P.materialize(registry_dim(spark, sf_dir))
+    table_path = SK.scratch_path(spark, "table")
+    for loaded in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD):
+        arrived = messages.where(F.col("received_at") < F.lit(loaded).cast("timestamp_ntz"))
+        inbox = SK.scratch_path(spark, "inbox")
+        FX.save_attachments(cells, messages, ML.selected(spark, arrived, table_path), inbox)
+        ML.load_attachments(spark, inbox, table_path, SK.scratch_path(spark, "stream-ckpt"), dim,
+                            F.lit(loaded).cast("timestamp_ntz"), archive=SK.scratch_path(spark, "archive"))
+    return _read_final(spark, table_path)
+
+
 # ---------------------------------------------------------------- F7, E4, F8 variants
 
 @register("drop_all_null_keys", O.with_(O.BASE) + f"""

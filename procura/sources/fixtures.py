@@ -265,6 +265,33 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sheet_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message per mail source and file of ``raw_cells``: files 0 to 7
+    arrive in February, the others in April; sent at 9:29, received at 9:30."""
+    ro = raw_orders(spark, sf_dir).where(F.col("objednavatel").isin(list(rules.MAIL_DOMAIN)))
+    d = ro.select(F.col("objednavatel").alias("source"), "file", (F.col("k") % N_FILES).cast("int").alias("f")).distinct()
+    sent = F.make_timestamp_ntz(F.lit(2024), F.when(F.col("f") < 8, 2).otherwise(4), F.col("f") + 1,
+                                F.lit(9), F.lit(29), F.lit(0).cast("decimal(16,6)"))
+    domains = F.create_map(*[F.lit(x) for kv in rules.MAIL_DOMAIN.items() for x in kv])
+    return d.select(F.concat_ws("-", "source", "file").alias("message_id"), "source", "file",
+                    F.concat(F.lit("podatelna@"), "source", domains[F.col("source")]).alias("sender"),
+                    (sent + F.expr("INTERVAL 1 MINUTE")).alias("received_at"), sent.alias("sent_on"),
+                    F.regexp_replace("file", "xlsx$", "csv").alias("attachment"))
+
+
+def save_attachments(cells: DataFrame, messages: DataFrame, selected: DataFrame, inbox: str) -> None:
+    """What the mail client does: the selected messages' sheets saved as CSV,
+    one file each, under their saved names."""
+    n_cols = len(SHEET_COLUMNS) + 2
+    names = messages.select("message_id", "file").join(selected, "message_id").select("source", "file", "saved_name")
+    rows = (cells.join(names, ["source", "file"]).groupBy("source", "saved_name", "row_idx")
+                 .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("m")))
+    rows = rows.select("source", F.col("saved_name").alias("file"), "row_idx", *[
+        F.try_element_at("m", F.lit(i)).alias(f"c{i}") for i in range(n_cols)])
+    (rows.repartition("source", "file").sortWithinPartitions("source", "file", "row_idx").drop("row_idx")
+         .write.option("escape", '"').partitionBy("source", "file").csv(inbox))
+
+
 def source_marks(spark: SparkSession) -> DataFrame:
     """Per-source load marks used by the incremental examples: day ``i`` of
     January 2024 for the i-th source."""

@@ -15,17 +15,18 @@ from procura.operators import dedupe
 from procura.sources import sinks
 
 
-def _read_stored(spark: SparkSession, table_path: str, schema) -> DataFrame | None:
+def read_stored(spark: SparkSession, table_path: str, schema=None) -> DataFrame | None:
+    """The stored table, or None where nothing is stored yet."""
     try:
-        return spark.read.schema(schema).parquet(table_path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(table_path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":  # no table yet
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table yet
             return None
         raise
 
 
-def ingest(spark: SparkSession, inbox: str, schema: StructType, table_path: str, checkpoint: str,
-           transform, keys=dedupe.ROW_KEYS, archive: str | None = None, files_per_batch: int = 64) -> None:
+def ingest(spark: SparkSession, inbox: str, schema: StructType | str, table_path: str, checkpoint: str,
+           transform, keys=dedupe.ROW_KEYS, archive: str | None = None, files_per_batch: int = 64, source_format: str = "parquet") -> None:
     """Run one ``availableNow`` ingest: every unseen file of ``inbox`` is read
     with the explicit ``schema``, turned into final rows by ``transform``,
     de-duplicated against the stored table (J4) and appended to it.  A
@@ -33,11 +34,13 @@ def ingest(spark: SparkSession, inbox: str, schema: StructType, table_path: str,
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    stream = reader.parquet(inbox)
+    if source_format == "binaryFile":  # folders name source and file; they are no columns
+        reader = reader.option("recursiveFileLookup", "true")
+    stream = reader.format(source_format).load(inbox)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         rows = transform(df)
-        stored = _read_stored(spark, table_path, rows.schema)
+        stored = read_stored(spark, table_path, rows.schema)
         new = dedupe.new_rows_anti(rows, stored, keys) if stored is not None else rows.dropDuplicates(keys)
         sinks.append_table(new, table_path)
 

@@ -1,7 +1,12 @@
 """Plan checks: the physical strategy the operators are meant to get."""
+import re
+
 from conftest import SF001
 
 import __spark_entry__ as E
+from procura.functions import rules
+from procura.operators import dedupe
+from procura.plans import web
 
 
 def _plan(df):
@@ -33,3 +38,26 @@ def test_scan_prunes_columns(spark):
 def test_attachment_suffix_match_is_equi_join(spark):
     plan = _plan(E.queries()["attachment_select"](spark, SF001))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_search_reads_pruned_parquet(spark):
+    plan = _plan(E.queries()["search_orders"](spark, SF001))
+    assert "PushedFilters: [IsNotNull(cena), IsNotNull(popis)" in plan or "GreaterThan(cena,1000.0)" in plan
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
+    assert {c.split(":")[0] for c in schema.split(",")} == {"cena", "datum", "popis", "link"}
+
+
+def test_history_lookup_prunes_sources(spark):
+    plan = _plan(E.queries()["history_lookup"](spark, SF001))
+    assert re.search(r"PartitionFilters: \[[^\]]*objednavatel#\d+ = unb", plan)
+
+
+def test_unique_rows_take_one_shuffle(spark):
+    d = spark.createDataFrame([("p", 1.0, "d", "x", "f")], "popis string, cena double, datum string, dodavatel string, file string")
+    plan = _plan(dedupe.symmetric_unique(d, d))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_page_rows_need_no_shuffle(spark):
+    pages = spark.createDataFrame([("fntn", 1, "<table></table>")], "source string, page long, html string")
+    assert "Exchange" not in _plan(web.named_rows(pages, rules.FNTN_HEADERS))

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from procura.operators import dedupe, registry, search
 from procura.operators.cells import columns_by_name
+from procura.functions import text
+from procura.plans import web
 from procura.sources import html, sinks
 
 
@@ -62,3 +64,35 @@ def test_append_writes_few_files(spark, tmp_path):
     sinks.append_table(d, str(tmp_path / "t"))
     assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 18
     assert spark.read.parquet(str(tmp_path / "t")).count() == 4000
+
+
+def test_spans_references_and_nested_tables(spark):
+    page = ("<table><tr><th colspan=\"2\">&#225; &#x10D;</th><th>c</th></tr><tr><td>&amp;lt; &bogus; &</td>"
+            "<td><table><tr><td>in</td></tr></table></td><td>z</td></tr><tr><td>after</td></tr></table>"
+            "<table><tr><td>second</td></tr></table>")
+    d = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "<table></table>")], "id int, html string")
+    got = {r["id"]: r["r"] for r in d.select("id", html.table_rows("html").alias("r")).collect()}
+    assert got[1] == [["\u00e1 \u010d", "\u00e1 \u010d", "c"], ["&lt; &bogus; &", "in", "z"], ["after"]]
+    assert got[2] is None and got[3] == [] and got[4] == []
+
+
+def test_headers_in_any_latin_spelling(spark):
+    d = spark.createDataFrame([("Dod\u00e1vate\u013e \u2013 I\u010cO",), ("\u0151\u0171\u0142\u00f8",), ("a\u00a0b",)], "v string")
+    assert [r[0] for r in d.select(text.normalise_header("v")).collect()] == ["dodavatel - ico", "oulo", "a b"]
+    assert text.normalise_name("Dod\u00e1vate\u013e \u2013 I\u010cO") == "dodavatel - ico"
+
+
+def test_odd_pages_do_not_end_the_web_job(spark):
+    page = "<table><tr><th></th><th>Suma</th><th>Suma</th></tr><tr><td>x</td><td>1</td><td>2</td></tr></table>"
+    d = spark.createDataFrame([("donsp", 1, page), ("donsp", 2, None), ("donsp", 3, "<p>")], "source string, page long, html string")
+    rows = web.named_rows(d, ["Suma", "I\u010cO"]).collect()
+    assert [(r["page"], r["row_idx"], r["Suma"], r["I\u010cO"]) for r in rows] == [(1, 1, "1", None)]
+
+
+def test_unique_rows_compare_nulls_as_equal(spark):
+    schema = "popis string, cena double, datum string, dodavatel string, file string"
+    new = spark.createDataFrame([("p", None, None, "x", "n"), ("q", 1.0, "d", "x", "n"), ("r", 1.0, "d", "x", None)], schema)
+    stored = spark.createDataFrame([("p", None, None, "x", "s"), ("s", 1.0, "d", "x", "s")], schema)
+    got = dedupe.symmetric_unique(new, stored)
+    assert got.columns == new.columns
+    assert {(r["popis"], r["file"]) for r in got.collect()} == {("q", "n"), ("r", None), ("s", "s")}
