@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import rules
 from procura.operators import registry
+from procura.session import spread
 
 LINK_BASE = "https://example.org/"
 
@@ -99,8 +100,8 @@ def quantity_n(k: Column) -> Column:
 
 def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders joined to one part and one supplier through computed keys."""
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     n_part = part.select(F.count(F.lit(1))).scalar()

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from procura.functions.text import _c, py_strip
 
 _TABLE_TAG = r"(?i)(?=<table\b|</table\s*>)"
-_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|\z)"
-_CELL = r"(?is)<t[hd]\b[^>]*>.*?(?=</t[hd]\s*>|<t[hd]\b|\z)"
-_COLSPAN = r"(?is)^<t[hd]\b[^>]*?\bcolspan\s*=\s*[\"']?\s*(\d{1,3})"
+_ROW_START = r"(?i)<tr\b[^>]*>"
+_CELL_START = r"(?i)<t[hd]\b"
+#: in a cell from behind its tag's name: the rest of the tag, what follows its end, tags inside
+_NOT_TEXT = r"(?is)^[^>]*>|</t[hdr]\b.*|<[^>]+>"
+_COLSPAN = r"(?i)^[^>]*?\bcolspan\s*=\s*[\"']?\s*(\d{1,3})"
 _REF = r"&(?=#\d{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;)"
 
 
@@ -36,8 +38,7 @@ def unescape(c: Column) -> Column:
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
 
     parts = F.split(c, _REF)
-    text = F.concat(F.element_at(parts, 1), F.array_join(F.transform(
-        F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), decoded), ""))
+    text = F.concat(F.element_at(parts, 1), F.array_join(F.transform(_rest(parts), decoded), ""))
     return F.when(F.contains(c, F.lit("&")), text).otherwise(c)
 
 
@@ -46,7 +47,8 @@ def _first_table(html: Column) -> Column:
     with the nesting depth: text of nested tables stays as text of its cell,
     rows after a nested table belong to the outer one."""
     def step(acc: Column, seg: Column) -> Column:
-        opens, closes = seg.rlike(r"(?i)^<table\b"), seg.rlike(r"(?i)^</table")
+        start = F.left(seg, F.lit(8))
+        opens, closes = start.rlike(r"(?i)^<table\b"), start.rlike(r"(?i)^</table")
         depth = F.greatest(acc["depth"] + opens.cast("int") - closes.cast("int"), F.lit(0))
         body = F.regexp_replace(seg, r"(?i)^</?table\b[^>]*>", "")
         done = acc["done"] | (closes & (acc["depth"] == 1))
@@ -58,12 +60,22 @@ def _first_table(html: Column) -> Column:
     return F.aggregate(F.split(html, _TABLE_TAG), zero, step, lambda acc: acc["out"])
 
 
-def _cell_values(cell: Column) -> Column:
-    """The cell's text, once for each column it spans; an empty cell is null."""
-    v = unescape(F.regexp_replace(F.regexp_replace(cell, r"^<[^>]+>", ""), r"<[^>]+>", ""))
-    v = F.nullif(py_strip(F.regexp_replace(v, r"[\r\n]+|\s{2,}", " ")), F.lit(""))
-    span = F.coalesce(F.regexp_extract(cell, _COLSPAN, 1).try_cast("int"), F.lit(1))
-    return F.array_repeat(v, F.greatest(span, F.lit(1)))
+def _rest(parts: Column) -> Column:
+    """All but the first of the parts of a split."""
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
+def _row_values(row: Column) -> Column:
+    """The row's cell texts, once for each column a cell spans; empty cells are null."""
+    cells = F.transform(_rest(F.split(row, _CELL_START)), lambda c: F.named_struct(
+        F.lit("text"), F.regexp_replace(c, _NOT_TEXT, ""),
+        F.lit("span"), F.greatest(F.coalesce(F.regexp_extract(c, _COLSPAN, 1).try_cast("int"), F.lit(1)), F.lit(1))))
+
+    def value(text: Column) -> Column:
+        v = py_strip(F.regexp_replace(unescape(text), r"[\r\n]+|\s{2,}", " "))
+        return F.nullif(v, F.lit(""))
+
+    return F.flatten(F.transform(cells, lambda c: F.array_repeat(value(c["text"]), c["span"])))
 
 
 def table_rows(html) -> Column:
@@ -73,9 +85,7 @@ def table_rows(html) -> Column:
     one space, the ends stripped; an empty cell is null (as a data-frame
     reader gives NaN), a cell over several columns is repeated in each.  A
     page without a table, or null, gives no rows.  Row spans are not expanded."""
-    rows = F.regexp_extract_all(_first_table(_c(html)), F.lit(_ROW), 1)
-    return F.transform(rows, lambda r: F.flatten(F.transform(
-        F.regexp_extract_all(r, F.lit(_CELL), 0), _cell_values)))
+    return F.transform(_rest(F.split(_first_table(_c(html)), _ROW_START)), _row_values)
 
 
 def table_cells(pages: DataFrame, key_cols=("source", "page")) -> DataFrame:
