@@ -165,11 +165,12 @@ def op8_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text; for documents with
-    a doc_id divisible by 100, how many others lie within the Hamming radius."""
+    a doc_id divisible by 100, how many others lie within the Hamming radius and
+    the fingerprints these have (their documents: the rows with them)."""
     d = stored(simhash.fingerprint_edits(table(spark, sf_dir, "documents")), "fingerprints")
     asked = F.col("doc_id") % 100 == 0
     near = simhash.near_fingerprints(d.filter(asked), d.select("fingerprint"))
-    near = near.select(F.col("fingerprint").alias("_of"), (F.col("n_near") - 1).alias("n_near"))
+    near = near.select(F.col("fingerprint").alias("_of"), (F.col("n_near") - 1).alias("n_near"), "near")
     return d.join(stored(near, "near"), asked & (F.col("fingerprint") == F.col("_of")), "left").drop("_of")
 
 

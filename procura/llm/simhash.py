@@ -1,15 +1,18 @@
 """SimHash fingerprints and all fingerprints within a Hamming radius.
 
 Terms are runs of words; each votes with its weight for or against every bit,
-by the bits of its hash.  For the search, fingerprints are cut into radius + 1
-blocks: two within the radius agree in at least one.  The fingerprints are put
-into one table per block, keyed by it, and a pair counts in the table of the
-first block on which it agrees.
+by the bits of its hash.  For the search, fingerprints are cut into BLOCKS
+blocks: two within the radius differ by at most radius // BLOCKS bits in at least
+one.  The fingerprints are put into one table per block, keyed by it, each query
+asks for its block with any such bits flipped, and a pair counts in the table of
+the first block that is as near as that.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,22 @@ from procura.llm.common import small_batches, stored
 LANES = 4
 BITS = 64 * LANES
 WIDTH = 3
-RADIUS = 7
+#: pairs of this Jaccard similarity (of the terms' sets) are to be caught
+SIMILARITY = 0.8
+BLOCKS = 16
+
+
+def radius_for(similarity: float) -> int:
+    """Bits by which fingerprints of sets of equal size and this Jaccard similarity
+    differ: the angle between the sets, as a share of pi, is each bit's chance;
+    one and a half deviations are added."""
+    chance = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(BITS * chance + 1.5 * math.sqrt(BITS * chance * (1 - chance)))
+
+
+RADIUS = radius_for(SIMILARITY)
+#: a key of a table with more rows than this is cut into parts
+HOT_KEY = 2_000
 WORDS_HELD = 50_000
 
 
@@ -160,25 +178,39 @@ def _batch(ids, rows, kind) -> pa.RecordBatch:
 
 
 def near_fingerprints(queries: DataFrame, all_: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """fingerprint (of ``queries``) and n_near: how many rows of ``all_`` have a
-    fingerprint within ``radius`` bits.  Both have a column fingerprint, BITS / 4
-    hexadecimal digits; radius + 1 must divide that.  Equal fingerprints are
-    counted, not paired."""
-    blocks = radius + 1
-    size = BITS // 4 // blocks
-    assert blocks * size == BITS // 4, "radius + 1 blocks must be whole hexadecimal digits"
-
-    def cut(d):
-        return d.withColumn("_blocks", F.array(*[F.substring("fingerprint", 1 + size * i, size) for i in range(blocks)]))
-
-    a = cut(all_.groupBy("fingerprint").agg(F.count("*").alias("_rows")))
-    a = a.select(F.col("fingerprint").alias("_other"), "_rows", F.col("_blocks").alias("_theirs"),
-                 F.posexplode("_blocks").alias("_table", "_key"))
-    q = cut(queries.select("fingerprint").distinct())
-    q = q.select("fingerprint", F.col("_blocks").alias("_ours"), F.posexplode("_blocks").alias("_at", "_block"))
-    lane = lambda c, i: F.conv(F.substring(c, 1 + 8 * i, 8), 16, 10).cast("long")
-    distance = sum((F.bit_count(lane("fingerprint", i).bitwiseXOR(lane("_other", i))) for i in range(BITS // 32)), F.lit(0))
-    agree = F.array_position(F.zip_with("_ours", "_theirs", lambda x, y: x == y), F.lit(True))
-    d = q.join(a, (F.col("_at") == F.col("_table")) & (F.col("_block") == F.col("_key")) & (distance <= radius)
-               & (agree == F.col("_at") + 1))
-    return d.groupBy("fingerprint").agg(F.sum("_rows").alias("n_near"))
+    """Per fingerprint of ``queries``: n_near, how many rows of ``all_`` have a
+    fingerprint within ``radius`` bits, and near, those fingerprints in order.
+    Both have a column fingerprint, BITS / 4 hexadecimal digits.  A pair counts
+    by its distance alone, so any radius below BITS is exact.  Equal fingerprints
+    are one row until they are counted: they are the classes, and the rows of
+    ``all_`` say which documents belong to one."""
+    size = BITS // BLOCKS
+    flips = radius // BLOCKS
+    masks = [sum(1 << i for i in c) for n in range(flips + 1) for c in combinations(range(size), n)]
+    digits = size // 4
+    lanes = [F.conv(F.substring("fingerprint", 1 + 8 * i, 8), 16, 10).cast("long") for i in range(BITS // 32)]
+    lanes = [F.shiftleft(a, 32).bitwiseOR(b).alias(f"l{i}") for i, (a, b) in enumerate(zip(lanes[::2], lanes[1::2]))]
+    blocks = F.array(*[F.conv(F.substring("fingerprint", 1 + digits * i, digits), 16, 10).cast("int") for i in range(BLOCKS)])
+    own, other = [f"l{i}" for i in range(LANES)], [f"o{i}" for i in range(LANES)]
+
+    a = all_.groupBy("fingerprint").agg(F.count("*").alias("_rows")).select(*lanes, "_rows", F.posexplode(blocks).alias("_table", "_key"))
+    a = a.select(*[F.col(x).alias(y) for x, y in zip(own, other)], "_rows", "_table", "_key")
+    # keys that a family of near copies shares are cut by a hash of the row
+    hot = a.groupBy(F.col("_table").alias("_t"), F.col("_key").alias("_k")).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_KEY)
+    hot = stored(hot.select("_t", "_k", F.ceil(F.col("_n") / HOT_KEY).cast("int").alias("_parts")), "hot")
+    a = a.join(hot, (F.col("_table") == F.col("_t")) & (F.col("_key") == F.col("_k")), "left").drop("_t", "_k")
+    a = a.withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*other), F.col("_parts"))).cast("int")).drop("_parts")
+    q = queries.select("fingerprint").distinct().select(*lanes, F.posexplode(blocks).alias("_at", "_block"))
+    q = q.withColumn("_mask", F.explode(F.array(*map(F.lit, masks)))).withColumn("_probe", F.col("_block").bitwiseXOR(F.col("_mask")))
+    q = q.drop("_block", "_mask").join(hot, (F.col("_at") == F.col("_t")) & (F.col("_probe") == F.col("_k")), "left").drop("_t", "_k")
+    q = q.withColumn("_of", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+
+    differ = [F.col(x).bitwiseXOR(F.col(y)) for x, y in zip(own, other)]
+    distance = sum((F.bit_count(x) for x in differ), F.lit(0))
+    within = F.array(*[F.bit_count(F.shiftrightunsigned(x, 64 - size - at).bitwiseAND(F.lit((1 << size) - 1))) <= flips
+                       for x in differ for at in range(0, 64, size)])
+    d = q.join(a, (F.col("_at") == F.col("_table")) & (F.col("_probe") == F.col("_key")) & (F.col("_of") == F.col("_part"))
+               & (distance <= radius) & (F.array_position(within, True) == F.col("_at") + 1))
+    text = lambda c: F.lower(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in c]))
+    return d.groupBy(*own).agg(F.sum("_rows").alias("n_near"), F.array_sort(F.collect_list(text(other))).alias("near")).select(
+        text(own).alias("fingerprint"), "n_near", "near")

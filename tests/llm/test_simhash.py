@@ -68,3 +68,48 @@ def test_likeness_follows_similarity():
     assert simhash.likeness(f(a[0]), f(a[0])) == 1.0
     assert simhash.likeness(f(a[0]), f(half)) > simhash.likeness(f(a[0]), f(a[1])) + 0.05
     assert not np.any(f("")) and not np.any(f(None))
+
+
+def test_planted_near_copies_are_listed(spark):
+    """Copies with a few changed words (3-word Jaccard 0.8 and more) are found,
+    and the list names all fingerprints within the radius and no other."""
+    rng = random.Random(7)
+    f = simhash.fingerprinter()
+    texts, pairs = [], []
+    for n, k in [(300, 3), (200, 2), (100, 1), (300, 8), (200, 5)] * 12:
+        a = [f"w{rng.randrange(30_000)}" for _ in range(n)]
+        b = list(a)
+        for i in rng.sample(range(n), k):
+            b[i] = f"x{rng.randrange(10 ** 6)}"
+        sets = [{tuple(w[i:i + 3]) for i in range(n - 2)} for w in (a, b)]
+        assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) >= simhash.SIMILARITY
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(a), " ".join(b)]
+    prints = [f(t).tobytes().hex() for t in texts]
+    d = spark.createDataFrame([(p,) for p in prints + prints[:1]], "fingerprint string")
+    rows = {r["fingerprint"]: r for r in simhash.near_fingerprints(d.filter(d["fingerprint"].isin(prints[::2])), d).collect()}
+    found = [prints[b] in rows[prints[a]]["near"] for a, b in pairs]
+    assert sum(found) >= 0.95 * len(found)
+    for p, r in rows.items():
+        assert r["near"] == sorted({q for q in prints if (int(p, 16) ^ int(q, 16)).bit_count() <= simhash.RADIUS})
+    assert rows[prints[0]]["n_near"] == len(rows[prints[0]]["near"]) + 1
+
+
+def test_hot_keys_and_other_radii(spark, monkeypatch):
+    """A family that shares most blocks, cut into parts, is still found whole."""
+    monkeypatch.setattr(simhash, "HOT_KEY", 10)
+    rng = random.Random(5)
+    base = rng.getrandbits(simhash.BITS)
+    prints = {base}
+    for _ in range(120):
+        x = base
+        for i in rng.sample(range(simhash.BITS), rng.randrange(60)):
+            x ^= 1 << i
+        prints.add(x)
+    text = {f"{p:0{simhash.BITS // 4}x}": p for p in prints}
+    d = spark.createDataFrame([(t,) for t in text], "fingerprint string")
+    for radius in (5, 20, 40):
+        got = {r["fingerprint"]: r["near"] for r in simhash.near_fingerprints(d.limit(30), d, radius).collect()}
+        for t, near in got.items():
+            assert near == sorted(o for o, p in text.items() if (p ^ text[t]).bit_count() <= radius)
+        assert len(got) == 30
