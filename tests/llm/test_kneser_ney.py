@@ -63,3 +63,25 @@ def test_edge_rows(spark):
     none = kn.fit(docs, labels.limit(0))
     assert {r["score"] for r in kn.score(docs, none, ["doc_id"]).collect()} == {0.0}
     assert kn.score(docs.limit(0), none, ["doc_id"]).count() == 0
+
+
+def test_more_ngrams_than_are_broadcast(spark, monkeypatch):
+    """Beyond the bound the tables are joined: the same scores, no error."""
+    monkeypatch.setattr(kn, "HOT_KEY", 40)
+    rng = random.Random(3)
+    known = ["".join(rng.choices("abcdeé日", k=rng.randrange(1, 9))) for _ in range(60)]
+    texts = [(i, " ".join(rng.choices(known, k=25)) + (" vile vilest" if i % 3 == 0 else ""), "x") for i in range(150)]
+    texts += [(None, None, "x"), (900, "", "x"), (901, "vile unseen words 12", "x"), (902, "aaa", "x"), (902, "aaa", "x")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(150)], "doc_id long, toxic int")
+    small = kn.fit(docs, labels)
+    large = kn.fit(docs, labels, max_ngrams=10)
+    assert {r["_gram"]: r["_ratio"] for r in large["ratios"].collect()}.keys() == small["ratios"].keys()
+    for r in large["ratios"].collect():
+        assert math.isclose(r["_ratio"], small["ratios"][r["_gram"]], abs_tol=1e-9)
+    assert all(math.isclose(r["_other"], small["histories"][r["_history"]], abs_tol=1e-9) for r in large["histories"].collect())
+    want, got = ([(str(r["doc_id"]), r["text"] or "", r["score"]) for r in kn.score(docs, m, ["doc_id", "text"]).collect()]
+                 for m in (small, large))
+    assert len(want) == len(got) == len(texts)
+    for a, b in zip(sorted(want), sorted(got)):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], abs_tol=1e-6)
