@@ -37,6 +37,8 @@ MAX_FREQUENT = 500_000
 LEAST = 3
 #: key tables of at most so many rows (16 bytes each) are broadcast
 MAX_KEYS = 500_000
+#: rows of a shingle that meet in one task when all links are asked for
+BLOCK = 1_000
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -322,6 +324,59 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return d.select("doc_id", "_th", "n_shingles", "_id", F.coalesce("component", "node").alias("_c"))
 
 
+def _classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, _th, n_shingles, _id, class_id) and nodes, one for each
+    distinct set, with prefixes and groups."""
+    rows = stored(_sets(docs, width, percent).withColumn("_id", F.monotonically_increasing_id()), "sets")
+    some = rows.filter("_n > 0")
+    first = some.groupBy("_set").agg(F.min("_id").alias("_node"), F.count("*").alias("_copies"))
+    copies = some.join(first.filter("_copies > 1"), "_set").select("_id", "_node")
+    copies = stored(copies.filter("_id <> _node"), "copies")
+    nodes = some.join(copies, "_id", "left_anti").drop("_set")
+    nodes = _with_prefixes(docs, nodes, _frequent(nodes), width, percent)
+    rows = rows.select("doc_id", "_th", F.col("_n").cast("long").alias("n_shingles"), "_id").join(copies, "_id", "left")
+    return rows.withColumn("class_id", F.coalesce("_node", "_id")).drop("_node"), nodes
+
+
+def jaccard_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links, not only those that connect.  Members: per row of ``docs``
+    doc_id, n_shingles, class_id (rows with equal sets share one) and n_links, the
+    number of other rows with a similarity of at least percent / 100.  Pairs:
+    class_a < class_b of all similar classes.  Rows without words have no links.
+
+    Every pair of groups that shares a prefix shingle is expanded and verified
+    unless a bound excludes it; groups with the same prefix and size are paired
+    among themselves.  Tokens of many sets are joined in blocks."""
+    with temporary_tables(docs.sparkSession):
+        rows, nodes = _classes(docs, width, percent)
+        rows = stored(rows, "members", outlives=True)
+        e = _entries(nodes).join(nodes.select("_id", "_parity"), "_id")
+        e = e.withColumn("_p", (F.col("_n") - F.ceil(F.lit(percent) * F.col("_n") / 100) + 1).cast("int"))
+        # blocks of a token: each row meets the rows of its own and of all later blocks
+        df = e.groupBy("_token").agg(F.count("*").alias("_df")).filter("_df > 1")
+        e = e.join(df.select("_token", F.ceil(F.col("_df") / BLOCK).cast("int").alias("_blocks")), "_token")
+        e = stored(e.withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int")), "entries")
+        o = e.select("_token", F.col("_block").alias("_block2"),
+                     *[F.col(c).alias(c + "2") for c in ("_id", "_parity", "_n", "_p", "_pos")])
+        e = e.withColumn("_block2", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
+        differ = sum((F.bit_count(F.col("_parity")[i].bitwiseXOR(F.col("_parity2")[i])) for i in range(4)), F.lit(0))
+        d = e.join(o, ["_token", "_block2"]).filter(
+            (F.col("_id") < F.col("_id2")) & _sizes_fit(F.col("_n"), F.col("_n2"), percent)
+            & (F.col("_n") + F.col("_n2") - differ >= 2 * need))
+        links = _verified(docs, nodes, d.select(F.col("_id").alias("a"), F.col("_id2").alias("b")), width, percent)
+        links = stored(links, "pairs", outlives=True)
+        sizes = rows.filter("n_shingles > 0").groupBy("class_id").agg(F.count("*").alias("_rows"))
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        far = both.join(sizes.select(F.col("class_id").alias("b"), "_rows"), "b").groupBy("a").agg(F.sum("_rows").alias("_far"))
+        n = sizes.join(far, F.col("class_id") == F.col("a"), "left").select(
+            F.col("class_id").alias("_class"), (F.col("_rows") - 1 + F.coalesce("_far", F.lit(0))).alias("_links"))
+        n = stored(n, "counts", outlives=True)
+    members = rows.join(n, F.col("class_id") == F.col("_class"), "left")
+    members = members.select("doc_id", "n_shingles", "class_id", F.coalesce("_links", F.lit(0)).alias("n_links"))
+    return members, links.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"))
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles (distinct shingles of ``width``
     words; fewer words: the whole sequence as one) and component_id, the least

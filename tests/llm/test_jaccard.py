@@ -76,3 +76,28 @@ def test_edge_rows(spark):
     wide = [(i, t, 1, "x", 2) for i, t in rows]
     assert got(spark, wide, 4, 85, "doc_id long, text string, _id int, _token string, node int") == brute(rows, 4, 85)
     assert got(spark, [], 4, 85) == []
+
+
+def test_all_links(spark, monkeypatch):
+    """Every similar pair is returned, also between texts already connected."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    texts = []
+    for n in (8, 90, 150, 300):
+        base = rng.choices(vocabulary, k=n)
+        family = [" ".join(_edited(rng, base, rng.randrange(3))) for _ in range(15)]
+        texts += family + family[:3]
+    texts += [" ".join(rng.choices(vocabulary, k=30)) for _ in range(20)] + ["", None, "a b", "A  b"]
+    rows = [(None if i == 4 else i, t) for i, t in enumerate(texts)]
+    sets = [jaccard.shingle_set(t and t.encode(), 4) for t in texts]
+    like = {(i, j) for i in range(len(sets)) for j in range(i) if sets[i]
+            and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "FREQUENT", 6)
+    members, pairs = jaccard.jaccard_links(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    members, pairs = members.collect(), [tuple(r) for r in pairs.collect()]
+    want = sorted((str(rows[i][0]), sum(i in p for p in like)) for i in range(len(rows)))
+    assert sorted((str(r["doc_id"]), r["n_links"]) for r in members) == want
+    of = {4 if r["doc_id"] is None else r["doc_id"]: r["class_id"] for r in members}
+    named = {tuple(sorted((of[i], of[j]))) for i, j in like if sets[i] != sets[j]}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == named and len(named) > 100
