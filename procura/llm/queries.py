@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import cotraining, jaccard, kdtree, kneser_ney, linefreq, mixing, notices, packing, simhash, warc
+from procura.llm import cotraining, hardneg, jaccard, kdtree, kneser_ney, linefreq, mixing, notices, packing, simhash, warc
 from procura.llm.common import held_out, shared_path, stored, table
 
 QUERIES: dict = {}
@@ -201,3 +201,31 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from documents to packed sequences."""
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor row for each of its positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    d = hardneg.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+    return d.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+ORACLE["op11_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS ints
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+             list_sum(list_transform(range(1, len(a.ints) + 1), lambda i: a.ints[i] * c.ints[i]))::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank,
+             other_id AS negative_id, positive_score, score AS negative_score
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+       AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
