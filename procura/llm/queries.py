@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import cotraining, hardneg, jaccard, kdtree, kneser_ney, linefreq, mixing, notices, packing, simhash, warc
+from procura.llm import cotraining, hardneg, jaccard, kdtree, kneser_ney, lexical, linefreq, mixing, notices, packing, simhash, warc
 from procura.llm.common import held_out, shared_path, stored, table
 
 QUERIES: dict = {}
@@ -229,3 +229,29 @@ n AS (SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_
        AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
 SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
+ORACLE["op12_lexical_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, t, len(t) AS n FROM (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents) WHERE len(t) > 0),
+s AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM d),
+p AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(t) AS term FROM d) GROUP BY id, term),
+v AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY term, nn),
+m AS (SELECT id, doc_id, 75 + (25 * n * nn) // ll AS m FROM d, s),
+q AS (SELECT item_id, term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, term),
+r AS (SELECT item_id, doc_id, id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM q JOIN v USING (term) JOIN p USING (term) JOIN m USING (id) GROUP BY item_id, doc_id, id),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM r WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
