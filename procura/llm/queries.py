@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import cotraining, hardneg, jaccard, kdtree, kneser_ney, lexical, linefreq, mixing, notices, packing, simhash, warc
+from procura.llm import cotraining, hardneg, jaccard, kdtree, kneser_ney, lexical, lineblock, linefreq, mixing, notices, packing, simhash, warc
 from procura.llm.common import held_out, shared_path, stored, table
 
 QUERIES: dict = {}
@@ -255,3 +255,21 @@ r AS (SELECT item_id, doc_id, id, sum(repeats * w * ((1000000000 * tf) // (1000
 k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM r WHERE score > 0)
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 20
 """
+
+
+@query
+def op13_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return lineblock.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+# Every page of the given tables names its article and holds no notices inside it, so
+# plain SQL can take it apart; tests hold other pages to given texts.
+ORACLE["op13_line_blocks"] = r"""
+WITH a AS (SELECT page_id, url, list_transform(
+             regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:h1|p)>'),
+             lambda x: trim(regexp_replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&quot;', '"'),
+                                                           '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))) AS blocks FROM pages),
+t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)) AS text FROM a)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t
+"""
