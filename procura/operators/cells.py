@@ -35,19 +35,26 @@ def columns_by_name(pairs):
     return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["name"], e["col"])))
 
 
+def row_map(col, value: Column) -> Column:
+    """Aggregate: map column -> value of a group of cells; of a column given more
+    than once the first value in order counts, null before all."""
+    found = F.collect_list(F.struct(F.col(col).alias("col"), value.alias("v")))
+    ordered = F.sort_array(found)
+    first = F.filter(ordered, lambda e, i: F.array_position(ordered["col"], e["col"]) == i + 1)
+    once = F.size(F.array_distinct(found["col"])) == F.size(found)
+    return F.map_from_entries(F.when(once, found).otherwise(first))
+
+
 def to_rows(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split cells into data rows ``(sheet, row_idx, m)`` with P2-cleaned
     values and header maps ``(sheet, h)`` with P1-normalised names."""
     data = (cells.where(F.col("row_idx") > 0)
                  .groupBy(*SHEET_KEY, "row_idx")
-                 .agg(F.map_from_entries(F.filter(
-                     F.collect_list(F.struct("col_idx", clean_string("value").alias("v"))),
-                     lambda e: e["v"].isNotNull())).alias("m")))
+                 .agg(row_map("col_idx", clean_string("value")).alias("m"))
+                 .withColumn("m", F.map_filter("m", lambda k, v: v.isNotNull())))
     heads = (cells.where(F.col("row_idx") == 0)
                   .groupBy(*SHEET_KEY)
-                  .agg(F.map_from_entries(F.collect_list(
-                      F.struct("col_idx", F.coalesce(normalise_header("value"), F.lit("nan")).alias("v"))))
-                      .alias("h")))
+                  .agg(row_map("col_idx", F.coalesce(normalise_header("value"), F.lit("nan"))).alias("h")))
     return data, heads
 
 

@@ -24,7 +24,7 @@ def page_rows(cells: DataFrame) -> DataFrame:
     name every value by its (P2-cleaned, P1-normalised) header.  Missing
     columns of a page layout are null (union by name)."""
     rows = (cells.groupBy(*C.SHEET_KEY, "row_idx")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", F.coalesce("value", F.lit(""))))).alias("m")))
+                 .agg(C.row_map("col_idx", F.coalesce("value", F.lit(""))).alias("m")))
     rows = rows.where(~F.exists(F.map_values("m"), lambda v: v.rlike(rules.NOISE_TRSTENA)))
     data, heads = C.promote_header(rows, skip_marker="\u0000")
     # header names: raw -> P2 -> P1 (the job cleans strings, then names)

@@ -1,94 +1,113 @@
-"""Attachment files to long cells (S1): CSV, JSON and Parquet.
+"""Attachment files to long cells (S1): CSV, JSON and Parquet, by Spark's readers.
 
-One file is one row of ``binaryFile`` (path, content).  Saved attachments are
-bounded by what a mail carries, so a file is read whole by its task; its
-cells leave the task in batches.  A file that cannot be read becomes one row
-with a reason instead of ending the job.
+Files are read by splits (see ``delimited``; Parquet by row groups), so that one large
+file uses all cores.  A file that cannot be read is listed with a reason instead of
+ending the job, and leaves no cells.
 """
 
 from __future__ import annotations
 
-import csv
-import io
 import json
-from collections.abc import Iterator
+from collections import Counter, defaultdict
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
+
+from procura.sources.delimited import _escaped, _split_starts, csv_rows, file_path, json_rows, one_name
 
 CELL_SCHEMA = ("source string, file string, sheet string, row_idx bigint, col_idx int, value string, "
                "file_error string")
-#: cells in a batch leaving a task
-BATCH_CELLS = 50_000
-
-
-def _csv_rows(content: bytes) -> Iterator[list]:
-    return csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""))
-
-
-def _record_rows(records: list[dict]) -> Iterator[list]:
-    """Header row of all keys in order of appearance, then the values."""
-    names = list(dict.fromkeys(k for r in records for k in r))
-    yield names
-    for r in records:
-        yield [r.get(n) for n in names]
-
-
-def _json_rows(content: bytes) -> Iterator[list]:
-    text = content.decode("utf-8-sig").strip()
-    records = json.loads(text) if text.startswith("[") else [json.loads(x) for x in text.splitlines() if x.strip()]
-    return _record_rows(records)
-
-
-def _parquet_rows(content: bytes) -> Iterator[list]:
-    import pyarrow.parquet as pq
-    f = pq.ParquetFile(io.BytesIO(content))
-    yield f.schema_arrow.names
-    for batch in f.iter_batches():
-        yield from map(list, zip(*[c.to_pylist() for c in batch.columns]))
-
-
-READERS = {"csv": _csv_rows, "json": _json_rows, "parquet": _parquet_rows}
-
-
-def _text(value) -> str | None:
-    """Cell text; an empty cell is null, structures are JSON."""
-    if value is None or value == "":
-        return None
-    return json.dumps(value, ensure_ascii=False) if isinstance(value, (dict, list)) else str(value)
-
-
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [c.split()[0] for c in CELL_SCHEMA.split(", ")]
-    for batch in batches:
-        for source, file, ext, content in batch[["source", "file", "ext", "content"]].itertuples(index=False):
-            out = []
-            try:
-                for i, row in enumerate(READERS[ext](content)):
-                    out += [(source, file, "0", i, j, _text(v), None) for j, v in enumerate(row)]
-                    if len(out) >= BATCH_CELLS:
-                        yield pd.DataFrame(out, columns=columns)
-                        out = []
-            except Exception as e:  # noqa: BLE001  any unreadable file is reported, none ends the job
-                out.append((source, file, "0", None, None, None, f"file:{type(e).__name__}"))
-            yield pd.DataFrame(out, columns=columns)
+FORMATS = ("csv", "json", "parquet")
+
+
+def _places(paths: list[str]) -> list[tuple[str, str, str, str]]:
+    """(path, source, file, sheet): the folders ``source=`` and ``file=`` where the
+    path has them, else its last two parts.  Files of one source and name are told
+    apart by their sheet."""
+    seen, out = Counter(), []
+    for p in paths:
+        parts = p.split("/")
+        named = dict(x.split("=", 1) for x in parts[:-1] if x.startswith(("source=", "file=")))
+        place = named.get("source") or parts[-2], named.get("file") or parts[-1]
+        out.append((p, *place, str(seen[place])))
+        seen[place] += 1
+    return out
+
+
+def _as_text(name: str, kind) -> Column:
+    """Cell text; structures are JSON."""
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.to_json(c)
+    return F.base64(c) if isinstance(kind, BinaryType) else c.cast("string")
+
+
+def parquet_rows(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """(rows, failed) as ``csv_rows``.  Files of one schema are read together; a
+    file is whole when as many rows are read as its footer tells."""
+    by_schema, bad = defaultdict(list), []
+    for p in paths:
+        try:
+            by_schema[spark.read.parquet(_escaped(p)).schema.json()].append(p)
+        except PySparkException:
+            bad.append((p, "file:no_parquet"))
+        except Exception as e:  # noqa: BLE001  an unreadable footer, whatever the JVM calls it
+            bad.append((p, f"file:{type(e).__name__}"))
+    rows = None
+    for text, group in by_schema.items():
+        schema = StructType.fromJson(json.loads(text))
+        read = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*[_escaped(p) for p in group])
+        cells = read.select(file_path().alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                            F.array(*[_as_text(f.name, f.dataType) for f in schema.fields]).alias("fields"),
+                            F.monotonically_increasing_id().alias("id"))
+        splits = cells.groupBy("path", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+        starts = _split_starts(splits.select("path", "block", "first", F.array(F.lit(False), F.lit(False)).alias("end"),
+                                             F.array("n", "n").alias("rows")))
+        starts = F.broadcast(spark.createDataFrame(starts.collect(), starts.schema))
+        body = cells.join(starts, ["path", "block"]).select(
+            "path", (F.col("before") + F.col("id") - F.col("first") + 1).alias("row_idx"), "fields")
+        names = spark.createDataFrame([(p,) for p in group], "path string").select(
+            "path", F.lit(0).cast("long").alias("row_idx"), F.array(*[F.lit(n) for n in schema.names]).alias("fields"))
+        both = names.unionByName(body)
+        rows = both if rows is None else rows.unionByName(both)
+    return rows, spark.createDataFrame(bad, "path string, reason string")
 
 
 def attachment_cells(files: DataFrame) -> DataFrame:
-    """``files`` (``binaryFile`` rows) of the known formats to cells.  Source
-    and file name are the folders ``source=`` and ``file=`` where the path has
-    them, else its last two parts.  Cells read before a file broke are marked
-    by its ``file_error`` row (see ``whole_files``)."""
-    part = lambda key, i: F.coalesce(F.nullif(F.regexp_extract("path", f"/{key}=([^/]+)/", 1), F.lit("")),
-                                     F.try_element_at(F.split("path", "/"), F.lit(i)))
-    known = files.select(part("source", -2).alias("source"), part("file", -1).alias("file"), "content")
-    known = known.withColumn("ext", F.lower(F.element_at(F.split("file", r"\."), -1)))
-    return known.where(F.col("ext").isin(list(READERS))).mapInPandas(_parse, CELL_SCHEMA)
+    """``files`` (rows with ``path``, as of ``binaryFile``, whose content is not
+    read) of the known formats to cells.  A file that could not be read whole has
+    a row with its ``file_error`` (see ``whole_files``).
+
+    ``files`` is one batch (``files_per_batch`` of the ingest): its names, and one
+    row for each split of its files, are at the driver."""
+    spark = files.sparkSession
+    by_format, known = defaultdict(list), []
+    for path in sorted({one_name(r["path"]) for r in files.select("path").collect()}):
+        ext = path.rsplit(".", 1)[-1].lower()
+        if ext in FORMATS:
+            by_format[ext].append(path)
+            known.append(path)
+    readers = {"csv": csv_rows, "json": json_rows, "parquet": parquet_rows}
+    out = spark.createDataFrame([], CELL_SCHEMA)
+    if known:
+        places = F.broadcast(spark.createDataFrame(_places(known), "path string, source string, file string, sheet string"))
+    for ext, paths in sorted(by_format.items()):
+        rows, failed = readers[ext](spark, paths)
+        if rows is not None:
+            cells = rows.select("path", "row_idx", F.posexplode("fields").alias("col_idx", "value"))
+            out = out.unionByName(cells.join(places, "path").select(
+                "source", "file", "sheet", "row_idx", "col_idx", F.nullif("value", F.lit("")).alias("value"),
+                F.lit(None).cast("string").alias("file_error")))
+        out = out.unionByName(failed.join(places, "path").select("source", "file", "sheet", F.col("reason").alias("file_error")),
+                              allowMissingColumns=True)
+    return out
 
 
 def whole_files(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cells of the files that were read whole, failed files with the reason)."""
-    failed = cells.where(F.col("file_error").isNotNull()).select("source", "file", "file_error")
+    failed = cells.where(F.col("file_error").isNotNull()).select("source", "file", "sheet", "file_error")
     good = cells.where(F.col("file_error").isNull()).drop("file_error")
-    return good.join(failed.select("source", "file"), ["source", "file"], "left_anti"), failed
+    sheet = ["source", "file", "sheet"]
+    return good.join(failed.select(*sheet), sheet, "left_anti"), failed.drop("sheet")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import rules
 from procura.operators import registry
+from procura.operators.cells import row_map
 from procura.session import spread
 
 LINK_BASE = "https://example.org/"
@@ -286,7 +287,7 @@ def save_attachments(cells: DataFrame, messages: DataFrame, selected: DataFrame,
     n_cols = len(SHEET_COLUMNS) + 2
     names = messages.select("message_id", "file").join(selected, "message_id").select("source", "file", "saved_name")
     rows = (cells.join(names, ["source", "file"]).groupBy("source", "saved_name", "row_idx")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("m")))
+                 .agg(row_map("col_idx", F.col("value")).alias("m")))
     rows = rows.select("source", F.col("saved_name").alias("file"), "row_idx", *[
         F.try_element_at("m", F.lit(i)).alias(f"c{i}") for i in range(n_cols)])
     (rows.repartition("source", "file").sortWithinPartitions("source", "file", "row_idx").drop("row_idx")

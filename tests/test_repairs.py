@@ -96,3 +96,27 @@ def test_unique_rows_compare_nulls_as_equal(spark):
     got = dedupe.symmetric_unique(new, stored)
     assert got.columns == new.columns
     assert {(r["popis"], r["file"]) for r in got.collect()} == {("q", "n"), ("r", None), ("s", "s")}
+
+
+def test_cells_given_twice_do_not_end_the_sheet_job(spark):
+    from procura.operators import cells
+    from procura.plans import merged
+    schema = "source string, file string, sheet string, row_idx long, col_idx int, value string"
+    rows = [("unb", "a.csv", "0", r, c, f"v{r}{c}") for r in range(3) for c in range(2)]
+    twice = rows + [("unb", "a.csv", "0", 1, 0, "a0"), ("unb", "a.csv", "0", 0, 1, None), ("unb", "a.csv", "0", 2, 1, "v21")]
+    data, heads = cells.to_rows(spark.createDataFrame(twice, schema))
+    assert {r["row_idx"]: r["m"] for r in data.collect()} == {1: {0: "a0", 1: "v11"}, 2: {0: "v20", 1: "v21"}}
+    assert heads.first()["h"] == {0: "v00", 1: "nan"}
+    assert merged.page_rows(spark.createDataFrame(twice, schema)).count() == 2
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    from procura.sources import files
+    for folder in ("x", "y"):
+        (tmp_path / folder / "unb").mkdir(parents=True)
+        (tmp_path / folder / "unb" / "a.csv").write_text(f"cena,popis\n1,{folder}\n")
+    (tmp_path / "y" / "unb" / "b.json").write_text("{")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
+    good, failed = files.whole_files(files.attachment_cells(found))
+    assert sorted((r["sheet"], r["value"]) for r in good.where("row_idx = 1 AND col_idx = 1").collect()) == [("0", "x"), ("1", "y")]
+    assert [r["file"] for r in failed.collect()] == ["b.json"]
