@@ -1,8 +1,8 @@
 """Grouped prefix join: documents whose shingle sets have a Jaccard similarity
 of at least a threshold, and their connected components.
 
-Shingles are hashed and put in one order for all documents: frequent ones last,
-else by hash.  Two similar sets share a shingle within their prefixes, the first
+Shingles are hashed and put in one order for all documents: by the power of two of
+their frequency (frequent ones last), then by hash.  Two similar sets share a shingle within their prefixes, the first
 |x| - ceil(t |x|) + 1 ones.  Sets with the same prefix and size form a group;
 groups that share prefix shingles and pass the size and overlap bounds are
 expanded, and members are verified on the words themselves.
@@ -16,25 +16,26 @@ across the components found so far are verified.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from procura.llm.common import per_text, small_batches, stored, temporary_tables
 from procura.llm.components import connected_components
 
 WORDS_HELD = 50_000
-#: shingles in more sets than this go to the end of the order
-FREQUENT = 64
+#: shingles in more sets than this go behind the others, by the power of two of their frequency
+FREQUENT = 8
 #: so many of them at most (the most frequent); the order of the rest is by
 #: hash, and any common order gives the same result
 MAX_FREQUENT = 500_000
-#: candidates share so many shingles at the front of their orders
-LEAST = 3
+#: shingles before a shared one by which a pair that is made elsewhere is told
+BEHIND = 3
 #: key tables of at most so many rows (16 bytes each) are broadcast
 MAX_KEYS = 500_000
 #: rows of a shingle that meet in one task when all links are asked for
@@ -110,15 +111,19 @@ def stored_length(n: int, percent: int) -> int:
     return min(n, prefix_length(n, percent) * 3 // 2)
 
 
-def _prefix(hashes: np.ndarray, n: int, percent: int, frequent: np.ndarray) -> np.ndarray | None:
+def _prefix(hashes: np.ndarray, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray | None:
     """Prefix of a set of n shingles of which the first ``hashes`` are given;
-    None where they do not tell."""
-    last = np.isin(hashes, frequent, assume_unique=True)
+    None where they do not tell.  ``frequent``: hashes, ascending, and levels."""
+    known, levels = frequent
     p = prefix_length(n, percent)
-    first = hashes[~last]
+    if not len(known):
+        return hashes[:p]
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    level = np.where(known[at] == hashes, levels[at], 0)
+    first = hashes[level == 0]
     if len(first) >= p:
         return first[:p]
-    return np.concatenate([first, hashes[last]])[:p] if len(hashes) == n else None
+    return hashes[np.argsort(level, kind="stable")[:p]] if len(hashes) == n else None
 
 
 def _group(prefix: np.ndarray, n: int) -> bytes:
@@ -153,14 +158,17 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return d.select("_id", "_n", F.col("text").cast("binary").alias("text"))
 
 
-def _frequent(nodes: DataFrame) -> np.ndarray:
-    """Hashes of the frequent ones among all stored shingles."""
+def _frequent(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the frequent ones among all stored shingles, and their levels."""
     found = nodes.select(F.explode("_first").alias("_token")).groupBy("_token").agg(F.count("*").alias("_df"))
     rows = stored(found.filter(F.col("_df") > FREQUENT), "frequent").orderBy(F.desc("_df"), "_token").limit(MAX_FREQUENT)
-    return np.sort(rows.select("_token").toArrow().column(0).to_numpy())
+    rows = rows.select("_token", F.floor(F.log2("_df")).cast("int").alias("_level")).toArrow()
+    token, level = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    order = np.argsort(token)
+    return token[order], level[order].astype(np.int8)
 
 
-def _with_prefixes(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
+def _with_prefixes(docs: DataFrame, nodes: DataFrame, frequent: tuple, width: int, percent: int) -> DataFrame:
     """The nodes with their prefixes, frequent shingles last, and groups.  Where
     what is stored does not hold the prefix, the text is read again."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
@@ -249,27 +257,36 @@ def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return d.groupBy(F.col("_id").alias("a")).agg(F.max_by("_with", F.struct("_c", "_with")).alias("b"))
 
 
-def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+def _may_be_similar(percent: int) -> Column:
+    """Whether sizes and parities of two sets (_n, _parity and _n2, _parity2) allow
+    the overlap that similar sets have."""
+    need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
+    differ = sum((F.bit_count(F.col("_parity")[i].bitwiseXOR(F.col("_parity2")[i])) for i in range(4)), F.lit(0))
+    return _sizes_fit(F.col("_n"), F.col("_n2"), percent) & F.coalesce(F.col("_n") + F.col("_n2") - differ >= 2 * need, F.lit(True))
+
+
+def _open_pairs(nodes: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Pairs of units (members of a group in one component) of different
-    components whose shared prefix shingles allow the overlap they need."""
-    e = entries.join(units.select(F.col("_rep").alias("_id"), "_unit", "_component", "_parity"), "_id")
+    components that share a shingle at the fronts of their orders.
+
+    A pair that shares one of the BEHIND shingles before a shingle in either order
+    is made at that one, so most pairs are made once or twice, not at each shingle
+    that they share."""
+    before = [F.try_element_at("_prefix", F.when(F.col("_pos") >= i, F.col("_pos") - i + 1)).alias(f"_b{i}") for i in range(1, BEHIND + 1)]
+    prefixes = nodes.select("_id", "_n", "_prefix")
+    e = units.join(prefixes, units["_rep"] == prefixes["_id"]).select(
+        "_unit", "_component", "_parity", "_n", "_prefix", F.posexplode("_prefix").alias("_pos", "_token"))
+    e = e.select("_unit", "_component", "_parity", "_n", "_pos", "_token", *before)
     many = e.groupBy("_token").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi"))
-    e = stored(e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi")
-               .select("_token", "_unit", "_component", "_parity", "_n", "_p", "_pos"), "open")
-    o = e.select("_token", *[F.col(c).alias(c + "2") for c in ("_unit", "_component", "_parity", "_n", "_p", "_pos")])
-    # a similar pair shares LEAST shingles within these fronts of its two orders
+    e = stored(e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi"), "open")
+    o = e.select("_token", *[F.col(c).alias(c + "2") for c in e.columns if c != "_token"])
+    # a similar pair shares a shingle within these fronts of its two orders
     need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
-    front = lambda n, p: F.least(n - need + LEAST, p)
-    a, b = front(F.col("_n"), F.col("_p")), front(F.col("_n2"), F.col("_p2"))
-    differ = sum((F.bit_count(F.col("_parity")[i].bitwiseXOR(F.col("_parity2")[i])) for i in range(4)), F.lit(0))
+    made = reduce(or_, (F.col(f"_b{i}") == F.col(f"_b{j}2") for i in range(1, BEHIND + 1) for j in range(1, BEHIND + 1)))
     d = e.join(o, (e["_token"] == o["_token"]) & (F.col("_unit") < F.col("_unit2")) & (F.col("_component") != F.col("_component2"))
-               & _sizes_fit(F.col("_n"), F.col("_n2"), percent) & (F.col("_pos") < a) & (F.col("_pos2") < b)
-               & (F.coalesce(F.col("_n") + F.col("_n2") - differ, 2 * need) >= 2 * need))
-    d = d.groupBy("_unit", "_unit2").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"), F.first("_n2").alias("_n2"),
-                                         F.first("_p").alias("_p"), F.first("_p2").alias("_p2"))
-    # what they share outside both fronts lies behind the front that ends first
-    most = F.col("_c") + F.greatest(F.col("_n") - a, F.col("_n2") - b)
-    return d.filter(most >= need).select("_unit", "_unit2")
+               & (F.col("_pos") <= F.col("_n") - need) & (F.col("_pos2") <= F.col("_n2") - need)
+               & ~F.coalesce(made, F.lit(False)) & _may_be_similar(percent))
+    return d.select("_unit", "_unit2").distinct()
 
 
 def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -292,8 +309,9 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     members = nodes.select("_id", "_group").join(first.filter("_members > 1"), "_group")
     members = stored(members.filter("_id <> _rep").select("_id", "_rep"), "members")
     reps = nodes.join(members.select("_id"), "_id", "left_anti")
-    by_token = W.partitionBy("_token")
-    entries = _entries(reps).withColumn("_df", F.count("*").over(by_token)).filter("_df > 1")
+    entries = _entries(reps)
+    df = entries.groupBy("_token").agg(F.count("*").alias("_df")).filter("_df > 1")
+    entries = entries.join(df, "_token")
     entries = entries.withColumn("_p", (F.col("_n") - F.ceil(F.lit(percent) * F.col("_n") / 100) + 1).cast("int"))
     entries = stored(entries, "entries")
 
@@ -301,21 +319,25 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     links = _verified(docs, nodes, pairs, width, percent)
     found = stored(connected_components(links), "components")
     # every group's members by component; a unit is named by its least member
-    of = nodes.select("_id", "_parity").join(members, "_id", "left").withColumn("_rep", F.coalesce("_rep", "_id"))
+    of = nodes.select("_id", "_n", "_parity").join(members, "_id", "left").withColumn("_rep", F.coalesce("_rep", "_id"))
     of = of.join(found.withColumnRenamed("node", "_id"), "_id", "left")
-    of = stored(of.select("_id", "_rep", "_parity", F.coalesce("component", "_id").alias("_component")), "units")
-    # (the parity of a unit of one member only; without it, a pair is kept)
+    of = stored(of.select("_id", "_rep", "_n", "_parity", F.coalesce("component", "_id").alias("_component")), "units")
+    # (the parity of a unit of one member only: the members of others are looked at below)
     units = of.groupBy("_rep", "_component").agg(
         F.min("_id").alias("_unit"), F.when(F.count("*") == 1, F.min("_parity")).alias("_parity"))
-    of = of.join(units, ["_rep", "_component"]).select("_id", "_rep", "_unit", "_component")
-    open_ = _open_pairs(entries, units, percent)
-    left = of.select(F.col("_unit"), F.col("_id").alias("a"))
-    right = of.select(F.col("_unit").alias("_unit2"), F.col("_id").alias("b"))
+    of = of.join(units.drop("_parity"), ["_rep", "_component"])
+    open_ = _open_pairs(nodes, units, percent)
+    left = of.select("_unit", F.col("_id").alias("a"), "_n", "_parity")
+    right = of.select(*[F.col(c).alias(d) for c, d in (("_unit", "_unit2"), ("_id", "b"), ("_n", "_n2"), ("_parity", "_parity2"))])
+    open_ = open_.join(left, "_unit")
+    across = open_.join(right, (open_["_unit2"] == right["_unit2"]) & _may_be_similar(percent))
     within = of.groupBy("_rep").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi")).filter("_lo <> _hi")
-    apart = of.join(within, "_rep").select("_rep", F.col("_id").alias("a"), F.col("_component").alias("_ca"))
-    other = apart.select("_rep", F.col("a").alias("b"), F.col("_ca").alias("_cb"))
-    same = apart.join(other, "_rep").filter((F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb"))).select("a", "b")
-    pairs = open_.join(left, "_unit").join(right, "_unit2").select("a", "b").unionByName(same)
+    apart = of.join(within, "_rep").select("_rep", F.col("_id").alias("a"), "_component", "_n", "_parity")
+    other = apart.select(*[F.col(c).alias(d) for c, d in (("_rep", "_rep2"), ("a", "b"), ("_component", "_component2"),
+                                                          ("_n", "_n2"), ("_parity", "_parity2"))])
+    same = apart.join(other, (F.col("_rep") == F.col("_rep2")) & (F.col("a") < F.col("b"))
+                      & (F.col("_component") != F.col("_component2")) & _may_be_similar(percent))
+    pairs = across.select("a", "b").unionByName(same.select("a", "b"))
     links = links.unionByName(_verified(docs, nodes, pairs, width, percent))
     found = stored(connected_components(links), "components")
 
