@@ -12,7 +12,7 @@ from procura.operators import incremental
 from procura.plans import cleaning as P
 from procura.session import materialize
 from procura.sources import files
-from procura.streaming import ingest
+from procura.streaming import ingest, state
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -30,12 +30,13 @@ def sheet_rows(cells: DataFrame, dim: DataFrame, insert_date: Column | None = No
 
 
 def selected(spark: SparkSession, messages: DataFrame, table_path: str) -> DataFrame:
-    """A1 + S2: attachments newer than the last load of their source."""
-    stored = ingest.read_stored(spark, table_path)
-    if stored is None:
+    """A1 + S2: attachments newer than the last load of their source.  The marks
+    are kept by the appends: no stored row is read."""
+    marks = state.read_marks(spark, table_path)
+    if marks is None:
         marks = spark.createDataFrame([], "source string, last_update timestamp_ntz")
     else:
-        marks = incremental.high_water_marks(stored).select(F.col("objednavatel").alias("source"), "last_update")
+        marks = marks.select(F.col("objednavatel").alias("source"), "last_update")
     return incremental.select_attachments(messages, marks)
 
 

@@ -7,29 +7,35 @@ source's checkpoint remembers them), cleaned by the batch cleaning inside
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from procura.operators import dedupe
+from procura.session import materialize
 from procura.sources import sinks
+from procura.streaming import state
 
+read_stored = state.read_or_none
 
-def read_stored(spark: SparkSession, table_path: str, schema=None) -> DataFrame | None:
-    """The stored table, or None where nothing is stored yet."""
-    try:
-        return (spark.read.schema(schema) if schema else spark.read).parquet(table_path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table yet
-            return None
-        raise
+
+def append_new(rows: DataFrame, table_path: str, keys=dedupe.ROW_KEYS) -> DataFrame:
+    """The rows whose keys are not stored yet, appended with their digests and
+    marks; no history is read but the digests of the batch's sources, and the
+    stored rows of sources with a hit.  Returns the appended rows."""
+    new = materialize(state.unseen_rows(materialize(rows), table_path, keys))
+    state.append_digests(new, table_path)
+    new = new.drop("digest")
+    sinks.append_table(new, table_path)
+    if {"insert_date", "datum"} <= set(new.columns):
+        state.merge_marks(new, table_path)
+    return new
 
 
 def ingest(spark: SparkSession, inbox: str, schema: StructType | str, table_path: str, checkpoint: str,
            transform, keys=dedupe.ROW_KEYS, archive: str | None = None, files_per_batch: int = 64, source_format: str = "parquet") -> None:
     """Run one ``availableNow`` ingest: every unseen file of ``inbox`` is read
     with the explicit ``schema``, turned into final rows by ``transform``,
-    de-duplicated against the stored table (J4) and appended to it.  A
+    de-duplicated against the stored keys (J4) and appended to the table.  A
     micro-batch takes at most ``files_per_batch`` files."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if archive:
@@ -39,10 +45,7 @@ def ingest(spark: SparkSession, inbox: str, schema: StructType | str, table_path
     stream = reader.format(source_format).load(inbox)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        rows = transform(df)
-        stored = read_stored(spark, table_path, rows.schema)
-        new = dedupe.new_rows_anti(rows, stored, keys) if stored is not None else rows.dropDuplicates(keys)
-        sinks.append_table(new, table_path)
+        append_new(transform(df), table_path, keys)
 
     q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
