@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from procura.llm.common import per_text, small_batches, stored, temporary_tables
 from procura.llm.components import connected_components
@@ -34,7 +35,7 @@ FREQUENT = 8
 #: so many of them at most (the most frequent); the order of the rest is by
 #: hash, and any common order gives the same result
 MAX_FREQUENT = 500_000
-#: shingles before a shared one by which a pair that is made elsewhere is told
+#: open shingles before a shared one by which a pair that is made elsewhere is told
 BEHIND = 3
 #: key tables of at most so many rows (16 bytes each) are broadcast
 MAX_KEYS = 500_000
@@ -265,27 +266,25 @@ def _may_be_similar(percent: int) -> Column:
     return _sizes_fit(F.col("_n"), F.col("_n2"), percent) & F.coalesce(F.col("_n") + F.col("_n2") - differ >= 2 * need, F.lit(True))
 
 
-def _open_pairs(nodes: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Pairs of units (members of a group in one component) of different
     components that share a shingle at the fronts of their orders.
 
-    A pair that shares one of the BEHIND shingles before a shingle in either order
-    is made at that one, so most pairs are made once or twice, not at each shingle
-    that they share."""
-    before = [F.try_element_at("_prefix", F.when(F.col("_pos") >= i, F.col("_pos") - i + 1)).alias(f"_b{i}") for i in range(1, BEHIND + 1)]
-    prefixes = nodes.select("_id", "_n", "_prefix")
-    e = units.join(prefixes, units["_rep"] == prefixes["_id"]).select(
-        "_unit", "_component", "_parity", "_n", "_prefix", F.posexplode("_prefix").alias("_pos", "_token"))
-    e = e.select("_unit", "_component", "_parity", "_n", "_pos", "_token", *before)
+    A pair that shares one of the BEHIND open shingles before a shingle in either
+    order is made at that one, so most pairs are made once or twice, not at each
+    shingle that they share."""
+    e = entries.select("_token", "_id", "_n", "_pos").join(units.select(F.col("_rep").alias("_id"), "_unit", "_component"), "_id").drop("_id")
     many = e.groupBy("_token").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi"))
-    e = stored(e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi"), "open")
+    e = e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi")
+    order = W.partitionBy("_unit").orderBy("_pos")
+    e = stored(e.withColumns({f"_b{i}": F.lag("_token", i).over(order) for i in range(1, BEHIND + 1)}), "open")
     o = e.select("_token", *[F.col(c).alias(c + "2") for c in e.columns if c != "_token"])
     # a similar pair shares a shingle within these fronts of its two orders
     need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
     made = reduce(or_, (F.col(f"_b{i}") == F.col(f"_b{j}2") for i in range(1, BEHIND + 1) for j in range(1, BEHIND + 1)))
     d = e.join(o, (e["_token"] == o["_token"]) & (F.col("_unit") < F.col("_unit2")) & (F.col("_component") != F.col("_component2"))
-               & (F.col("_pos") <= F.col("_n") - need) & (F.col("_pos2") <= F.col("_n2") - need)
-               & ~F.coalesce(made, F.lit(False)) & _may_be_similar(percent))
+               & _sizes_fit(F.col("_n"), F.col("_n2"), percent) & (F.col("_pos") <= F.col("_n") - need)
+               & (F.col("_pos2") <= F.col("_n2") - need) & ~F.coalesce(made, F.lit(False)))
     return d.select("_unit", "_unit2").distinct()
 
 
@@ -309,9 +308,8 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     members = nodes.select("_id", "_group").join(first.filter("_members > 1"), "_group")
     members = stored(members.filter("_id <> _rep").select("_id", "_rep"), "members")
     reps = nodes.join(members.select("_id"), "_id", "left_anti")
-    entries = _entries(reps)
-    df = entries.groupBy("_token").agg(F.count("*").alias("_df")).filter("_df > 1")
-    entries = entries.join(df, "_token")
+    by_token = W.partitionBy("_token")
+    entries = _entries(reps).withColumn("_df", F.count("*").over(by_token)).filter("_df > 1")
     entries = entries.withColumn("_p", (F.col("_n") - F.ceil(F.lit(percent) * F.col("_n") / 100) + 1).cast("int"))
     entries = stored(entries, "entries")
 
@@ -322,11 +320,9 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     of = nodes.select("_id", "_n", "_parity").join(members, "_id", "left").withColumn("_rep", F.coalesce("_rep", "_id"))
     of = of.join(found.withColumnRenamed("node", "_id"), "_id", "left")
     of = stored(of.select("_id", "_rep", "_n", "_parity", F.coalesce("component", "_id").alias("_component")), "units")
-    # (the parity of a unit of one member only: the members of others are looked at below)
-    units = of.groupBy("_rep", "_component").agg(
-        F.min("_id").alias("_unit"), F.when(F.count("*") == 1, F.min("_parity")).alias("_parity"))
-    of = of.join(units.drop("_parity"), ["_rep", "_component"])
-    open_ = _open_pairs(nodes, units, percent)
+    units = of.groupBy("_rep", "_component").agg(F.min("_id").alias("_unit"))
+    of = of.join(units, ["_rep", "_component"])
+    open_ = _open_pairs(entries, units, percent)
     left = of.select("_unit", F.col("_id").alias("a"), "_n", "_parity")
     right = of.select(*[F.col(c).alias(d) for c, d in (("_unit", "_unit2"), ("_id", "b"), ("_n", "_n2"), ("_parity", "_parity2"))])
     open_ = open_.join(left, "_unit")
