@@ -531,6 +531,7 @@ def q_registry_overrides(spark, sf_dir):
 
 from procura.plans import web as WEB  # noqa: E402
 from procura.sources import html as HTML  # noqa: E402
+from procura.sources import paged as PG  # noqa: E402
 
 
 def web_marks(spark) -> DataFrame:
@@ -567,6 +568,19 @@ def q_paged_hwm_scan(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+@register("paged_source_scan", ORACLE["paged_hwm_scan"])
+def q_paged_source_scan(spark, sf_dir):
+    """S4 as a data source: pages are fetched one by one down to the mark."""
+    root = SK.scratch_path(spark, "site")
+    FX.html_pages(spark, sf_dir).select("source", "page", "html").write.partitionBy("source", "page").text(root)
+    pages, _ = PG.read_pages(spark, PG.FolderPages(root), O.WEB_MARKS)
+    pages = P.materialize(pages)  # fetched once
+    out = [WEB.scanned_rows(pages, s, web_marks(spark)).select(
+        "source", text.clean_string(F.col(f"`{FX.FNTN_HEADERS[0]}`")).alias("objednavka_cislo"), "page", "datum")
+        for s in FX.WEB_SOURCES]
+    return out[0].unionByName(out[1])
+
+
 @register("clean_fntn", O.with_(O.BASE, O.LINK_CTE, O.WEB, O.WEB_FINAL) + """
 SELECT cena, datum, dodavatel, popis, file, link FROM web_final WHERE objednavatel = 'fntn'""")
 def q_clean_fntn(spark, sf_dir):

@@ -13,6 +13,7 @@ from procura.plans import cleaning as P
 from procura.functions.rules import DONSP_HEADERS, FNTN_HEADERS
 from procura.session import materialize
 from procura.sources.html import table_rows
+from procura.sources.paged import pages_within
 
 PAGE_KEY = ["source", "page"]
 DATE_COLUMN = {"fntn": "Dátum vyhotovenia", "donsp": DONSP_HEADERS[5]}
@@ -81,7 +82,8 @@ def web_final(cleaned: DataFrame, source: str, dim: DataFrame) -> DataFrame:
 
 def scanned_rows(pages: DataFrame, source: str, marks: DataFrame) -> DataFrame:
     headers = FNTN_HEADERS if source == "fntn" else DONSP_HEADERS
-    rows = named_rows(pages.where(F.col("source") == source), headers)
+    # only the pages down to the mark are parsed
+    rows = named_rows(pages_within(pages.where(F.col("source") == source), marks), headers)
     # the scan reads its rows twice (page maxima, then the rows): parse pages once
     rows = materialize(with_scan_date(rows, DATE_COLUMN[source]))
     return incremental.paged_hwm_scan(rows, marks.select("source", "hwm"))
