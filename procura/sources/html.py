@@ -17,6 +17,7 @@ _CELL_START = r"(?i)<t[hd]\b"
 #: in a cell from behind its tag's name: the rest of the tag, what follows its end, tags inside
 _NOT_TEXT = r"(?is)^[^>]*>|</t[hdr]\b.*|<[^>]+>"
 _COLSPAN = r"(?i)^[^>]*?\bcolspan\s*=\s*[\"']?\s*(\d{1,3})"
+_ROWSPAN = r"(?i)^[^>]*?\browspan\s*=\s*[\"']?\s*(\d{1,5})"
 _REF = r"&(?=#\d{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;)"
 
 
@@ -65,17 +66,53 @@ def _rest(parts: Column) -> Column:
     return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
 
-def _row_values(row: Column) -> Column:
-    """The row's cell texts, once for each column a cell spans; empty cells are null."""
-    cells = F.transform(_rest(F.split(row, _CELL_START)), lambda c: F.named_struct(
-        F.lit("text"), F.regexp_replace(c, _NOT_TEXT, ""),
-        F.lit("span"), F.greatest(F.coalesce(F.regexp_extract(c, _COLSPAN, 1).try_cast("int"), F.lit(1)), F.lit(1))))
+def _span(c: Column, pattern: str) -> Column:
+    return F.greatest(F.coalesce(F.regexp_extract(c, pattern, 1).try_cast("int"), F.lit(1)), F.lit(1))
 
+
+def _row_cells(row: Column) -> Column:
+    """The row's cells (text, rows), once for each column a cell spans; empty cells
+    are null."""
     def value(text: Column) -> Column:
-        v = py_strip(F.regexp_replace(unescape(text), r"[\r\n]+|\s{2,}", " "))
-        return F.nullif(v, F.lit(""))
+        return F.nullif(py_strip(F.regexp_replace(unescape(text), r"[\r\n]+|\s{2,}", " ")), F.lit(""))
+
+    cells = F.transform(_rest(F.split(row, _CELL_START)), lambda c: F.struct(
+        value(F.regexp_replace(c, _NOT_TEXT, "")).alias("text"), _span(c, _ROWSPAN).alias("rows"), _span(c, _COLSPAN).alias("cols")))
+    return F.flatten(F.transform(cells, lambda c: F.array_repeat(F.struct(c["text"].alias("text"), c["rows"].alias("rows")), c["cols"])))
+
+
+_GRID = "array<struct<text:string,rows:int>>"
+
+
+def _next_grid(above: Column, cells: Column) -> Column:
+    """One row of the grid: columns that a cell from above still spans keep its text,
+    the row's cells take the free columns in order.  ``rows`` counts the rows that a
+    cell spans from here on."""
+    spanned = lambda i: F.coalesce(F.try_element_at(above, i)["rows"], F.lit(0)) > 1
+    free = F.slice(F.filter(F.sequence(F.lit(1), F.size(above) + F.size(cells) + 1), lambda i: ~spanned(i)), 1, F.greatest(F.size(cells), F.lit(0)))
+    held = F.filter(F.sequence(F.lit(1), F.size(above) + 1), spanned)
+    width = F.greatest(F.coalesce(F.array_max(free), F.lit(0)), F.coalesce(F.array_max(held), F.lit(0)))
+    row = F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), lambda i: F.when(
+        spanned(i), F.struct(F.try_element_at(above, i)["text"].alias("text"), (F.try_element_at(above, i)["rows"] - 1).alias("rows"))).otherwise(
+        F.coalesce(F.try_element_at(cells, F.nullif(F.array_position(free, i), F.lit(0)).cast("int")),
+                   F.struct(F.lit(None).cast("string").alias("text"), F.lit(1).alias("rows")))))
+    return F.when(width == 0, F.array().cast(_GRID)).otherwise(row)
+
+
+def _with_row_spans(rows: Column) -> Column:
+    """The rows as a grid, with the rows that only spans from above fill."""
+    def step(acc: Column, cells: Column) -> Column:
+        row = _next_grid(acc["row"], cells)
+        return F.struct(row.alias("row"), F.array_append(acc["out"], row).alias("out"))
 
-    return F.flatten(F.transform(cells, lambda c: F.array_repeat(value(c["text"]), c["span"])))
+    begin = F.struct(F.array().cast(_GRID).alias("row"), F.array().cast(f"array<{_GRID}>").alias("out"))
+    done = F.aggregate(rows, begin, step)
+    last = done["row"]
+    left = F.coalesce(F.array_max(F.transform(last, lambda c: c["rows"])), F.lit(1)) - 1
+    below = F.transform(F.filter(F.sequence(F.lit(1), F.greatest(left, F.lit(1))), lambda k: k <= left), lambda k: F.transform(
+        F.filter(last, lambda c, i: F.exists(F.slice(last, i + 1, F.size(last)), lambda d: d["rows"] > k)),
+        lambda c: F.struct(F.when(c["rows"] > k, c["text"]).alias("text"), c["rows"].alias("rows"))))
+    return F.concat(done["out"], below)
 
 
 def table_rows(html) -> Column:
@@ -83,9 +120,13 @@ def table_rows(html) -> Column:
     one holds the header) with the text of their cells.  Tags inside cells
     are removed, references decoded, line breaks and runs of whitespace made
     one space, the ends stripped; an empty cell is null (as a data-frame
-    reader gives NaN), a cell over several columns is repeated in each.  A
-    page without a table, or null, gives no rows.  Row spans are not expanded."""
-    return F.transform(_rest(F.split(_first_table(_c(html)), _ROW_START)), _row_values)
+    reader gives NaN), a cell over several columns or rows is repeated in each, and
+    moves the cells after it.  Spans beyond the last row make rows of their own.  A
+    page without a table, or null, gives no rows."""
+    page = _c(html)
+    cells = F.transform(_rest(F.split(_first_table(page), _ROW_START)), _row_cells)
+    grid = F.when(F.regexp_like(page, F.lit(r"(?i)\browspan\b")), _with_row_spans(cells)).otherwise(cells)
+    return F.transform(grid, lambda r: F.transform(r, lambda c: c["text"]))
 
 
 def table_cells(pages: DataFrame, key_cols=("source", "page")) -> DataFrame:
