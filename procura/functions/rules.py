@@ -55,6 +55,43 @@ REGISTRY_KEY = {
     "nsptrstena": "hornooravska nemocnica s poliklinikou trstena",
 }
 
+# Entries added to the registry, in order: key, attribute, value, whether the entry is replaced whole.
+REGISTRY_OVERRIDES = (
+    ("centrum pre liecbu drogovych zavislosti bratislava", "objednavky_faktury_link",
+     "https://cpldz.sk/wp-content/uploads/Fakturyaobjednavky_december.xlsx", False),
+    ("centrum pre liecbu drogovych zavislosti kosice", "objednavky_faktury_link",
+     "https://ba5c113364.clvaw-cdnwnd.com/a410a7ba52b55860f90d7278a3fc9ce5/200000168-2c40a2c40c/Objedn%C3%A1vky%20tovarov%2C%20slu%C5%BEieb"
+     "%20a%20pr%C3%A1c%20a%20Fakt%C3%BAry.xlsx?ph=ba5c113364", False),
+    ("detska fakultna nemocnica kosice", "objednavky_faktury_link",
+     "https://docs.google.com/uc?id=1uNSfzKDWdQfcwNJv5vBNS3yTGkGKlOIsK9FxXpx_edY", False),
+    ("detska fakultna nemocnica s poliklinikou banska bystrica", "objednavky_faktury_link",
+     "https://www.detskanemocnica.sk/sites/default/files/files/199/objednavky_od_2023.01.01_do_2023.02.17.pdf", False),
+    ("detska fakultna nemocnica s poliklinikou banska bystrica", "objednavky_faktury_link2022",
+     "https://www.detskanemocnica.sk/sites/default/files/files/199/objednavky_od_2022.01.01_do_2022.12.30.pdf", False),
+    ("detska fakultna nemocnica s poliklinikou banska bystrica", "objednavky_faktury_link2021",
+     "https://www.detskanemocnica.sk/sites/default/files/files/199/objednavky_od_2022.01.01_do_2022.12.30.pdf", False),
+    ("detska fakultna nemocnica s poliklinikou banska bystrica", "objednavky_faktury_file_ext", ".pdf", False),
+    ("detska psychiatricka liecebna n o hran", "objednavky_faktury_link",
+     "https://zverejnovanie.mzsr.sk/ministerstvo-zdravotnictva-sr/objednavky/?export=csv&art_rok=2023", False),
+    ("detska psychiatricka liecebna n o hran", "objednavky_faktury_file_ext", ".csv", False),
+    ("fakultna nemocnica nitra", "objednavky_faktury_link", "https://fnnitra.sk/objd/new/", False),
+    ("fakultna nemocnica s poliklinikou f d roosevelta banska bystrica", "objednavky_faktury_link",
+     "https://www.fnspfdr.sk/objednavky/zverejnenie.php?akcia=vsetkyobjednavky_internet", False),
+    ("fakultna nemocnica s poliklinikou zilina", "objednavky_link", "http://www.fnspza.sk/zm2019/objednavky", False),
+    ("fakultna nemocnica trencin", "objednavky_link",
+     "https://www.fntn.sk/zverejnovanie/objednavky/zobraz/triedenie/order_date/smer/zostupne", False),
+    ("dolnooravska nemocnica s poliklinikou mudr l nadasi jegeho dolny kubin_2020", "zverejnovanie_objednavok_faktur_rozne",
+     "https://www.donsp.sk/donsp/inzercia/objednavky/objednavky-rok-2020/", True),
+    ("dolnooravska nemocnica s poliklinikou mudr l nadasi jegeho dolny kubin_2019", "zverejnovanie_objednavok_faktur_rozne",
+     "https://www.donsp.sk/donsp/inzercia/objednavky/objednavky-2019/", True),
+    ("dolnooravska nemocnica s poliklinikou mudr l nadasi jegeho dolny kubin_2018", "zverejnovanie_objednavok_faktur_rozne",
+     "https://www.donsp.sk/donsp/inzercia/objednavky/objednavky-rok-2018/", True),
+    ("dolnooravska nemocnica s poliklinikou mudr l nadasi jegeho dolny kubin_2017", "zverejnovanie_objednavok_faktur_rozne",
+     "https://www.donsp.sk/donsp/inzercia/objednavky/objednavky-rok-2017/", True),
+    ("hornooravska nemocnica s poliklinikou trstena_2023", "zverejnovanie_objednavok_faktur_rozne",
+     "https://www.nsptrstena.sk/uploads/fck/document/Objednavky/ROK%202023/Zoznam%20objednavok%202023(1).pdf", True),
+)
+
 # Month prefixes (first three letters of a Slovak month name) -> month number.
 MONTHS = {"jan": 1, "feb": 2, "mar": 3, "apr": 4, "maj": 5, "jun": 6, "jul": 7,
           "aug": 8, "sep": 9, "okt": 10, "nov": 11, "dec": 12}

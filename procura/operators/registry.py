@@ -45,6 +45,37 @@ def apply_overrides(dim: DataFrame, overrides: DataFrame) -> DataFrame:
                        .alias("attributes")))
 
 
+def apply_override_log(dim: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S12 in order: ``log(seq, key, attr, value, replace_all)``.  The last
+    replacement of a key is a barrier: the base entry and all before it are gone, its
+    own attributes (rows of its ``seq``) and later patches stay, and of each attribute
+    the last value counts.  A patch of a key that is neither in ``dim`` nor replaced
+    before it creates nothing.
+
+    Returns (entries: key, attributes; errors: the log rows without an entry, with
+    ``error``)."""
+    known = dim.select("key").distinct().withColumn("_known", F.lit(True))
+    barriers = log.where("replace_all").groupBy("key").agg(F.min("seq").alias("_first"), F.max("seq").alias("_last"))
+    log = log.join(barriers, "key", "left").join(known, "key", "left")
+    lost = F.col("_known").isNull() & (F.col("_first").isNull() | (F.col("seq") < F.col("_first")))
+    errors = log.where(lost).select("seq", "key", "attr", "value", "replace_all", F.lit("override:unknown_key").alias("error"))
+    kept = log.where(~lost & (F.col("_last").isNull() | (F.col("seq") >= F.col("_last")))).select("key", "attr", "value", "seq")
+    # the base entry comes before the log
+    base = dim.join(barriers.select("key"), "key", "left_anti").select("key", F.explode_outer("attributes").alias("attr", "value"),
+                                                                       F.lit(None).cast("long").alias("seq"))
+    order = F.struct(F.col("seq").isNotNull(), "seq")
+    merged = base.unionByName(kept.withColumn("seq", F.col("seq").cast("long"))).groupBy("key", "attr").agg(F.max_by("value", order).alias("value"))
+    entries = (merged.groupBy("key").agg(F.map_from_entries(F.sort_array(F.filter(
+        F.collect_list(F.struct("attr", "value")), lambda e: e["attr"].isNotNull()))).alias("attributes")))
+    return entries, errors
+
+
+def registered_overrides(spark) -> DataFrame:
+    """The entries that the configuration adds to the registry, in its order."""
+    rows = [(i, key, attr, value, whole) for i, (key, attr, value, whole) in enumerate(rules.REGISTRY_OVERRIDES)]
+    return spark.createDataFrame(rows, "seq long, key string, attr string, value string, replace_all boolean")
+
+
 def lookup_link(df: DataFrame, dim: DataFrame, source_col: str = "objednavatel",
                 attr: str = LINK_ATTR) -> DataFrame:
     """Attach ``link`` (registry attribute of the source's key) and a

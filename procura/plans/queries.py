@@ -859,3 +859,127 @@ def q_clean_fnspza(spark, sf_dir):
 def q_search_insensitive(spark, sf_dir):
     args = dict(SEARCH_ARGS, keyword="RÍNG")
     return search.search_orders(serving_table(spark, sf_dir), mode="insensitive", **args)
+
+
+# ---------------------------------------------------------------- stored upsert, row spans, override log, outcomes, replay
+
+from procura.plans import outcome as OUT  # noqa: E402
+
+
+@register("upsert_stored", ORACLE["upsert_latest"])
+def q_upsert_stored(spark, sf_dir):
+    """S7 on a table: the changes are written once, a second run writes nothing."""
+    fr = P.materialize(mail_final_k(spark, sf_dir).select("objednavatel", "k", "cena"))
+    path = SK.scratch_path(spark, "table")
+    base = fr.withColumn("version", F.lit(0))
+    late = F.col("k") % 10 == 0  # rows that come with the changes
+    SK.append_table(base.where(~late), path)
+    changes = base.where(late).unionByName(fr.where(F.col("k") % 5 == 0).select(
+        "objednavatel", "k", (F.col("cena") + 1).alias("cena"), F.lit(1).alias("version")))
+    for _ in range(2):
+        SK.upsert_table(changes, path, ["objednavatel", "k"])
+    return spark.read.parquet(path).select("k", "cena")
+
+
+@register("html_row_spans", O.with_(O.BASE, O.WEB) + """
+SELECT src AS source, page, strftime(d, '%Y-%m-%d') AS datum, 'obj-' || k::VARCHAR AS objednavka_cislo,
+       (k % 7)::VARCHAR AS skupina FROM web""")
+def q_html_row_spans(spark, sf_dir):
+    """S3 with spans: the rows of a date share one cell, which moves the others."""
+    r = FX.web_rows(spark, sf_dir)
+    day = F.date_format("_d", "yyyy-MM-dd")
+    days = r.groupBy("objednavatel", "page", day.alias("day")).agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    cell = lambda v: F.concat(F.lit("<td>"), v.cast("string"), F.lit("</td>"))
+    body = F.array_join(F.transform("ks", lambda k, i: F.concat(
+        F.lit("<tr>"), F.when(i == 0, F.concat(F.lit('<td rowspan="'), F.size("ks").cast("string"), F.lit('">'), F.col("day"),
+                                               F.lit("</td>"))).otherwise(F.lit("")),
+        cell(F.concat(F.lit("obj-"), k.cast("string"))), cell(k % 7), F.lit("</tr>"))), "")
+    pages = days.select(F.col("objednavatel").alias("source"), "page", body.alias("b")).groupBy("source", "page").agg(
+        F.concat(F.lit("<table><tr><th>datum</th><th>objednavka_cislo</th><th>skupina</th></tr>"),
+                 F.array_join(F.collect_list("b"), ""), F.lit("</table>")).alias("html"))
+    return WEB.named_rows(P.materialize(pages), ["datum", "objednavka_cislo", "skupina"]).drop("row_idx")
+
+
+#: the configured entries, then patches around a replacement
+OVERRIDE_LOG = [(i, *x) for i, x in enumerate(rules.REGISTRY_OVERRIDES)] + [
+    (100, rules.REGISTRY_KEY["unb"], "skratka", "before", False),
+    (101, rules.REGISTRY_KEY["unb"], registry.LINK_ATTR, "https://example.org/unb/", True),
+    (101, rules.REGISTRY_KEY["unb"], "objednavky_link", "https://example.org/unb/1", True),
+    (102, rules.REGISTRY_KEY["unb"], "objednavky_link", "https://example.org/unb/2", False),
+    (103, rules.REGISTRY_KEY["fnnitra"], "skratka", "one", False),
+    (104, rules.REGISTRY_KEY["fnnitra"], "skratka", "two", False)]
+
+
+@register("registry_override_log", O.with_(O.LINK_CTE) + f"""
+, keys AS (SELECT * FROM (VALUES {", ".join(f"('{s}', '{k}')" for s, k in rules.REGISTRY_KEY.items())}) t(src, key)),
+log(seq, key, attr, value, whole) AS (VALUES {", ".join(f"({s}, '{k}', '{a}', '{v}', {str(w).lower()})" for s, k, a, v, w in OVERRIDE_LOG)}),
+base_attrs AS (
+  SELECT keys.key, '{registry.LINK_ATTR}' AS attr, links.link AS value FROM links JOIN keys USING (src)
+  UNION ALL SELECT keys.key, 'skratka', links.src FROM links JOIN keys USING (src)),
+last AS (SELECT key, min(seq) AS first, max(seq) AS last FROM log WHERE whole GROUP BY key),
+j AS (SELECT log.*, first, last, log.key IN (SELECT key FROM base_attrs) AS known FROM log LEFT JOIN last USING (key)),
+good AS (SELECT * FROM j WHERE (known OR seq >= first) AND (last IS NULL OR seq >= last)),
+entries AS (
+  SELECT key, attr, value, -1 AS seq FROM base_attrs WHERE key NOT IN (SELECT key FROM last)
+  UNION ALL SELECT key, attr, value, seq FROM good)
+SELECT key, attr, arg_max(value, seq) AS value, NULL::VARCHAR AS error FROM entries GROUP BY key, attr
+UNION ALL SELECT key, attr, value, 'override:unknown_key' FROM j WHERE NOT known AND (first IS NULL OR seq < first)""")
+def q_registry_override_log(spark, sf_dir):
+    log = spark.createDataFrame(OVERRIDE_LOG, "seq long, key string, attr string, value string, replace_all boolean")
+    entries, errors = registry.apply_override_log(P.materialize(registry_dim(spark, sf_dir)), log)
+    return (entries.select("key", F.explode("attributes").alias("attr", "value"), F.lit(None).cast("string").alias("error"))
+                   .unionByName(errors.select("key", "attr", "value", "error")))
+
+
+@register("source_outcomes", O.with_(O.BASE) + """
+SELECT s.source AS objednavatel,
+       CASE WHEN s.source IN ('fnnitra', 'unb') THEN 0 ELSE count(k) END AS rows,
+       CASE WHEN s.source IN ('fnnitra', 'unb') THEN 0 ELSE count(k) END AS stored,
+       CASE WHEN s.source IN ('fnnitra', 'unb') THEN 'failed' WHEN count(k) > 0 THEN 'ok' ELSE 'no_new_data' END AS status,
+       CASE s.source WHEN 'fnnitra' THEN 'AnalysisException: PATH_NOT_FOUND' WHEN 'unb' THEN 'SparkRuntimeException: USER_RAISED_EXCEPTION' END AS reason
+FROM (SELECT unnest(""" + O.SRC_LIST + """) AS source) s
+LEFT JOIN (SELECT * FROM base WHERE src NOT IN ('fntn', 'donsp', 'nsptrstena')) b ON s.source = b.src GROUP BY s.source""")
+def q_source_outcomes(spark, sf_dir):
+    """one source whose files are gone, one with a row that raises, three with
+    nothing new; the rows of all others are stored."""
+    raw_path, table_path = SK.scratch_path(spark, "raw"), SK.scratch_path(spark, "table")
+    FX.raw_orders(spark, sf_dir).select("k", "objednavatel", "objednavka_predmet", "cena", "datum").write.partitionBy("objednavatel").parquet(raw_path)
+
+    def load(source):
+        if source == "fnnitra":
+            return spark.read.parquet(f"{raw_path}/objednavatel=gone")
+        rows = spark.read.parquet(raw_path).where(F.col("objednavatel") == source)
+        if source == "unb":
+            rows = rows.withColumn("datum", F.when(F.length("objednavka_predmet") >= 0, F.raise_error(F.lit("a row that cannot be read"))))
+        return P.drop_all_null_keys(rows.where(~F.col("objednavatel").isin("fntn", "donsp", "nsptrstena")))
+
+    status = OUT.run_sources(spark, rules.SOURCES, load, lambda rows: SK.append_table(rows, table_path))
+    stored = spark.read.parquet(table_path).groupBy("objednavatel").agg(F.count(F.lit(1)).alias("stored"))
+    return status.drop("rows_with_errors").join(stored, "objednavatel", "left").fillna(0, ["stored"])
+
+
+@register("quarantine_replay", O.with_(O.BASE) + f"""
+, r AS (SELECT src AS objednavatel, {O.PRICE_ERR} AS price_err, {O.DATE_ERR} AS date_err,
+               {O.PRICE} AS cena,
+               CASE WHEN k % 10 = 9 THEN make_timestamp(year(d), 4, 30, 0, 0, 0) WHEN src = 'fnspza' THEN {O.DATE_FNSPZA} ELSE {O.DATE} END AS datum
+        FROM base WHERE src IN {O._in(MAIL)})
+SELECT objednavatel, count(*) FILTER (WHERE price_err IS NULL) AS n_stored,
+       count(*) FILTER (WHERE price_err IS NULL AND date_err IS NOT NULL) AS n_replayed,
+       count(*) FILTER (WHERE price_err IS NOT NULL) AS n_held, 0 AS n_second,
+       round(sum(cena) FILTER (WHERE price_err IS NULL), 2) AS cena, max(datum) FILTER (WHERE price_err IS NULL) AS datum
+FROM r GROUP BY objednavatel""")
+def q_quarantine_replay(spark, sf_dir):
+    """Rows with errors go to the quarantine; after a rule for the 31st of April they
+    are replayed, once; rows without a price stay."""
+    dim = P.materialize(registry_dim(spark, sf_dir))
+    quarantine, table_path = SK.scratch_path(spark, "quarantine"), SK.scratch_path(spark, "table")
+    std = P.clean_values(P.drop_all_null_keys(mail_raw(spark, sf_dir)))
+    ING.append_new(ML.divert_errors(P.materialize(ML.with_raw(std, dim)), quarantine), table_path)
+    april = lambda d: d.withColumn("datum", F.regexp_replace("datum", r"^31\.4\.", "30.4."))
+    first, second = [P.materialize(ML.replay_quarantine(spark, quarantine, table_path, dim, april)) for _ in range(2)]
+    n = lambda frame, name: frame.groupBy("objednavatel").agg(F.count(F.lit(1)).alias(name))
+    table = spark.read.parquet(table_path).groupBy("objednavatel").agg(
+        F.count(F.lit(1)).alias("n_stored"), F.round(F.sum("cena"), 2).alias("cena"), F.max("datum").alias("datum"))
+    for frame, name in ((first, "n_replayed"), (ML.still_quarantined(spark, quarantine), "n_held"), (second, "n_second")):
+        table = table.join(n(frame, name), "objednavatel", "left").fillna(0, [name])
+    return table
