@@ -43,7 +43,7 @@ from procura.llm.common import shared_path, small_batches, stored, temporary_tab
 #: postings of a segment, and of a piece, at most (but for a single document's)
 SEGMENT, PIECE = 1_000_000, 100_000
 #: what a search task holds at once: postings and strata
-HELD, HELD_STRATA = 4_000_000, 512
+HELD, HELD_STRATA = 1_500_000, 256
 #: entries (query, term) of one block of queries, at most (but for a single query's)
 BLOCK_ENTRIES = 20_000
 LAST_ID = np.iinfo(np.int64).max
