@@ -132,6 +132,25 @@ def per_text(docs: DataFrame, keep: list[str], out: dict[str, str], start, rows:
     return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores behind it until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
+def sealed(docs: DataFrame, keep: list[str], *needed: str | Column) -> DataFrame:
+    """The columns ``keep`` as one column ``_kept``, so that none of their names
+    meets an operator's own, and the ``needed`` ones."""
+    kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)] or [F.lit(0).alias("k0")]
+    return docs.select(F.struct(*kept).alias("_kept"), *needed)
+
+
+def unsealed(keep: list[str], but: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of ``_kept`` by their names, but for those named in ``but``."""
+    return [F.col(f"_kept.k{i}").alias(c) for i, c in enumerate(keep) if c.lower() not in {b.lower() for b in but}]
+
+
 def held_out() -> Column:
     """Whether a row's label is never learned from: crc32 of doc_id as text,
     mod 5, is 0 (null doc_id: false)."""

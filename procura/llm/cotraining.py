@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procura.llm.common import fit_logistic, held_out, join_small, per_text
+from procura.llm.common import fit_logistic, held_out, join_small, per_text, sealed, unsealed
 
 #: bounds of the sample that the classifiers are fitted on
 LABELLED_ROWS, POOL_ROWS = 4000, 4000
@@ -141,14 +141,15 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     return {"weights": weights, "platt": platt}
 
 
-def score(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and score (0..1, higher: better quality),
-    the mean of the two calibrated views' log-odds.
+def score(docs: DataFrame, model: dict, keep: list[str], out: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and ``out`` (0..1, higher: better quality),
+    the mean of the two calibrated views' log-odds.  A kept column named ``out``
+    gives way; other names do not matter.
 
     Null text: as empty.  Null or other lang: none of the known ones.  Repeated
     rows score alike; empty input gives no rows."""
     if "share" in model:
-        return docs.select(*keep, F.lit(float(model["share"])).alias("score"))
+        return sealed(docs, keep).select(*unsealed(keep, (out,)), F.lit(float(model["share"])).alias(out))
     (a, b), (pa_, pb) = model["weights"], model["platt"]
     # the language's part of the page view is added outside of the text's
     shift = {x: float(b[i]) for i, x in enumerate(LANGUAGES)}
@@ -160,10 +161,9 @@ def score(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
             return [pa_[0] * one + pa_[1], two]
         return run
 
-    extra = [] if "lang" in keep else ["lang"]
-    d = per_text(docs, [*keep, *extra], {"_one": "double", "_two": "double"}, start)
+    d = per_text(sealed(docs, keep, "lang", "text"), ["_kept", "lang"], {"_one": "double", "_two": "double"}, start)
     lang = F.lit(0.0)
     for x, v in shift.items():
         lang = F.when(F.col("lang") == x, F.lit(v)).otherwise(lang)
     odds = (F.col("_one") + F.lit(float(pb[0])) * (F.col("_two") + lang) + F.lit(float(pb[1]))) / 2
-    return d.select(*keep, (1 / (1 + F.exp(-odds))).alias("score"))
+    return d.select(*unsealed(keep, (out,)), (1 / (1 + F.exp(-odds))).alias(out))

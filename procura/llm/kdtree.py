@@ -21,24 +21,38 @@ TOLERANCE = 0.0005
 TIE_MAX = (1 << 62) - 1
 
 
-def ordinal(text: Column) -> Column:
-    """First seven UTF-8 bytes as a number, in byte order; null comes first."""
-    digits = F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(digits, 16, 10).cast("long"), F.lit(-1))
+DIMS = ("_x0", "_x1", "_x2", "_x3")
+
+
+def ranks(values: DataFrame) -> DataFrame:
+    """(value, rank): the distinct values of a column of text in byte order, from 0;
+    null has none.  Values are range-sorted over many tasks: a row's rank is the
+    number of values in the parts before its own and its place in it."""
+    found = values.toDF("value").filter("value IS NOT NULL").distinct().orderBy("value")
+    found = stored(found.withColumn("_at", F.monotonically_increasing_id()), "ranks")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    parts = found.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    # one row a part
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return found.join(parts, part == F.col("_part")).select("value", (F.col("_before") + place).alias("rank"))
 
 
 def metadata(docs: DataFrame) -> DataFrame:
     """doc_id, size (UTF-8 bytes of the text + 1; null text: 1), text_crc32,
-    the dimensions (size, source, lang, doc_id) and a hash of the row."""
+    the dimensions (size, ranks of source and lang, doc_id; null before all) and a
+    hash of the row."""
     body = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
     size = (F.octet_length(body) + 1).cast("long")
     tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
-    return docs.select("doc_id", size.alias("size"), F.crc32(body).alias("text_crc32"), size.alias("_x0"),
-                       ordinal(F.col("source")).alias("_x1"), ordinal(F.col("lang")).alias("_x2"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("_x3"), tie.alias("_tie"))
-
-
-DIMS = ("_x0", "_x1", "_x2", "_x3")
+    d = docs.select("doc_id", size.alias("size"), F.crc32(body).alias("text_crc32"), size.alias("_x0"),
+                    F.col("source").cast("string").alias("_source"), F.col("lang").cast("string").alias("_lang"),
+                    F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("_x3"), tie.alias("_tie"))
+    d = stored(d, "metadata")
+    for name, out in (("_source", "_x1"), ("_lang", "_x2")):
+        of = ranks(d.select(name))
+        d = d.join(of, d[name] == of["value"], "left").withColumn(out, F.coalesce("rank", F.lit(-1).cast("long"))).drop("value", "rank", name)
+    return d.select("doc_id", "size", "text_crc32", *DIMS, "_tie")
 
 
 def _coordinate(dim: Column) -> Column:
@@ -49,11 +63,14 @@ def _coordinate(dim: Column) -> Column:
 
 
 def _joined(t: DataFrame, nodes: list[dict], cols: list[str]) -> DataFrame:
-    """Rows of the named nodes with the nodes' numbers: one small row per node,
-    and there are fewer nodes than shards."""
+    """Rows of the named nodes with the nodes' numbers: one small row per node."""
+    return t.join(_table(t, nodes, cols), "_node")
+
+
+def _table(t: DataFrame, nodes: list[dict], cols: list[str]) -> DataFrame:
+    """The nodes, fewer than shards; Spark broadcasts the table below its size limit."""
     rows = [tuple(int(n[c]) for c in cols) for n in nodes]
-    table = t.sparkSession.createDataFrame(rows, ", ".join(f"_{c} long" for c in cols))
-    return t.join(F.broadcast(table), "_node")
+    return t.sparkSession.createDataFrame(rows, ", ".join(f"_{c} long" for c in cols))
 
 
 def _widest(t: DataFrame, quota: dict[int, int], root: list[int] | None) -> tuple[list[dict], list[int]]:
@@ -138,13 +155,13 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
         left = (c < F.col("_cut")) | ((c == F.col("_cut")) & (F.col("_tie") < F.col("_tie_cut")))
         moved = open_.withColumn("_node", F.col("_node") * 2 + F.when(left, 0).otherwise(1))
         ids = [n["node"] for n in nodes]
-        done = t.filter(~F.col("_node").isin(ids))
+        done = t.join(_table(t, nodes, ["node"]), "_node", "left_anti").select(*t.columns)
         t = stored(moved.select(*t.columns).unionByName(done), "kd")
         for n in ids:
             k, f = quota.pop(n), first.pop(n)
             quota |= {2 * n: k // 2, 2 * n + 1: k - k // 2}
             first |= {2 * n: f, 2 * n + 1: f + k // 2}
     leaves = t.sparkSession.createDataFrame([(n, f) for n, f in first.items()], "_node long, shard int")
-    t = t.join(F.broadcast(leaves), "_node").withColumn("_digest", F.lpad(F.lower(F.hex("_tie")), 16, "0"))
+    t = t.join(leaves, "_node").withColumn("_digest", F.lpad(F.lower(F.hex("_tie")), 16, "0"))
     t = running_before(t, "shard", "_digest", F.lit(1), "slot", total["n"], rows_per_bucket)
     return t.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))

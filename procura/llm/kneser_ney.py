@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from procura.llm.common import fit_logistic, held_out, join_small, per_text, small_batches, stored
+from procura.llm.common import fit_logistic, held_out, join_small, per_text, sealed, small_batches, stored, unsealed
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDER = 5
@@ -287,18 +287,20 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, discount: float
             "weights": fit_logistic(x, y, penalty=1e-3).tolist()}
 
 
-def score(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and score (0..1, higher: toxic likelier).
+def score(docs: DataFrame, model: dict, keep: list[str], out: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and ``out`` (0..1, higher: toxic likelier).  A
+    kept column named ``out`` gives way; other names do not matter.
 
     Null and empty text have no words, so only the intercept.  Each row is
     scored by its text alone; repeated rows score alike."""
     if "share" in model:
-        return docs.select(*keep, F.lit(float(model["share"])).alias("score"))
+        return sealed(docs, keep).select(*unsealed(keep, (out,)), F.lit(float(model["share"])).alias(out))
+    docs = sealed(docs, keep, "text")
     if isinstance(model["ratios"], DataFrame):
-        d = measures_by_join(docs, keep, model["ratios"], model["histories"], model["order"], model["margin"])
+        d = measures_by_join(docs, ["_kept"], model["ratios"], model["histories"], model["order"], model["margin"])
         a, b, c = model["weights"]
         z = F.greatest(F.least(a * F.col("_mean") + b * F.col("_strong") + c, F.lit(30.0)), F.lit(-30.0))
-        return d.select(*keep, (1 / (1 + F.exp(-z))).alias("score"))
+        return d.select(*unsealed(keep, (out,)), (1 / (1 + F.exp(-z))).alias(out))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
@@ -310,4 +312,5 @@ def score(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
             return [[1 / (1 + math.exp(-max(-30.0, min(30.0, a * u + b * v + c)))) for u, v in zip(mean, strong)]]
         return run
 
-    return per_text(docs, keep, {"score": "double"}, start)
+    d = per_text(docs, ["_kept"], {"_score": "double"}, start)
+    return d.select(*unsealed(keep, (out,)), F.col("_score").alias(out))

@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 from procura.llm.common import SPACE, WORD, stored, word_count
 
 MIN_WORDS = 50
-#: a line is removed when more than this many documents of the host hold it ...
-MIN_LIMIT = 20
-#: ... and more than this share of the host's documents
-SHARE_LIMIT = 0.02
+#: a line is removed when more than this many documents of the host hold it, whatever the host's size
+MAX_HOLDERS = 100
 #: a document that keeps a smaller share of its words is rejected
 MIN_LEFT = 0.3
 
@@ -65,23 +63,20 @@ def features(docs: DataFrame, host: str) -> DataFrame:
                     _covered(F.col("_at")).alias("n_repeat_words"), lines.alias("_hashes"))
 
 
-def line_rules(docs: DataFrame, host: str, min_words: int = MIN_WORDS, min_limit: int = MIN_LIMIT,
-               share_limit: float = SHARE_LIMIT, min_left: float = MIN_LEFT) -> DataFrame:
+def line_rules(docs: DataFrame, host: str, min_words: int = MIN_WORDS, max_holders: int = MAX_HOLDERS,
+               min_left: float = MIN_LEFT) -> DataFrame:
     """Per row of ``docs``: doc_id, the measured rules, base_failed, n_left_words
     (words outside the removed lines) and kept.
 
-    A line of a host is removed when more than max(min_limit, share_limit x the
-    host's documents) of the host's documents hold it.  kept is false where
+    A line of a host is removed when more than max_holders of the host's documents
+    hold it: as many in a hot host as in a cold one.  kept is false where
     base_failed, or where fewer than min_words words or less than min_left of
     the words remain.  Null text: no words, base_failed.  Null host: a host of
     its own.  Each row counts as a document, also where rows are equal.  Other
     columns are ignored; empty input gives no rows."""
     d = stored(features(docs, host), "lines")
-    limit = F.greatest(F.lit(min_limit), F.lit(share_limit) * F.col("_docs"))
-    hosts = d.groupBy("_host").agg(F.count("*").alias("_docs")).withColumnRenamed("_host", "_of")
     seen = d.select("_host", F.explode(F.array_distinct(F.transform("_hashes", lambda x: x["h"]))).alias("h"))
-    often = seen.groupBy("_host", "h").agg(F.count("*").alias("_holders")).filter(F.col("_holders") > min_limit)
-    often = often.join(hosts, often["_host"].eqNullSafe(hosts["_of"])).filter(F.col("_holders") > limit)
+    often = seen.groupBy("_host", "h").agg(F.count("*").alias("_holders")).filter(F.col("_holders") > max_holders)
     often = stored(often.select(F.col("_host").alias("_of"), F.col("h").alias("_h")), "often")
     lines = d.select("_row", "_host", F.explode("_hashes").alias("x"))
     removed = lines.join(often, lines["_host"].eqNullSafe(often["_of"]) & (F.col("x.h") == often["_h"])).groupBy(

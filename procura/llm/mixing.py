@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from procura.llm.common import running_before, stored, word_count
+from procura.llm.common import running_before, sealed, stored, unsealed, word_count
 
 #: weights given to the sources in code point order, repeating
 WEIGHTS = (3, 1, 2)
@@ -97,11 +97,15 @@ def curriculum(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: flo
     text.  A pass takes whole documents; the last one is cut, so that a
     source's taken words are its target rounded down.  Null text: size 0, no
     words taken.  Null source: a source of its own, last.  Repeated rows are
-    separate documents.  Empty input: no rows."""
+    separate documents.  A column of ``docs`` named like one of the results gives
+    way.  Empty input: no rows."""
     keep = [c for c in docs.columns if c != "text"]
-    d = stored(docs.select(*[F.col(f"`{c}`") for c in keep], word_count(F.col("text")).alias("_size"),
-                           F.md5(F.concat_ws("|", F.lit(seed), "doc_id", "text")).alias("_digest")), "mix")
-    return places(d, weights, schedules, share, max_repeat).withColumnRenamed("_size", "n_words").drop("_digest")
+    d = sealed(docs, keep, "source", word_count(F.col("text")).alias("_size"),
+               F.md5(F.concat_ws("|", F.lit(seed), "doc_id", "text")).alias("_digest"))
+    d = places(stored(d, "mix"), weights, schedules, share, max_repeat)
+    d = d.withColumnRenamed("_size", "n_words")
+    made = [c for c in d.columns if c not in ("_kept", "_digest", "source")]
+    return d.select(*unsealed(keep, tuple(made)), *made)
 
 
 def places(d: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE,
@@ -141,21 +145,22 @@ def cut_words(text: Column, words: Column) -> Column:
 
 def training_rows(docs: DataFrame, **params) -> DataFrame:
     """The mix itself: one row per document and pass that takes it, columns of
-    ``docs``, range-sorted by training position.  A document that is cut keeps
-    its first words (n_chars follows, where the column is there)."""
+    ``docs`` (of any names), range-sorted by training position.  A document that
+    is cut keeps its first words (n_chars follows, where the column is there)."""
     max_repeat = params.get("max_repeat", MAX_REPEAT)
     seed = params.pop("seed", "mix")
-    names = docs.columns
-    d = docs.withColumns({"_size": word_count(F.col("text")),
-                          "_digest": F.md5(F.concat_ws("|", F.lit(seed), "doc_id", "text"))})
-    narrow = stored(d.select("source", "_size", "_digest"), "mix")
+    names = [c for c in docs.columns if c not in ("text", "n_chars")]
+    length = [F.col("n_chars").alias("_chars")] if "n_chars" in docs.columns else []
+    made = {"_size": word_count(F.col("text")), "_digest": F.md5(F.concat_ws("|", F.lit(seed), "doc_id", "text"))}
+    narrow = stored(docs.select("source", *[c.alias(n) for n, c in made.items()]), "mix")
+    d = sealed(docs, names, "source", "text", *length, *[c.alias(n) for n, c in made.items()])
     d = places(d, narrow=narrow, **params)
     passes = F.array(*[F.struct(F.col(f"take_{p}").alias("take"), F.col(f"position_{p}").alias("position"))
                        for p in range(1, math.ceil(max_repeat) + 1)])
     d = d.withColumn("_pass", F.explode(F.filter(passes, lambda x: x["take"] > 0)))
     cut = F.col("_pass.take") < F.col("_size")
     d = d.withColumn("text", F.when(cut, cut_words(F.col("text"), F.col("_pass.take"))).otherwise(F.col("text")))
-    if "n_chars" in names:
-        d = d.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                         .otherwise(F.col("n_chars")))
-    return d.orderBy("_pass.position", "_digest").select(*[F.col(f"`{c}`") for c in names])
+    if length:
+        d = d.withColumn("_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_chars")))
+    back = dict(zip(names, unsealed(names))) | {"text": F.col("text")} | ({"n_chars": F.col("_chars").alias("n_chars")} if length else {})
+    return d.orderBy("_pass.position", "_digest").select(*[back[c] for c in docs.columns])

@@ -81,9 +81,13 @@ def finder(phrases, notices, letters: int):
             if not any(p.encode() in line for p, _ in pieces):
                 continue
             decoded = decoded or line.decode()
+            at = word = 0
             for a, b in windows(decoded, length, k, pieces):
                 for m in pattern.finditer(decoded, a, b):
-                    fuzzy.append({"label": label, "word": decoded.count(" ", 0, m.start()) - 1,
+                    # matches come in order: words are counted on from the last one
+                    word += decoded.count(" ", at, m.start())
+                    at = m.start()
+                    fuzzy.append({"label": label, "word": word - 1,
                                   "errors": sum(m.fuzzy_counts), "text": m.group()})
         return len(own), exact, fuzzy
 

@@ -98,9 +98,7 @@ c AS (SELECT id, count(DISTINCT i + k) AS n_repeat_words FROM r, (SELECT unnest(
 l AS (SELECT id, source, trim(regexp_replace(translate(lower(x), '123456789', '000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
              len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n
       FROM (SELECT id, source, unnest(lines) AS x FROM d)),
-h AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
-o AS (SELECT l.source, l.line FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source GROUP BY l.source, l.line, h.docs
-      HAVING count(DISTINCT id) > greatest(20, 0.02 * h.docs)),
+o AS (SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT id) > 100),
 m AS (SELECT l.id, sum(l.n) AS removed FROM l JOIN o ON l.line = o.line AND l.source IS NOT DISTINCT FROM o.source GROUP BY l.id),
 f AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
              length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -193,7 +191,7 @@ def op5_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_min(place).alias("first_word"), F.array_max(place).alias("last_word"),
                     F.array_join(F.array_sort(label("exact")), ",").alias("base_labels"),
                     F.array_join(F.array_sort(F.array_union(label("exact"), label("fuzzy"))), ",").alias("labels"),
-                    F.greatest(F.coalesce(F.array_max(sure), F.lit(0.0)), F.lit(0.0)).alias("score"))
+                    F.greatest(F.coalesce(F.array_max(sure), F.lit(0.0)), F.lit(0.0)).alias("score"), "fuzzy")
 
 
 @query

@@ -67,3 +67,19 @@ def test_rows(spark, tmp_path):
     assert got[1]["first_word"] is None and got[1]["labels"] == "" and got[1]["score"] == 0.0
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert op5_license_notices(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_places_in_a_long_text_take_linear_time():
+    import time
+    find = notices.finder(notices.PHRASES, notices.NOTICES, notices.LETTERS_AN_ERROR)
+    notice = notices.NOTICES[3]
+    notice = notice[0] if isinstance(notice, tuple) else notice
+
+    def seconds(n):
+        t = time.process_time()
+        _, _, fuzzy = find((notice + " some other words ") * n)
+        assert len(fuzzy) >= n and [x["word"] for x in fuzzy] == sorted(x["word"] for x in fuzzy)
+        return time.process_time() - t
+
+    small = seconds(500)
+    assert seconds(4_000) < 24 * max(small, 0.02)
