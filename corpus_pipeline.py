@@ -10,19 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from procura.llm import cotraining, jaccard, kneser_ney, mixing, packing
-from procura.llm.common import stored, table
+from procura.llm.common import free_name, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained quality classifier does not reject."""
     model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
-    return cotraining.score(docs, model, docs.columns).filter("score >= 0.5").drop("score")
+    score = free_name(docs.columns, "score")
+    return cotraining.score(docs, model, docs.columns, score).filter(f"{score} >= 0.5").drop(score)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney models do not find toxic."""
     model = kneser_ney.fit(docs, table(spark, sf_dir, "labels"))
-    return kneser_ney.score(docs, model, docs.columns).filter("score < 0.5").drop("score")
+    score = free_name(docs.columns, "score")
+    return kneser_ney.score(docs, model, docs.columns, score).filter(f"{score} < 0.5").drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
