@@ -201,6 +201,8 @@ DROP_DONSP = ["Meno schvaľujúceho"]
 DROP_TRSTENA = ["predbeznacena bez dph", "zmluva", "datumobjednania", "schvalil",
                 "predbeznapredmet objednaniacena bez dph", "cena_extr"]
 
+DROP_COLUMNS = {"fntn": DROP_FNTN, "donsp": DROP_DONSP, "nsptrstena": DROP_TRSTENA}
+
 # Source files skipped / handled manually, by last extension.
 SKIP_EXTENSIONS = ("png", "jpeg", "pkl", "jpg", "htm")
 MANUAL_EXTENSIONS = ("pdf", "docx")

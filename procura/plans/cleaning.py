@@ -56,10 +56,16 @@ def pack_attributes(df: DataFrame, popis_list=None, dodavatel_list=None) -> Data
     return df.withColumns({"popis": text.pack(popis_list), "dodavatel": text.pack(dodavatel_list)})
 
 
+def packed_rows(df: DataFrame, popis_list=None, dodavatel_list=None, source: str | None = None) -> DataFrame:
+    """P8 + P7: packed attributes without the columns that the source drops
+    after packing."""
+    return pack_attributes(df, popis_list, dodavatel_list).drop(*rules.DROP_COLUMNS.get(source, ()))
+
+
 def final_rows(df: DataFrame, dim: DataFrame, popis_list=None, dodavatel_list=None,
-               keep_errors: bool = True, extra=()) -> DataFrame:
-    """P8 + J1 + P9: packed attributes, registry link, the 8 final columns."""
-    packed = pack_attributes(df, popis_list, dodavatel_list)
+               keep_errors: bool = True, extra=(), source: str | None = None) -> DataFrame:
+    """P8 + P7 + J1 + P9: packed attributes, registry link, the 8 final columns."""
+    packed = packed_rows(df, popis_list, dodavatel_list, source)
     linked = registry.lookup_link(packed, dim)
     if "_errors" not in linked.columns:
         linked = linked.withColumn("_errors", F.array().cast("array<string>"))

@@ -52,5 +52,6 @@ def clean_merged(rows: DataFrame, compat: bool = True, insert_date: Column | Non
 
 
 def merged_final(cleaned: DataFrame, dim: DataFrame) -> DataFrame:
-    out = P.final_rows(cleaned, dim, popis_list=rules.POPIS_TRSTENA, dodavatel_list=rules.DODAVATEL_TRSTENA)
+    out = P.final_rows(cleaned, dim, popis_list=rules.POPIS_TRSTENA, dodavatel_list=rules.DODAVATEL_TRSTENA,
+                       source="nsptrstena")
     return out.distinct()

@@ -54,21 +54,35 @@ def clean_fntn(rows: DataFrame, insert_date: Column | None = None) -> DataFrame:
     return df.distinct()
 
 
-def clean_donsp(rows: DataFrame, compat: bool = True, insert_date: Column | None = None) -> DataFrame:
+def clean_donsp(rows: DataFrame, compat: bool = True, insert_date: Column | None = None, set_column_names: bool = True,
+                renames: dict[str, str] | None = None) -> DataFrame:
     """Noise rows (search match on raw text), renames, clean strings,
     R7 price rules + cast, impossible-day fix, date parse, constants.  The
-    parsed date is taken from the renamed text column."""
+    parsed date is taken from the renamed text column.
+
+    ``set_column_names``: the columns were named by the first row of a page, so the
+    pages' footers and repeated headers are among the rows and go.  Without it the
+    rows are a table that had its names before (a file of an earlier year), all of
+    its rows and columns stay, and ``renames`` gives its names.  A table without a
+    price has none (null, no reason)."""
     loaded = F.localtimestamp() if insert_date is None else insert_date
-    raw_vals = F.array(*[F.col(f"`{h}`") for h in DONSP_HEADERS])
-    df = rows.where(~F.exists(raw_vals, lambda v: F.coalesce(v.rlike(rules.NOISE_DONSP), F.lit(False))))
-    df = df.select(*[F.col(f"`{h}`").alias(rules.RENAME_DONSP.get(h, h)) for h in DONSP_HEADERS])
+    renames = rules.RENAME_DONSP if renames is None else renames
+    headers = [h for h in (DONSP_HEADERS if set_column_names else rows.columns) if h in rows.columns]
+    df = rows
+    if set_column_names:
+        raw_vals = F.array(*[F.col(f"`{h}`") for h in headers])
+        df = df.where(~F.exists(raw_vals, lambda v: F.coalesce(v.rlike(rules.NOISE_DONSP), F.lit(False))))
+    df = df.select(*[F.col(f"`{h}`").alias(renames.get(h, h)) for h in headers])
     df = P.clean_values(df, [c for c in df.columns])
     df = df.withColumns({"objednavatel": F.lit("donsp"), "datum": text.date_typo_fix("datum")})
-    df = text.clean_price_df(df, "objednavatel", "cena", "cena", "_cena_err")
+    if "cena" in df.columns:
+        df = text.clean_price_df(df, "objednavatel", "cena", "cena", "_cena_err")
+    else:
+        df = df.withColumns({"cena": F.lit(None).cast("double"), "_cena_err": F.lit(None).cast("string")})
     df = dates.parse_dates_df(df, "datum", "datum", "_datum_err", compat=compat)
     return (df.withColumns({"cena_s_dph": F.lit("nie"), "file": F.lit("web"), "insert_date": loaded,
                             "_errors": text.collect_errors("_cena_err", "_datum_err")})
-              .drop("_cena_err", "_datum_err", *rules.DROP_DONSP))
+              .drop("_cena_err", "_datum_err"))
 
 
 POPIS = {"fntn": rules.POPIS_FNTN, "donsp": rules.POPIS_DONSP}
@@ -77,7 +91,7 @@ POPIS = {"fntn": rules.POPIS_FNTN, "donsp": rules.POPIS_DONSP}
 def web_final(cleaned: DataFrame, source: str, dim: DataFrame) -> DataFrame:
     """P8 + P7: packed attributes with the source's lists, registry link,
     per-source drops, final projection."""
-    return P.final_rows(cleaned, dim, popis_list=POPIS[source])
+    return P.final_rows(cleaned, dim, popis_list=POPIS[source], source=source)
 
 
 def scanned_rows(pages: DataFrame, source: str, marks: DataFrame) -> DataFrame:

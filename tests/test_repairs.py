@@ -120,3 +120,34 @@ def test_files_of_one_name_stay_apart(spark, tmp_path):
     good, failed = files.whole_files(files.attachment_cells(found))
     assert sorted((r["sheet"], r["value"]) for r in good.where("row_idx = 1 AND col_idx = 1").collect()) == [("0", "x"), ("1", "y")]
     assert [r["file"] for r in failed.collect()] == ["b.json"]
+
+
+def test_each_source_drops_its_columns_after_packing(spark):
+    from procura.functions import rules
+    from procura.plans import cleaning, merged
+    dropped = {}
+    fntn = web.clean_fntn(spark.createDataFrame([["x"] * 11], [f"`{h}`".strip("`") for h in rules.FNTN_HEADERS]).withColumn(
+        "datum", F.lit(None).cast("timestamp_ntz")))
+    donsp = web.clean_donsp(spark.createDataFrame([["x"] * 7], rules.DONSP_HEADERS))
+    trstena = merged.clean_merged(spark.createDataFrame([["x"] * 8], merged.COLUMNS))
+    for source, rows, lists in (("fntn", fntn, {"popis_list": rules.POPIS_FNTN}), ("donsp", donsp, {"popis_list": rules.POPIS_DONSP}),
+                                ("nsptrstena", trstena, {"popis_list": rules.POPIS_TRSTENA, "dodavatel_list": rules.DODAVATEL_TRSTENA})):
+        before, after = cleaning.pack_attributes(rows, **lists).columns, cleaning.packed_rows(rows, source=source, **lists)
+        dropped[source] = [c for c in before if c not in after.columns]
+        assert set(dropped[source]) == set(before) & set(rules.DROP_COLUMNS[source]) and dropped[source]
+        # what is packed was packed before it was dropped
+        assert {"popis", "dodavatel", "cena", "datum", "objednavka_cislo"} <= set(after.columns) and after.first()["popis"]
+    assert "schvalil" in dropped["fntn"] and "zmluva" in dropped["nsptrstena"] and dropped["donsp"] == ["Meno schva\u013euj\u00faceho"]
+
+
+def test_donsp_tables_with_and_without_names_of_their_own(spark):
+    from procura.functions import rules
+    page = [["1", "Firma", "2", "1,50", "vec", "1.2.2024", "M"], ["Strana 1", None, None, None, None, None, None]]
+    d = spark.createDataFrame(page, rules.DONSP_HEADERS)
+    assert [(r["objednavka_cislo"], r["cena"]) for r in web.clean_donsp(d).collect()] == [("1", 1.5)]
+    # a table that had its names: all rows stay, other renames, no price
+    year = spark.createDataFrame([("1", "Firma", "29.2.2019"), ("Strana 1", "Dod\u00e1vate\u013e", None)], ["C", "Dod\u00e1vate\u013e", "D\u00e1tum"])
+    got = web.clean_donsp(year, set_column_names=False, renames={"C": "objednavka_cislo", "Dod\u00e1vate\u013e": "dodavatel_nazov", "D\u00e1tum": "datum"})
+    rows = {r["objednavka_cislo"]: r for r in got.collect()}
+    assert set(rows) == {"1", "strana 1"} and rows["1"]["cena"] is None and rows["1"]["_errors"] == []
+    assert str(rows["1"]["datum"]) == "2019-02-27 00:00:00" and rows["strana 1"]["dodavatel_nazov"] == "dodavatel"
