@@ -258,12 +258,16 @@ def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return d.groupBy(F.col("_id").alias("a")).agg(F.max_by("_with", F.struct("_c", "_with")).alias("b"))
 
 
-def _may_be_similar(percent: int) -> Column:
-    """Whether sizes and parities of two sets (_n, _parity and _n2, _parity2) allow
-    the overlap that similar sets have."""
+def _bits(p: Column, q: Column) -> Column:
+    """Bits in which two parities differ."""
+    return sum((F.bit_count(p[i].bitwiseXOR(q[i])) for i in range(4)), F.lit(0))
+
+
+def _may_be_similar(percent: int, differ: Column) -> Column:
+    """Whether sets of sizes _n and _n2 that differ in at least ``differ`` elements
+    may have the overlap of similar sets."""
     need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
-    differ = sum((F.bit_count(F.col("_parity")[i].bitwiseXOR(F.col("_parity2")[i])) for i in range(4)), F.lit(0))
-    return _sizes_fit(F.col("_n"), F.col("_n2"), percent) & F.coalesce(F.col("_n") + F.col("_n2") - differ >= 2 * need, F.lit(True))
+    return _sizes_fit(F.col("_n"), F.col("_n2"), percent) & (F.col("_n") + F.col("_n2") - differ >= 2 * need)
 
 
 def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame:
@@ -320,19 +324,25 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     of = nodes.select("_id", "_n", "_parity").join(members, "_id", "left").withColumn("_rep", F.coalesce("_rep", "_id"))
     of = of.join(found.withColumnRenamed("node", "_id"), "_id", "left")
     of = stored(of.select("_id", "_rep", "_n", "_parity", F.coalesce("component", "_id").alias("_component")), "units")
-    units = of.groupBy("_rep", "_component").agg(F.min("_id").alias("_unit"))
-    of = of.join(units, ["_rep", "_component"])
-    open_ = _open_pairs(entries, units, percent)
-    left = of.select("_unit", F.col("_id").alias("a"), "_n", "_parity")
-    right = of.select(*[F.col(c).alias(d) for c, d in (("_unit", "_unit2"), ("_id", "b"), ("_n", "_n2"), ("_parity", "_parity2"))])
-    open_ = open_.join(left, "_unit")
-    across = open_.join(right, (open_["_unit2"] == right["_unit2"]) & _may_be_similar(percent))
+    units = of.groupBy("_rep", "_component").agg(F.min(F.struct("_id", "_parity")).alias("_first"))
+    units = units.select("_rep", "_component", F.col("_first._id").alias("_unit"), F.col("_first._parity").alias("_center"))
+    of = stored(of.join(units, ["_rep", "_component"]), "members")
+    # no member's parity is farther from the first one's than the radius
+    balls = of.groupBy("_unit", "_n", "_center").agg(F.max(_bits(F.col("_parity"), F.col("_center"))).alias("_radius"))
+    open_ = _open_pairs(entries, units.drop("_center"), percent)
+    open_ = open_.join(balls.toDF("_unit2", "_n2", "_center2", "_radius2"), "_unit2")
+    left = of.select(F.col("_unit").alias("_of"), F.col("_id").alias("a"), "_n", "_parity")
+    near = _bits(F.col("_parity"), F.col("_center2")) - F.col("_radius2")
+    open_ = open_.join(left, (open_["_unit"] == left["_of"]) & _may_be_similar(percent, near)).select("_unit2", "a", "_n", "_parity")
+    right = of.select(*[F.col(c).alias(d) for c, d in (("_unit", "_of"), ("_id", "b"), ("_n", "_n2"), ("_parity", "_parity2"))])
+    differ = _bits(F.col("_parity"), F.col("_parity2"))
+    across = open_.join(right, (open_["_unit2"] == right["_of"]) & _may_be_similar(percent, differ))
     within = of.groupBy("_rep").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi")).filter("_lo <> _hi")
     apart = of.join(within, "_rep").select("_rep", F.col("_id").alias("a"), "_component", "_n", "_parity")
     other = apart.select(*[F.col(c).alias(d) for c, d in (("_rep", "_rep2"), ("a", "b"), ("_component", "_component2"),
                                                           ("_n", "_n2"), ("_parity", "_parity2"))])
     same = apart.join(other, (F.col("_rep") == F.col("_rep2")) & (F.col("a") < F.col("b"))
-                      & (F.col("_component") != F.col("_component2")) & _may_be_similar(percent))
+                      & (F.col("_component") != F.col("_component2")) & _may_be_similar(percent, differ))
     pairs = across.select("a", "b").unionByName(same.select("a", "b"))
     links = links.unionByName(_verified(docs, nodes, pairs, width, percent))
     found = stored(connected_components(links), "components")
