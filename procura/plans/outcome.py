@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from procura.session import materialize
+from procura.session import materialize, temporary_stages
 
 SCHEMA = "objednavatel string, rows long, rows_with_errors long, status string, reason string"
 
@@ -37,13 +37,14 @@ def run_sources(spark: SparkSession, sources: Iterable[str], load: Callable[[str
     out = []
     for source in sources:
         try:
-            seen = Observation()
-            rows = load(source)
-            errors = F.sum((F.size("_errors") > 0).cast("int")) if "_errors" in rows.columns else F.lit(0)
-            staged = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(errors, F.lit(0)).cast("long").alias("errors")))
-            found = seen.get
-            if found["rows"]:
-                sink(staged)
+            with temporary_stages(spark):
+                seen = Observation()
+                rows = load(source)
+                errors = F.sum((F.size("_errors") > 0).cast("int")) if "_errors" in rows.columns else F.lit(0)
+                staged = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(errors, F.lit(0)).cast("long").alias("errors")))
+                found = seen.get
+                if found["rows"]:
+                    sink(staged)
             out.append((source, found["rows"], found["errors"], "ok" if found["rows"] else "no_new_data", None))
         except DataNotAvailable:
             out.append((source, 0, 0, "no_new_data", None))

@@ -8,6 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,10 +81,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the folders ``materialize`` wrote in this session; to be called
-    when the results built on them are written."""
+def release(spark: SparkSession, but: int = 0) -> None:
+    """Delete the folders ``materialize`` wrote in this session, but for the first
+    ``but`` ones; to be called when the results built on them are written."""
     jvm = spark.sparkContext._jvm
-    while _STORED:
+    while len(_STORED) > but:
         path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession):
+    """Stages stored inside are deleted at the end: what is built on them is to be
+    written before."""
+    before = len(_STORED)
+    try:
+        yield
+    finally:
+        release(spark, before)

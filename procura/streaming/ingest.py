@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from procura.operators import dedupe
-from procura.session import materialize
+from procura.session import materialize, temporary_stages
 from procura.sources import sinks
 from procura.streaming import state
 
@@ -45,7 +45,8 @@ def ingest(spark: SparkSession, inbox: str, schema: StructType | str, table_path
     stream = reader.format(source_format).load(inbox)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        append_new(transform(df), table_path, keys)
+        with temporary_stages(spark):
+            append_new(transform(df), table_path, keys)
 
     q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

@@ -106,3 +106,13 @@ def test_a_mark_version_that_was_not_written_whole_is_not_read(spark, tmp_path):
     before = state.read_marks(spark, path).count()
     ingest.append_new(_rows(spark, BATCHES[2]), path)
     assert state.read_marks(spark, path).count() == before + 1
+
+
+def test_a_batch_leaves_no_stages(spark, tmp_path):
+    from procura import session
+    table, inbox = str(tmp_path / "t"), str(tmp_path / "in")
+    _rows(spark, BATCHES[0]).coalesce(1).write.parquet(inbox)
+    held = session.materialize(spark.range(3))
+    before = list(session._STORED)
+    ingest.ingest(spark, inbox, _rows(spark, BATCHES[0]).schema, table, str(tmp_path / "ckpt"), lambda d: session.materialize(d))
+    assert session._STORED == before and held.count() == 3 and spark.read.parquet(table).count() == 5
