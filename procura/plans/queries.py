@@ -965,7 +965,7 @@ def q_source_outcomes(spark, sf_dir):
         FROM base WHERE src IN {O._in(MAIL)})
 SELECT objednavatel, count(*) FILTER (WHERE price_err IS NULL) AS n_stored,
        count(*) FILTER (WHERE price_err IS NULL AND date_err IS NOT NULL) AS n_replayed,
-       count(*) FILTER (WHERE price_err IS NOT NULL) AS n_held, 0 AS n_second,
+       count(*) FILTER (WHERE price_err IS NOT NULL) AS n_held, 0::BIGINT AS n_second,
        round(sum(cena) FILTER (WHERE price_err IS NULL), 2) AS cena, max(datum) FILTER (WHERE price_err IS NULL) AS datum
 FROM r GROUP BY objednavatel""")
 def q_quarantine_replay(spark, sf_dir):
