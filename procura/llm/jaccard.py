@@ -272,23 +272,32 @@ def _may_be_similar(percent: int, differ: Column) -> Column:
 
 def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Pairs of units (members of a group in one component) of different
-    components that share a shingle at the fronts of their orders.
+    components that share a shingle at the fronts of their orders and whose 128-bit
+    parities (``_sketch`` and ``_other``, no member's is farther than ``_radius``) allow a link.
 
     A pair that shares one of the BEHIND open shingles before a shingle in either
     order is made at that one, so most pairs are made once or twice, not at each
     shingle that they share."""
-    e = entries.select("_token", "_id", "_n", "_pos").join(units.select(F.col("_rep").alias("_id"), "_unit", "_component"), "_id").drop("_id")
+    # size, place and the unit's radius in one number: rows stay narrow
+    packed = (F.shiftleft(F.col("_n").cast("long"), 36) + F.shiftleft(F.col("_pos").cast("long"), 8) + F.col("_radius")).alias("_k")
+    e = entries.select("_token", "_id", "_n", "_pos").join(
+        units.select(F.col("_rep").alias("_id"), "_unit", "_component", "_sketch", "_other", "_radius"), "_id")
+    e = e.select("_token", "_unit", "_component", "_sketch", "_other", packed)
     many = e.groupBy("_token").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi"))
     e = e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi")
-    order = W.partitionBy("_unit").orderBy("_pos")
+    order = W.partitionBy("_unit").orderBy("_k")
     e = stored(e.withColumns({f"_b{i}": F.lag("_token", i).over(order) for i in range(1, BEHIND + 1)}), "open")
     o = e.select("_token", *[F.col(c).alias(c + "2") for c in e.columns if c != "_token"])
+    n, n2 = F.shiftright("_k", 36), F.shiftright("_k2", 36)
+    place, radius = (lambda k: F.shiftright(k, 8).bitwiseAND((1 << 28) - 1)), (lambda k: F.col(k).bitwiseAND(255))
     # a similar pair shares a shingle within these fronts of its two orders
-    need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
+    need = F.ceil(percent * (n + n2) / F.lit(100 + percent))
+    differ = (F.bit_count(F.col("_sketch").bitwiseXOR(F.col("_sketch2"))) + F.bit_count(F.col("_other").bitwiseXOR(F.col("_other2")))
+              - radius("_k") - radius("_k2"))
     made = reduce(or_, (F.col(f"_b{i}") == F.col(f"_b{j}2") for i in range(1, BEHIND + 1) for j in range(1, BEHIND + 1)))
     d = e.join(o, (e["_token"] == o["_token"]) & (F.col("_unit") < F.col("_unit2")) & (F.col("_component") != F.col("_component2"))
-               & _sizes_fit(F.col("_n"), F.col("_n2"), percent) & (F.col("_pos") <= F.col("_n") - need)
-               & (F.col("_pos2") <= F.col("_n2") - need) & ~F.coalesce(made, F.lit(False)))
+               & _sizes_fit(n, n2, percent) & (place("_k") <= n - need) & (place("_k2") <= n2 - need)
+               & (n + n2 - differ >= 2 * need) & ~F.coalesce(made, F.lit(False)))
     return d.select("_unit", "_unit2").distinct()
 
 
@@ -328,9 +337,13 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     units = units.select("_rep", "_component", F.col("_first._id").alias("_unit"), F.col("_first._parity").alias("_center"))
     of = stored(of.join(units, ["_rep", "_component"]), "members")
     # no member's parity is farther from the first one's than the radius
-    balls = of.groupBy("_unit", "_n", "_center").agg(F.max(_bits(F.col("_parity"), F.col("_center"))).alias("_radius"))
-    open_ = _open_pairs(entries, units.drop("_center"), percent)
-    open_ = open_.join(balls.toDF("_unit2", "_n2", "_center2", "_radius2"), "_unit2")
+    folded = lambda p, i: p[i].bitwiseXOR(p[i + 1])
+    moved = lambda i: F.bit_count(folded(F.col("_parity"), i).bitwiseXOR(folded(F.col("_center"), i)))
+    balls = stored(of.groupBy("_rep", "_component", "_unit", "_n", "_center").agg(
+        F.max(_bits(F.col("_parity"), F.col("_center"))).alias("_far"),
+        F.max(moved(0) + moved(2)).alias("_radius")), "balls")
+    open_ = _open_pairs(entries, balls.withColumns({"_sketch": folded(F.col("_center"), 0), "_other": folded(F.col("_center"), 2)}), percent)
+    open_ = open_.join(balls.select("_unit", "_n", "_center", "_far").toDF("_unit2", "_n2", "_center2", "_radius2"), "_unit2")
     left = of.select(F.col("_unit").alias("_of"), F.col("_id").alias("a"), "_n", "_parity")
     near = _bits(F.col("_parity"), F.col("_center2")) - F.col("_radius2")
     open_ = open_.join(left, (open_["_unit"] == left["_of"]) & _may_be_similar(percent, near)).select("_unit2", "a", "_n", "_parity")
