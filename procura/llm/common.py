@@ -166,17 +166,22 @@ def join_small(left: DataFrame, right: DataFrame, on: str, max_rows: int = 500_0
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, weight: np.ndarray | None = None,
-                 rounds: int = 30) -> np.ndarray:
+                 rounds: int = 30, rows: int = 1024) -> np.ndarray:
     """Coefficients and intercept (last) of a logistic regression with an L2
-    penalty on the coefficients; Newton's method."""
-    a = np.c_[x, np.ones(len(x))].astype(np.float64)
-    w = np.zeros(a.shape[1])
+    penalty on the coefficients; Newton's method, its sums made in blocks of
+    ``rows`` rows."""
+    w = np.zeros(x.shape[1] + 1)
     ridge = np.diag([penalty] * x.shape[1] + [1e-6])
-    weight = np.ones(len(a)) if weight is None else weight
+    weight = np.ones(len(x)) if weight is None else weight
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (weight * (p - y)) + ridge @ w
-        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + ridge, grad)
+        grad, second = ridge @ w, ridge.copy()
+        for at in range(0, len(x), rows):
+            part = slice(at, at + rows)
+            a = np.c_[x[part], np.ones(len(x[part]))].astype(np.float64)
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+            grad += a.T @ (weight[part] * (p - y[part]))
+            second += (a * (weight[part] * p * (1 - p))[:, None]).T @ a
+        step = np.linalg.solve(second, grad)
         w -= step
         if np.abs(step).max() < 1e-6:
             break

@@ -14,6 +14,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,6 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     flat = lambda c, width: rows.column(c).combine_chunks().flatten().to_numpy().reshape(-1, width)
     content = flat("content", BUCKETS)
     page = _with_language(flat("page", PAGE), rows.column("lang").to_pylist())
+    del rows
+    pa.default_memory_pool().release_unused()
     labelled = np.flatnonzero(y >= 0)
     aside = labelled[np.arange(len(labelled)) % 4 == 0]  # for the calibration
     learn = np.setdiff1d(labelled, aside)

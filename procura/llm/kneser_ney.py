@@ -16,6 +16,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,6 +132,12 @@ def log_ratios(counts: dict[str, tuple[int, int]], order: int, discount: float)
     return {g: math.log(seen(1, g, b) / seen(0, g, a)) for g, (a, b) in counts.items()}, histories
 
 
+def _model(counts: pa.Table, order: int, discount: float) -> tuple[dict, dict]:
+    """``log_ratios`` of the columns gram, ordinary and toxic count; rows of no count are left out."""
+    gram, a, b = (c.to_pylist() for c in counts.columns)
+    return log_ratios({g: (x, y) for g, x, y in zip(gram, a, b) if x + y}, order, discount)
+
+
 def measures(ratios: dict, histories: dict, order: int, margin: float):
     """A function of texts: per text the mean log-likelihood ratio of its words,
     and the mean of what single words have above the margin (no words: 0)."""
@@ -273,11 +280,13 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, discount: float
     rate = min(1.0, calibration_rows / (n / ASIDE)) * (1 << 20)
     part = (F.col("aside") == 1) & (F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(1 << 20)) < rate)
     if small:
-        counts = table.collect()
-        first = log_ratios({r["gram"]: (r["n0"], r["n1"]) for r in counts if r["n0"] + r["n1"]}, order, discount)
+        counts = table.toArrow()  # columns: far less memory than a row object each
+        first = _model(counts.select(["gram", "n0", "n1"]), order, discount)
         rows = per_text(train.filter(part), ["label"], {"_mean": "double", "_strong": "double"},
                         lambda: measures(*first, order, margin)).collect()
-        ratios, histories = log_ratios({r["gram"]: (r["n0"] + r["n2"], r["n1"] + r["n3"]) for r in counts}, order, discount)
+        first = None  # one model at a time
+        both = [counts["gram"], pc.add(counts["n0"], counts["n2"]), pc.add(counts["n1"], counts["n3"])]
+        ratios, histories = _model(pa.table(both, ["gram", "a", "b"]), order, discount)
     else:
         first = ratio_tables(table.selectExpr("gram", "n0 a", "n1 b"), order, discount)
         rows = measures_by_join(train.filter(part), ["label"], *first, order, margin).collect()
