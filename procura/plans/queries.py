@@ -19,6 +19,7 @@ from procura.plans import cleaning as P
 from procura.plans import mail as ML
 from procura.session import scratch_path
 from procura.sources import fixtures as FX
+from procura.sources import searchable as SE
 from procura.sources.sinks import append_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +98,25 @@ def q_search_price_range(spark, sf_dir):
     return search.search_orders(serving_table(spark, sf_dir), keyword="", price_min=250000)
 
 
+_SEARCHABLE: dict[tuple[str, str, str], str] = {}
+
+
+def _searchable(spark, sf_dir, name: str, rows, texts, equal=()) -> str:
+    """Path of a table stored with its sketch; loaded once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SEARCHABLE:
+        path = scratch_path(spark, name)
+        SE.append_searchable(rows(), path, texts, equal, file_rows=10_000)
+        _SEARCHABLE[key] = path
+    return _SEARCHABLE[key]
+
+
+@register("search_sketched", ORACLE["search_orders"])
+def q_search_sketched(spark, sf_dir):
+    path = _searchable(spark, sf_dir, "searchable", lambda: serving_table(spark, sf_dir), ("popis",))
+    return search.search_orders(SE.may_hold(spark, path, "popis", SEARCH_ARGS["keyword"]), **SEARCH_ARGS)
+
+
 @register("final_rows", O.with_(O.BASE, O.LINK_CTE, O.MAIL_FINAL) + """
 SELECT objednavatel, cena, datum, dodavatel, popis, insert_date, file, link FROM mail_final""")
 def q_final_rows(spark, sf_dir):
@@ -498,6 +518,19 @@ def q_lookup_by_field(spark, sf_dir):
     return D.union_missing(*parts)
 
 
+@register("lookup_indexed", ORACLE["lookup_by_field"])
+def q_lookup_indexed(spark, sf_dir):
+    columns = ["objednavatel", "k", "dodavatel_nazov", "objednavka_cislo", "dodavatel_ico"]
+    path = _searchable(spark, sf_dir, "lookups", lambda: P.clean_values(mail_raw(spark, sf_dir)).select(*columns),
+                       ("dodavatel_nazov",), ("objednavka_cislo", "dodavatel_ico"))
+    names = SE.may_hold(spark, path, "dodavatel_nazov", "supplier#00000001", "literal")
+    table = spark.read.parquet(path)
+    parts = [search.lookup_by_field(d, by, value).select(F.lit(by).alias("search_by"), "k")
+             for d, by, value in ((names, "nazov_dodavatela", "supplier#00000001"), (table, "cislo_objednavky", "obj-42"),
+                                  (table, "ICO", "17.0"))]
+    return D.union_missing(*parts)
+
+
 # ---------------------------------------------------------------- registry overrides
 
 OVERRIDES = [

@@ -10,7 +10,8 @@ NAMES = ["search_orders", "final_rows", "parse_dates", "date_fallback", "date_ty
          "price_rules_R5", "thousands_dot", "extract_quantity", "clean_strings", "pack_attributes",
          "registry_lookup", "symmetric_unique", "new_rows_anti", "upsert_latest", "attachment_select",
          "batch_status", "registry_overrides", "standardise_columns", "web_source_batch", "split_merged_text",
-         "paged_source_scan", "upsert_stored", "html_row_spans", "registry_override_log", "source_outcomes", "quarantine_replay"]
+         "paged_source_scan", "upsert_stored", "html_row_spans", "registry_override_log", "source_outcomes", "quarantine_replay",
+         "search_sketched", "lookup_indexed"]
 
 
 @pytest.fixture(scope="module")
