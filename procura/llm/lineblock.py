@@ -6,10 +6,12 @@ line, and character references are decoded.  The lengths of WINDOW neighbouring
 are summed; where the sums rise to a surge a region of text begins, where they dive to
 nothing it ends, and the text between is kept.
 
-Where the page names its article (``article``, else ``main``), lines are read from
-its largest one, any text is a surge and all text counts.  Elsewhere text in links
-does not count, a surge takes SURGE characters, and only the element that holds most
-of the surging text is kept, so that notices beside it go.
+Text in links does not count, and a surge takes SURGE characters; so on every page.
+The surging text then tells the article's element, and what surges beside it (notices)
+goes.  Where the page names its articles (``article``, else ``main``), it is the one
+with most surging text (of equal ones that with most text), and its lines that lie
+outside the regions, such as short lines set apart, are put back: they are the
+article's.  Elsewhere it is the element that holds most of the surging text.
 
 Defined cases: null and empty html, and pages without text, give an empty text.
 Unclosed elements end with their parent, an unclosed dropped one also where an article
@@ -220,18 +222,20 @@ def main_text(page: str | None) -> str:
         return ""
     read = _Page(page)
     lines = read.lines
+    surges = between([x[1] for x in lines], SURGE)
     for kind in ("article", "main"):
-        size: dict[int, int] = {}
-        for text, _, around in lines:
+        size: dict[int, tuple[int, int]] = {}
+        for (text, free, around), surge in zip(lines, surges):
             # of nested ones the outer
             scope = next((n for n in around if read.scopes.get(n) == kind), None)
             if scope is not None and text:
-                size[scope] = size.get(scope, 0) + len(text)
+                surging, whole = size.get(scope, (0, 0))
+                size[scope] = surging + free * surge, whole + len(text)
         if size:
             best = max(size, key=lambda n: (size[n], -n))
-            own = [x for x in lines if best in x[2]]
-            return "\n\n".join(x[0] for x, k in zip(own, between([len(x[0]) for x in own], 1)) if k and x[0])
-    kept = inner = [x for x, k in zip(lines, between([x[1] for x in lines], SURGE)) if k and x[0]]
+            # kept regions and, put back, the element's lines outside of them
+            return "\n\n".join(x[0] for x in lines if best in x[2] and x[0])
+    kept = inner = [x for x, k in zip(lines, surges) if k and x[0]]
     for depth in range(DEEPEST):
         size = {}
         for _, free, around in inner:

@@ -50,6 +50,18 @@ def test_pages(name):
     assert main_text(page) == "\n\n".join(want)
 
 
+def test_surging_text_tells_the_named_article():
+    links = "".join(f"<li><a href={i}>A story about something else {i}</a></li>" for i in range(9))
+    short = "<hr><hr><hr>".join(f"<p>Short line {i}.</p>" for i in range(20))
+    for kind in ("article", "main"):
+        own = f"<{kind}><h2>T</h2><p>{LONG}</p><hr><hr><hr><p>Then.</p></{kind}>"
+        for other in (f"<ul>{links}</ul>", short):
+            for page in (f"<{kind}>{other}</{kind}>{own}", f"{own}<{kind}>{other}</{kind}>"):
+                assert main_text(page) == "\n\n".join(["T", LONG, "Then."])
+    # where nothing surges, the named article with most text
+    assert main_text("<article><p>a</p></article><article><p>bc</p></article>") == "bc"
+
+
 def test_surge_and_dive():
     assert between([0, 5, 0, 0, 0, 90, 0, 3, 0, 0, 0, 1], 80) == [False] * 3 + [True] * 5 + [False] * 4
     assert between([1, 0, 0, 0, 1], 1) == [True, False, True, True, True]
