@@ -2,8 +2,9 @@
 
 Input: ``raw_cells(source, file, sheet, row_idx, col_idx, value)`` with the
 header in row 0.  Each sheet row becomes one ``map<col_idx, value>`` of its
-non-null cells (one shuffle, grouped by sheet row -- bounded groups even when
-one sheet holds a third of all rows).  Row rules are then map expressions;
+non-null cells (one shuffle of the cells, grouped by sheet row -- bounded groups
+even when one sheet holds a third of all rows; collected once, behind the
+shuffle: lists gathered before it would have to be sorted, and spilled, twice).  Row rules are then map expressions;
 column rules aggregate per ``(sheet, col_idx)`` with partial aggregation and
 join a small per-sheet result back (AQE picks broadcast or a skew-split
 sort-merge join).
@@ -48,10 +49,11 @@ def row_map(col, value: Column) -> Column:
 def to_rows(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split cells into data rows ``(sheet, row_idx, m)`` with P2-cleaned
     values and header maps ``(sheet, h)`` with P1-normalised names."""
-    data = (cells.where(F.col("row_idx") > 0)
-                 .groupBy(*SHEET_KEY, "row_idx")
-                 .agg(row_map("col_idx", clean_string("value")).alias("m"))
-                 .withColumn("m", F.map_filter("m", lambda k, v: v.isNotNull())))
+    body = cells.where(F.col("row_idx") > 0).select(*SHEET_KEY, "row_idx", "col_idx", clean_string("value").alias("value"))
+    data = (body.repartition(*SHEET_KEY, "row_idx")
+                .groupBy(*SHEET_KEY, "row_idx")
+                .agg(row_map("col_idx", F.col("value")).alias("m"))
+                .withColumn("m", F.map_filter("m", lambda k, v: v.isNotNull())))
     heads = (cells.where(F.col("row_idx") == 0)
                   .groupBy(*SHEET_KEY)
                   .agg(row_map("col_idx", F.coalesce(normalise_header("value"), F.lit("nan"))).alias("h")))

@@ -276,6 +276,7 @@ SELECT src AS source, 'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.xlsx
 FROM base WHERE src IN {O._in(MAIL)} AND k % 16 % 4 = 1 AND k % 7 = 1""")
 def q_noise_rows_prefix(spark, sf_dir):
     rows, _ = C.to_rows(_cells(spark, sf_dir))
+    rows = P.materialize(rows)  # read twice
     kept = C.drop_noise_rows(rows)
     return rows.join(kept, C.SHEET_KEY + ["row_idx"], "left_anti").select("source", "file", "row_idx")
 
@@ -305,7 +306,7 @@ SELECT src AS source, 'objednavky_' || lpad((k % 16)::VARCHAR, 2, '0') || '.xlsx
 FROM base WHERE src IN {O._in(MAIL)} AND k % 16 % 4 = 0 AND k % 11 = 5""")
 def q_drop_sparse_rows(spark, sf_dir):
     rows, heads = C.to_rows(_cells(spark, sf_dir))
-    rows = C.drop_noise_rows(rows)
+    rows = P.materialize(C.drop_noise_rows(rows))  # read three times
     rows, heads = C.drop_sparse_columns(rows, heads)
     kept = C.drop_sparse_rows(rows, 2)
     return rows.join(kept, C.SHEET_KEY + ["row_idx"], "left_anti").select("source", "file", "row_idx")
@@ -812,11 +813,16 @@ def q_chunk_counts(spark, sf_dir):
                         F.bool_and(F.col("count") <= rules.CHUNK_ROWS).alias("chunks_bounded"))
 
 
+#: rows in a file of the inbox, at most
+INBOX_ROWS = 100_000
+
+
 @register("incremental_ingest", FINAL_SQL)
 def q_incremental_ingest(spark, sf_dir):
     inbox = SK.scratch_path(spark, "inbox")
     raw = FX.raw_orders(spark, sf_dir).where(F.col("objednavatel").isin(MAIL)).drop("k")
-    raw.repartition(4).write.parquet(inbox)
+    # files of bounded size: more orders come in more files, and in more batches
+    raw.repartition(max(4, spark.sparkContext.defaultParallelism)).write.option("maxRecordsPerFile", INBOX_ROWS).parquet(inbox)
     dim = P.materialize(registry_dim(spark, sf_dir))
 
     def transform(df):

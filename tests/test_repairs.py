@@ -151,3 +151,15 @@ def test_donsp_tables_with_and_without_names_of_their_own(spark):
     rows = {r["objednavka_cislo"]: r for r in got.collect()}
     assert set(rows) == {"1", "strana 1"} and rows["1"]["cena"] is None and rows["1"]["_errors"] == []
     assert str(rows["1"]["datum"]) == "2019-02-27 00:00:00" and rows["strana 1"]["dodavatel_nazov"] == "dodavatel"
+
+
+def test_cells_are_collected_once_behind_their_shuffle(spark):
+    from procura.operators import cells
+    schema = "source string, file string, sheet string, row_idx long, col_idx int, value string"
+    rows = [("s", "f", "h", r, c, f"  \u00c1{r}.{c} " if c else None) for r in range(3) for c in range(3)]
+    data, _ = cells.to_rows(spark.createDataFrame(rows, schema))
+    plan = data._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("REPARTITION_BY_COL"):]
+    assert "Aggregate" not in below and "trim" in below
+    assert sorted((r["row_idx"], r["m"]) for r in data.collect()) == [
+        (r, {c: f"a{r}.{c}" for c in (1, 2)}) for r in (1, 2)]
