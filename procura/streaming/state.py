@@ -27,6 +27,8 @@ from procura.operators.incremental import high_water_marks
 SOURCE = "objednavatel"
 #: versions of the marks that are kept for readers that have begun
 KEPT_VERSIONS = 3
+#: rows of a batch that one task sorts by their keys, about
+ROWS_A_TASK = 50_000
 
 
 def digests_path(table_path: str) -> str:
@@ -73,7 +75,11 @@ def unseen_rows(rows: DataFrame, table_path: str, keys=ROW_KEYS) -> DataFrame:
     is not stored for their source, one row per key.  Adds ``digest``."""
     spark = rows.sparkSession
     keys = list(dict.fromkeys([SOURCE, *keys]))
-    batch = rows.withColumn("digest", key_digest(keys)).dropDuplicates(keys)
+    # dealt out first: the rows are sorted by their keys in partitions of bounded size, and
+    # not in whole splits of the input
+    tasks = max(1, -(-rows.count() // ROWS_A_TASK))
+    exact = [k for k in keys if dict(rows.dtypes)[k] not in ("double", "float")]  # others are normalised, and dealt anew
+    batch = rows.withColumn("digest", key_digest(keys)).repartition(tasks, *exact).dropDuplicates(keys)
     # sources: a fixed list in the registry
     sources = [r[0] for r in rows.select(SOURCE).distinct().collect()]
     known = known_digests(spark, table_path, sources)

@@ -116,3 +116,14 @@ def test_a_batch_leaves_no_stages(spark, tmp_path):
     before = list(session._STORED)
     ingest.ingest(spark, inbox, _rows(spark, BATCHES[0]).schema, table, str(tmp_path / "ckpt"), lambda d: session.materialize(d))
     assert session._STORED == before and held.count() == 3 and spark.read.parquet(table).count() == 5
+
+
+def test_a_task_sorts_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    from procura.streaming import state
+    monkeypatch.setattr(state, "ROWS_A_TASK", 10)
+    rows = spark.range(100).selectExpr("concat('s', id % 2) AS objednavatel", "cast(id % 50 AS string) AS popis",
+                                       "cast(id AS double) % 50 AS cena", "cast(null AS timestamp_ntz) AS datum", "'d' AS dodavatel")
+    batch = state.unseen_rows(rows, str(tmp_path / "t"))
+    assert batch.rdd.getNumPartitions() == 10
+    assert batch.count() == 50
+    assert state.unseen_rows(rows.limit(0), str(tmp_path / "t")).count() == 0
