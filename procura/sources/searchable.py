@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ from procura.streaming.state import read_or_none
 
 #: rows in a file; files are what a search skips
 FILE_ROWS = 1_000_000
-#: every run of three characters, overlapping ones too
-PIECES = r"(?s)(?=(...))"
+#: pieces that a task holds before it hands them on
+PIECES_HELD = 500_000
 SKETCH = "column string, piece string, file string"
 
 
@@ -52,6 +53,27 @@ def _listed(table: DataFrame) -> set[str]:
     return {re.sub(r"^(\w+):///", r"\1:/", f) for f in table.inputFiles()}
 
 
+def _pieces(batches):
+    """Distinct (piece, file) of a task's rows (file, text as UTF-8): every run of three
+    characters, overlapping ones too.  They are cut up here, not exploded to rows."""
+    held: dict[str, set[str]] = {}
+
+    def flush():
+        for file, found in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([file] * len(found), pa.string())], names=["piece", "file"])
+        held.clear()
+
+    for batch in batches:
+        last = None
+        for file, text in zip(batch.column("file").to_pylist(), batch.column("text").to_pylist()):
+            if (file, text) != last:
+                last, t = (file, text), text.decode("utf-8", "replace")
+                held.setdefault(file, set()).update(map("".join, zip(t, t[1:], t[2:])))
+        if sum(map(len, held.values())) > PIECES_HELD:
+            yield from flush()
+    yield from flush()
+
+
 def sketch(spark: SparkSession, path: str, texts: tuple[str, ...]) -> None:
     """Sketch the files of the table that have no sketch of these columns."""
     stored = read_or_none(spark, path)
@@ -60,9 +82,8 @@ def sketch(spark: SparkSession, path: str, texts: tuple[str, ...]) -> None:
         if not new:
             continue
         rows = stored.where(F.col("_metadata.file_path").isin(new)).select(F.col("_metadata.file_path").alias("file"), F.col(c).alias("text"))
-        # a text is cut up once for each file that holds it
-        pieces = rows.where("text IS NOT NULL").distinct().select(
-            F.lit(c).alias("column"), F.explode(F.regexp_extract_all("text", F.lit(PIECES), F.lit(1))).alias("piece"), "file").distinct()
+        found = rows.where("text IS NOT NULL").select("file", F.col("text").cast("binary").alias("text"))
+        pieces = found.mapInArrow(_pieces, "piece string, file string").distinct().select(F.lit(c).alias("column"), "piece", "file")
         (pieces.repartitionByRange("column", "piece", "file").sortWithinPartitions("column", "piece")
                .write.mode("append").parquet(sketch_path(path)))
         named = rows.select(F.lit(c).alias("column"), F.lit("").alias("piece"), "file").distinct()

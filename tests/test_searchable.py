@@ -88,3 +88,19 @@ def test_pieces():
     assert SE.keyword_pieces("ab\\cd") == {"ab\\", "b\\c", "\\cd"}
     assert SE.keyword_pieces("a%b", "literal") == {"a%b"}
     assert SE.keyword_pieces("abcd", "insensitive") == set()
+
+
+def test_pieces_are_cut_up_in_the_task(monkeypatch):
+    import pyarrow as pa
+
+    from procura.sources import searchable as SE
+    rows = [("a", "ring"), ("a", "ring"), ("b", "ring"), ("a", "x"), ("b", ""), ("b", "a\nb\u10d0\U0001f600c"), ("a", "aaaaaa")]
+    want = {(t[i:i + 3], f) for f, t in rows for i in range(len(t) - 2)}
+    batches = [pa.RecordBatch.from_arrays([pa.array([f for f, _ in part]), pa.array([t.encode() for _, t in part], pa.binary())], names=["file", "text"])
+               for part in (rows[:3], rows[3:])]
+    for held in (SE.PIECES_HELD, 1):
+        monkeypatch.setattr(SE, "PIECES_HELD", held)
+        made = [tuple(r.values()) for b in SE._pieces(iter(batches)) for r in b.to_pylist()]
+        assert set(made) == want
+        # distinct for as long as they are held
+        assert held == 1 or len(made) == len(want)
