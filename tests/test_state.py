@@ -123,6 +123,8 @@ def test_a_task_sorts_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(state, "ROWS_A_TASK", 10)
     rows = spark.range(100).selectExpr("concat('s', id % 2) AS objednavatel", "cast(id % 50 AS string) AS popis",
                                        "cast(id AS double) % 50 AS cena", "cast(null AS timestamp_ntz) AS datum", "'d' AS dodavatel")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
     batch = state.unseen_rows(rows, str(tmp_path / "t"))
     assert batch.rdd.getNumPartitions() == 10
     assert batch.count() == 50
