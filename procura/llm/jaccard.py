@@ -37,6 +37,11 @@ FREQUENT = 8
 MAX_FREQUENT = 500_000
 #: open shingles before a shared one by which a pair that is made elsewhere is told
 BEHIND = 3
+#: bits of a parity, 64 a long
+PARITY = 512
+#: shingles of more open rows than this are joined on the whole parities; the
+#: others, which make at most so many pairs a row, on 128 bits
+COMMON = 32
 #: key tables of at most so many rows (16 bytes each) are broadcast
 MAX_KEYS = 500_000
 #: rows of a shingle that meet in one task when all links are asked for
@@ -100,9 +105,9 @@ def _digest(*parts: bytes) -> bytes:
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
-    """256 bits, four longs: bit i is the parity of the hashes that fall on i.
+    """PARITY bits in longs: bit i is the parity of the hashes that fall on i.
     Two sets differ in at least as many elements as their parities in bits."""
-    bits = np.bincount(hashes & 255, minlength=256).astype(np.uint8) & 1
+    bits = np.bincount(hashes & (PARITY - 1), minlength=PARITY).astype(np.uint8) & 1
     return np.packbits(bits).view(np.int64)
 
 
@@ -260,7 +265,14 @@ def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
 
 def _bits(p: Column, q: Column) -> Column:
     """Bits in which two parities differ."""
-    return sum((F.bit_count(p[i].bitwiseXOR(q[i])) for i in range(4)), F.lit(0))
+    return sum((F.bit_count(p[i].bitwiseXOR(q[i])) for i in range(PARITY // 64)), F.lit(0))
+
+
+def _folded(p: Column) -> list[Column]:
+    """A parity of 128 bits, two longs: each bit is that of some of the bits of ``p``."""
+    longs = [p[i] for i in range(PARITY // 64)]
+    half = len(longs) // 2
+    return [reduce(Column.bitwiseXOR, part) for part in (longs[:half], longs[half:])]
 
 
 def _may_be_similar(percent: int, differ: Column) -> Column:
@@ -272,8 +284,10 @@ def _may_be_similar(percent: int, differ: Column) -> Column:
 
 def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Pairs of units (members of a group in one component) of different
-    components that share a shingle at the fronts of their orders and whose 128-bit
-    parities (``_sketch`` and ``_other``, no member's is farther than ``_radius``) allow a link.
+    components that share a shingle at the fronts of their orders and whose parities allow
+    a link: of 128 bits (``_sketch`` and ``_other``, no member's is farther than ``_radius``),
+    where COMMON or more rows meet whole ones (``_center`` and ``_far``).  A family of near
+    copies meets at a few shingles, and 128 bits hardly tell its pairs from links.
 
     A pair that shares one of the BEHIND open shingles before a shingle in either
     order is made at that one, so most pairs are made once or twice, not at each
@@ -283,22 +297,29 @@ def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame
     e = entries.select("_token", "_id", "_n", "_pos").join(
         units.select(F.col("_rep").alias("_id"), "_unit", "_component", "_sketch", "_other", "_radius"), "_id")
     e = e.select("_token", "_unit", "_component", "_sketch", "_other", packed)
-    many = e.groupBy("_token").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi"))
-    e = e.join(many.filter("_lo <> _hi").select("_token"), "_token", "left_semi")
+    many = e.groupBy("_token").agg(F.min("_component").alias("_lo"), F.max("_component").alias("_hi"), F.count("*").alias("_rows"))
+    e = e.join(many.filter("_lo <> _hi").select("_token", (F.col("_rows") > COMMON).alias("_common")), "_token")
     order = W.partitionBy("_unit").orderBy("_k")
     e = stored(e.withColumns({f"_b{i}": F.lag("_token", i).over(order) for i in range(1, BEHIND + 1)}), "open")
-    o = e.select("_token", *[F.col(c).alias(c + "2") for c in e.columns if c != "_token"])
     n, n2 = F.shiftright("_k", 36), F.shiftright("_k2", 36)
     place, radius = (lambda k: F.shiftright(k, 8).bitwiseAND((1 << 28) - 1)), (lambda k: F.col(k).bitwiseAND(255))
     # a similar pair shares a shingle within these fronts of its two orders
     need = F.ceil(percent * (n + n2) / F.lit(100 + percent))
-    differ = (F.bit_count(F.col("_sketch").bitwiseXOR(F.col("_sketch2"))) + F.bit_count(F.col("_other").bitwiseXOR(F.col("_other2")))
-              - radius("_k") - radius("_k2"))
     made = reduce(or_, (F.col(f"_b{i}") == F.col(f"_b{j}2") for i in range(1, BEHIND + 1) for j in range(1, BEHIND + 1)))
-    d = e.join(o, (e["_token"] == o["_token"]) & (F.col("_unit") < F.col("_unit2")) & (F.col("_component") != F.col("_component2"))
-               & _sizes_fit(n, n2, percent) & (place("_k") <= n - need) & (place("_k2") <= n2 - need)
-               & (n + n2 - differ >= 2 * need) & ~F.coalesce(made, F.lit(False)))
-    return d.select("_unit", "_unit2").distinct()
+
+    def met(e: DataFrame, differ: Column) -> DataFrame:
+        o = e.select("_token", *[F.col(c).alias(c + "2") for c in e.columns if c != "_token"])
+        d = e.join(o, (e["_token"] == o["_token"]) & (F.col("_unit") < F.col("_unit2")) & (F.col("_component") != F.col("_component2"))
+                   & _sizes_fit(n, n2, percent) & (place("_k") <= n - need) & (place("_k2") <= n2 - need)
+                   & (n + n2 - differ >= 2 * need) & ~F.coalesce(made, F.lit(False)))
+        return d.select("_unit", "_unit2")
+
+    few = met(e.filter("NOT _common").drop("_common"),
+              F.bit_count(F.col("_sketch").bitwiseXOR(F.col("_sketch2"))) + F.bit_count(F.col("_other").bitwiseXOR(F.col("_other2")))
+              - radius("_k") - radius("_k2"))
+    common = e.filter("_common").drop("_common", "_sketch", "_other").join(units.select("_unit", "_center", "_far"), "_unit")
+    common = met(common, _bits(F.col("_center"), F.col("_center2")) - F.col("_far") - F.col("_far2"))
+    return few.unionByName(common).distinct()
 
 
 def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -337,12 +358,12 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     units = units.select("_rep", "_component", F.col("_first._id").alias("_unit"), F.col("_first._parity").alias("_center"))
     of = stored(of.join(units, ["_rep", "_component"]), "members")
     # no member's parity is farther from the first one's than the radius
-    folded = lambda p, i: p[i].bitwiseXOR(p[i + 1])
-    moved = lambda i: F.bit_count(folded(F.col("_parity"), i).bitwiseXOR(folded(F.col("_center"), i)))
+    sketch, other = _folded(F.col("_center"))
+    moved = sum((F.bit_count(p.bitwiseXOR(q)) for p, q in zip(_folded(F.col("_parity")), (sketch, other))), F.lit(0))
     balls = stored(of.groupBy("_rep", "_component", "_unit", "_n", "_center").agg(
         F.max(_bits(F.col("_parity"), F.col("_center"))).alias("_far"),
-        F.max(moved(0) + moved(2)).alias("_radius")), "balls")
-    open_ = _open_pairs(entries, balls.withColumns({"_sketch": folded(F.col("_center"), 0), "_other": folded(F.col("_center"), 2)}), percent)
+        F.max(moved).alias("_radius")), "balls")
+    open_ = _open_pairs(entries, balls.withColumns({"_sketch": sketch, "_other": other}), percent)
     open_ = open_.join(balls.select("_unit", "_n", "_center", "_far").toDF("_unit2", "_n2", "_center2", "_radius2"), "_unit2")
     left = of.select(F.col("_unit").alias("_of"), F.col("_id").alias("a"), "_n", "_parity")
     near = _bits(F.col("_parity"), F.col("_center2")) - F.col("_radius2")
@@ -401,7 +422,7 @@ def jaccard_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[D
                      *[F.col(c).alias(c + "2") for c in ("_id", "_parity", "_n", "_p", "_pos")])
         e = e.withColumn("_block2", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         need = F.ceil(percent * (F.col("_n") + F.col("_n2")) / F.lit(100 + percent))
-        differ = sum((F.bit_count(F.col("_parity")[i].bitwiseXOR(F.col("_parity2")[i])) for i in range(4)), F.lit(0))
+        differ = _bits(F.col("_parity"), F.col("_parity2"))
         d = e.join(o, ["_token", "_block2"]).filter(
             (F.col("_id") < F.col("_id2")) & _sizes_fit(F.col("_n"), F.col("_n2"), percent)
             & (F.col("_n") + F.col("_n2") - differ >= 2 * need))

@@ -68,6 +68,27 @@ def test_families_around_the_threshold(spark, monkeypatch):
     assert got(spark, rows, 4, 85) == brute(rows, 4, 85)
 
 
+def test_family_below_the_threshold(spark, monkeypatch):
+    """Copies with two edits each of a text that is not there: all share shingles
+    at their fronts, few are linked, and the bounds leave few of the pairs open."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        w, at = list(base), rng.randrange(5, 70)
+        w[at], w[at + rng.randrange(6, 70)] = f"e{i}", f"f{i}"
+        rows.append((i, " ".join(w)))
+    opened, pairs = [], jaccard._open_pairs
+
+    def counted(*args):
+        opened.append((d := pairs(*args)).count())
+        return d
+
+    monkeypatch.setattr(jaccard, "_open_pairs", counted)
+    assert got(spark, rows, 5, 80) == brute(rows, 5, 80)
+    assert opened[0] < 120 * 119 / 2 / 3, opened
+
+
 def test_edge_rows(spark):
     rows = [(5, "a b c d"), (3, "A  b\\tc d"), (4, None), (9, ""), (2, " \\n"), (7, "a b c"), (8, "a b"), (6, "a b c"), (None, "q r s t u"),
             (None, "q r s t u"), (11, "a b c d"), (11, "a b c d"), (12, "x " * 30_000)]
