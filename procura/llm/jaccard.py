@@ -286,7 +286,7 @@ def _open_pairs(entries: DataFrame, units: DataFrame, percent: int) -> DataFrame
     """Pairs of units (members of a group in one component) of different
     components that share a shingle at the fronts of their orders and whose parities allow
     a link: of 128 bits (``_sketch`` and ``_other``, no member's is farther than ``_radius``),
-    where COMMON or more rows meet whole ones (``_center`` and ``_far``).  A family of near
+    where more than COMMON rows meet whole ones (``_center`` and ``_far``).  A family of near
     copies meets at a few shingles, and 128 bits hardly tell its pairs from links.
 
     A pair that shares one of the BEHIND open shingles before a shingle in either
