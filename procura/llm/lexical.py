@@ -28,7 +28,9 @@ document's distinct terms stay in one task.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,8 +44,10 @@ from procura.llm.common import shared_path, small_batches, stored, temporary_tab
 
 #: postings of a segment, and of a piece, at most (but for a single document's)
 SEGMENT, PIECE = 1_000_000, 100_000
-#: what a search task holds at once: postings and strata
+#: what a search task holds at once: postings (and documents), and strata
 HELD, HELD_STRATA = 1_500_000, 256
+#: pieces that are read from the index, and handed to Python, at once; bytes of a row group of the index
+READ, ROW_GROUP = 8, 16 << 20
 #: entries (query, term) of one block of queries, at most (but for a single query's)
 BLOCK_ENTRIES = 20_000
 LAST_ID = np.iinfo(np.int64).max
@@ -92,8 +96,8 @@ class _Segment:
     """Documents gathered until they are turned into pieces."""
 
     def __init__(self):
-        self.words, self.ids, self.m = {}, [], []
-        self.term, self.tf, self.n = [], [], []
+        self.words, self.ids, self.m, self.n = {}, [], [], []
+        self.term, self.tf = array("i"), array("i")
 
     def add(self, doc_id, m: int, counts: Counter) -> None:
         words = self.words
@@ -104,39 +108,63 @@ class _Segment:
         self.m.append(m)
 
     def pieces(self):
-        """Strata in order of m; a stratum beyond PIECE postings in several pieces."""
+        """Strata in order of m; a stratum beyond PIECE postings in several pieces.  They are
+        made and given out in groups of about PIECE postings, so that what is sorted, and
+        sent, at once does not grow with the segment."""
         text = pa.array([t.decode("utf-8", "replace") for t in self.words], pa.string())
         m, n = np.array(self.m, np.int64), np.array(self.n, np.int64)
         by_m = np.argsort(m, kind="stable")
-        before = np.cumsum(n[by_m]) - n[by_m]
+        m, n, begin = m[by_m], n[by_m], (np.cumsum(n) - n)[by_m]
+        before = np.cumsum(n) - n
         # a stratum's documents are numbered from its first posting on: every PIECE postings begin a piece
-        first = _changes(m[by_m])
+        first = _changes(m)
         inside = before - np.repeat(before[first], np.diff(np.r_[first, len(m)]))
-        cut = _changes(m[by_m], inside // PIECE)
-        piece_of = np.empty(len(m), np.int64)
-        piece_of[by_m] = np.repeat(np.arange(len(cut)), np.diff(np.r_[cut, len(m)]))
-        place = np.empty(len(m), np.int64)
-        place[by_m] = np.arange(len(m)) - np.repeat(cut, np.diff(np.r_[cut, len(m)]))
-
-        doc = np.repeat(np.arange(len(m)), n)
-        term, tf = np.array(self.term, np.int64), np.array(self.tf, np.int64)
-        order = np.lexsort((place[doc], -tf, term, piece_of[doc]))
-        piece, term, tf, doc = piece_of[doc][order], term[order], tf[order], place[doc][order]
+        cut = _changes(m, inside // PIECE)
+        groups = np.r_[_changes(before[cut] // PIECE), len(cut)]
+        ends = np.r_[cut, len(m)]
+        for a, b in zip(groups[:-1], groups[1:]):
+            docs = slice(ends[a], ends[b])
+            yield self._batch(text, by_m[docs], m[docs], n[docs], begin[docs], cut[a:b] - ends[a])
+
+    def _batch(self, text: pa.Array, numbers: np.ndarray, m: np.ndarray, n: np.ndarray, begin: np.ndarray, cut: np.ndarray):
+        """Pieces of the documents ``numbers``, in this order; ``cut``: where the pieces begin."""
+        n_docs = np.diff(np.r_[cut, len(m)])
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        term, tf = np.frombuffer(self.term, np.int32)[at], np.frombuffer(self.tf, np.int32)[at]
+        piece = np.repeat(np.repeat(np.arange(len(cut), dtype=np.int32), n_docs), n)
+        doc = np.repeat(np.arange(len(m), dtype=np.int32) - np.repeat(cut, n_docs).astype(np.int32), n)
+        # the sort is stable: equal tf stay in the documents' order
+        order = np.lexsort((-tf, term, piece))
+        piece, term, tf, doc = piece[order], term[order], tf[order], doc[order]
         runs = _changes(piece, term, tf)
         words = _changes(piece, term)
         run_piece, word_piece = piece[runs], piece[words]
         count = lambda x: np.bincount(x, minlength=len(cut))
         lists = lambda values, sizes: pa.ListArray.from_arrays(pa.array(_starts(sizes), pa.int32()), values)
-        id_lists = lists(pa.array([self.ids[i] for i in by_m], pa.int64()), np.diff(np.r_[cut, len(m)]))
         per_word = np.diff(np.r_[words, len(term)])
         runs_per_word = np.diff(np.r_[np.searchsorted(runs, words), len(runs)])
         return pa.RecordBatch.from_arrays([
-            pa.array(m[by_m][cut]), id_lists, lists(text.take(pa.array(term[words])), count(word_piece)),
+            pa.array(m[cut]), lists(pa.array([self.ids[i] for i in numbers], pa.int64()), n_docs),
+            lists(text.take(pa.array(term[words])), count(word_piece)),
             lists(pa.array(per_word, pa.int32()), count(word_piece)), lists(pa.array(runs_per_word, pa.int32()), count(word_piece)),
-            lists(pa.array(tf[runs]), count(run_piece)), lists(pa.array(np.diff(np.r_[runs, len(term)]), pa.int32()), count(run_piece)),
+            lists(pa.array(tf[runs], pa.int64()), count(run_piece)), lists(pa.array(np.diff(np.r_[runs, len(term)]), pa.int32()), count(run_piece)),
             lists(pa.array(doc, pa.int32()), count(piece))], schema=_PIECES)
 
 
+@contextmanager
+def _few_pieces(spark: SparkSession):
+    """Pieces are wide rows: inside, few of them are read, and handed to Python, at once."""
+    keys = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = [spark.conf.get(key) for key in keys]
+    for key in keys:
+        spark.conf.set(key, str(READ))
+    try:
+        yield
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
+
+
 def build_index(docs: DataFrame) -> Index:
     """The index of ``docs`` (doc_id long, text string), stored in the shared folder.
 
@@ -155,16 +183,20 @@ def build_index(docs: DataFrame) -> Index:
                 if terms:
                     segment.add(doc_id, 75 + 25 * len(terms) * n_docs // n_terms, Counter(terms))
                     if len(segment.term) >= SEGMENT:
-                        yield segment.pieces()
+                        yield from segment.pieces()
                         segment = _Segment()
         if segment.m:
-            yield segment.pieces()
+            yield from segment.pieces()
         pa.default_memory_pool().release_unused()
 
-    pieces = stored(docs.mapInArrow(segments, PIECES), "index", outlives=True)
+    # a row group is checked after every row: rows are wide, and both its writing and its reading hold it whole
+    pieces = stored(docs.mapInArrow(segments, PIECES), "index", outlives=True,
+                    **{"parquet.block.size": ROW_GROUP, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": READ})
     each = pieces.select(F.explode(F.arrays_zip("terms", "n_docs")).alias("x"))
     vocabulary = each.groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.n_docs").alias("df"))
-    return Index(pieces, stored(vocabulary, "vocabulary", outlives=True), n_docs, n_terms)
+    with _few_pieces(spark):
+        vocabulary = stored(vocabulary, "vocabulary", outlives=True)
+    return Index(pieces, vocabulary, n_docs, n_terms)
 
 
 def weighted_queries(index: Index, items: DataFrame) -> DataFrame:
@@ -205,13 +237,17 @@ def _blocks(weights: DataFrame):
 
 class _Strata:
     """Pieces in memory, cut down to the terms of a block of queries: postings with
-    their impacts, and where each (piece, term) begins and ends."""
+    their impacts, and where each (piece, term) begins and ends.  Every number but a
+    score, an id and a bound is below 2^31."""
 
     def __init__(self, words: pa.Array):
         self.words = words
-        self.start, self.end, self.top = [], [], []
-        self.docs, self.impacts, self.ids, self.absent, self.sizes = [], [], [], [], []
-        self.held = 0
+        self.start, self.end, self.top = (np.zeros((HELD_STRATA, len(words)), np.int32) for _ in range(3))
+        self.docs, self.impacts, self.ids, self.absent = [], [], [], []
+        self.strata = self.held = self.documents = 0
+
+    def full(self) -> bool:
+        return self.strata >= HELD_STRATA or max(self.held, self.documents) >= HELD
 
     def add(self, row: dict) -> None:
         at = pc.index_in(row["terms"], value_set=self.words)
@@ -223,28 +259,24 @@ class _Strata:
         n_docs, n_runs, run_tf, run_docs, docs = (row[c].to_numpy() for c in ("n_docs", "n_runs", "run_tf", "run_docs", "docs"))
         # one impact for each run, then one for each posting
         per_run = 1_000_000_000 * run_tf // (1000 * run_tf + 12 * row["m"])
-        first_run, first_doc = _starts(n_runs), _starts(n_docs)
+        first_run = _starts(n_runs)
         keep = np.zeros(len(n_docs), bool)
         keep[here] = True
         of_runs, of_docs = np.repeat(keep, n_runs), np.repeat(keep, n_docs)
-        top = np.zeros(len(self.words), np.int64)
-        top[word] = per_run[first_run[:-1][here]]
-        begin = np.zeros(len(self.words), np.int64)
-        begin[word] = self.held + _starts(n_docs[here])[:-1]
-        stop = begin.copy()
-        stop[word] += n_docs[here]
-        self.top.append(top)
-        self.start.append(begin)
-        self.end.append(stop)
-        self.docs.append(docs[of_docs].astype(np.int64) + sum(self.sizes))
-        self.impacts.append(np.repeat(per_run[of_runs], run_docs[of_runs]))
+        begin = self.held + _starts(n_docs[here])
+        self.top[self.strata, word] = per_run[first_run[:-1][here]]
+        self.start[self.strata, word], self.end[self.strata, word] = begin[:-1], begin[1:]
+        self.docs.append(docs[of_docs] + np.int32(self.documents))
+        self.impacts.append(np.repeat(per_run[of_runs].astype(np.int32), run_docs[of_runs]))
         self.absent.append(ids.is_null().to_numpy(zero_copy_only=False))
-        self.ids.append(ids.fill_null(LAST_ID).to_numpy())
-        self.sizes.append(len(ids))
-        self.held += int(n_docs[here].sum())
+        # a copy: a view would keep the whole batch in memory
+        self.ids.append(ids.fill_null(LAST_ID).to_numpy().copy())
+        self.strata += 1
+        self.documents += len(ids)
+        self.held = int(begin[-1])
 
     def done(self) -> None:
-        self.top, self.start, self.end = (np.array(x) for x in (self.top, self.start, self.end))
+        self.top, self.start, self.end = (x[:self.strata] for x in (self.top, self.start, self.end))
         self.docs, self.impacts, self.ids, self.absent = (np.concatenate(x) for x in (self.docs, self.impacts, self.ids, self.absent))
         self.total = np.zeros(len(self.ids), np.int64)
 
@@ -310,10 +342,10 @@ def search_block(pieces: DataFrame, block: list, k: int) -> DataFrame:
             columns = {c: b.column(c) for c in b.schema.names}
             for i in range(b.num_rows):
                 strata.add({c: x[i].as_py() if c == "m" else x[i].values for c, x in columns.items()})
-                if strata.held >= HELD or len(strata.top) >= HELD_STRATA:
+                if strata.full():
                     visit(strata, best)
                     strata = _Strata(value_set)
-        if strata.top:
+        if strata.strata:
             visit(strata, best)
         for query, (score, ids, absent) in best.items():
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), query)), pa.array(ids, mask=absent), pa.array(score)],
@@ -327,17 +359,12 @@ def search(index: Index, items: DataFrame, k: int = 20) -> DataFrame:
     """The k highest-scoring documents with a score above 0 for each of ``items``
     (item_id, text): item_id, rank, doc_id, score."""
     spark = items.sparkSession
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
     with temporary_tables(spark):
         weights = weighted_queries(index, items)
         out = shared_path(spark, "ranked")
-        spark.conf.set(key, "64")  # pieces are wide rows
-        try:
-            for block in _blocks(weights):
+        for block in _blocks(weights):
+            with _few_pieces(spark):
                 search_block(index.pieces, block, k).write.mode("append").parquet(out)
-        finally:
-            spark.conf.set(key, before)
         names = weights.select("query", "item_id").distinct()
         schema = "query long, doc_id long, score long"
         # folder not written: no query has a term

@@ -1,8 +1,12 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+
 from procura.llm import lexical
 
 
@@ -85,3 +89,73 @@ def test_no_rows(spark):
     assert _ranked(spark, [], [(1, "a")]) == []
     assert _ranked(spark, [(1, "a b")], []) == []
     assert _ranked(spark, [(1, None), (2, " ")], [(1, "a")]) == []
+
+
+def _segment(n_docs, n_terms, seed=8):
+    rng = random.Random(seed)
+    segment = lexical._Segment()
+    for i in range(n_docs):
+        words = [f"w{rng.randrange(5_000)}".encode() for _ in range(n_terms)]
+        segment.add(i, 75 + i % 40, Counter(words))
+    return segment
+
+
+def test_segment_is_turned_into_pieces_bit_by_bit(monkeypatch):
+    monkeypatch.setattr(lexical, "PIECE", 5_000)
+    segment = _segment(800, 500)
+    postings = len(segment.term)
+    tracemalloc.start()
+    try:
+        rows = sum(1 for b in segment.pieces() for _ in range(b.num_rows if hasattr(b, "num_rows") else 1))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # the sort of all postings at once took over 100 bytes a posting
+    assert rows >= 40 and peak < 20 * postings
+    sizes = [len(b.column("docs").flatten()) for b in segment.pieces()]
+    assert sum(sizes) == postings and max(sizes) <= 2 * 5_000 + 500
+
+
+def test_index_has_small_row_groups(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "ROW_GROUP", 50_000, raising=False)
+    rng = random.Random(9)
+    docs = [(i, " ".join(f"w{rng.randrange(3_000)}" for _ in range(60 + i))) for i in range(200)]
+    index = lexical.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    (path,) = index.pieces.inputFiles()
+    meta = pq.ParquetFile(path.removeprefix("file:").replace("///", "/")).metadata
+    sizes = [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert len(sizes) > 5 and max(sizes) < 150_000
+
+
+def test_few_pieces_are_read_at_once(spark, monkeypatch):
+    keys = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = []
+
+    def search_block(pieces, block, k, f=lexical.search_block):
+        seen.append([int(spark.conf.get(key)) for key in keys])
+        return f(pieces, block, k)
+
+    monkeypatch.setattr(lexical, "search_block", search_block)
+    docs, items = [(i, f"a b{i % 7}") for i in range(50)], [(1, "a b3")]
+    before = [spark.conf.get(keys[0])]
+    assert _ranked(spark, docs, items) == _walk(docs, items, 20)
+    assert seen == [[8, 8]] and [spark.conf.get(keys[0])] == before
+
+
+def test_strata_hold_nothing_but_their_own():
+    batch = next(iter(_segment(60, 20).pieces()))
+    strata = lexical._Strata(pa.array(["w1", "w2", "w3"]))
+    for i in range(batch.num_rows):
+        strata.add({c: batch.column(c)[i].as_py() if c == "m" else batch.column(c)[i].values for c in batch.schema.names})
+    assert strata.ids and all(x.base is None for x in strata.ids)
+
+
+def test_documents_without_a_query_term_count_as_held(monkeypatch):
+    monkeypatch.setattr(lexical, "HELD", 30)
+    segment = lexical._Segment()
+    for i in range(40):
+        segment.add(i, 100, Counter([b"w1" if i == 0 else b"x"]))
+    (batch,) = segment.pieces()
+    strata = lexical._Strata(pa.array(["w1"]))
+    strata.add({c: batch.column(c)[0].as_py() if c == "m" else batch.column(c)[0].values for c in batch.schema.names})
+    assert strata.held == 1 and strata.full()
